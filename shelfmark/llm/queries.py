@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, substring_dedup
+from . import decontamination, exact_dedup, mixing, near_dedup, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_probminhash_near_dedup": near_dedup.op2,
         "op6_content_sort_dedup": exact_dedup.op6,
         "op7_lempel_ziv_substring_dedup": substring_dedup.op7,
         "op8_low_discrepancy_mix": mixing.op8,
+        "op9_simhash_decontamination": decontamination.op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_content_sort_dedup": exact_dedup.OP6_SQL}
+    return {
+        "op6_content_sort_dedup": exact_dedup.OP6_SQL,
+        "op9_simhash_decontamination": decontamination.OP9_SQL,
+    }
