@@ -6,21 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, near_dedup, substring_dedup
+from . import decontamination, exact_dedup, html_extraction, license_scan, mixing, near_dedup, pii, secret_scan, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ordinal_toxicity": toxicity.op1,
         "op2_probminhash_near_dedup": near_dedup.op2,
+        "op3_dice_license_scan": license_scan.op3,
+        "op4_forest_secret_scan": secret_scan.op4,
+        "op5_pii_surrogates": pii.op5,
         "op6_content_sort_dedup": exact_dedup.op6,
         "op7_lempel_ziv_substring_dedup": substring_dedup.op7,
         "op8_low_discrepancy_mix": mixing.op8,
         "op9_simhash_decontamination": decontamination.op9,
+        "op10_template_extraction": html_extraction.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_dice_license_scan": license_scan.OP3_SQL,
         "op6_content_sort_dedup": exact_dedup.OP6_SQL,
         "op9_simhash_decontamination": decontamination.OP9_SQL,
     }
