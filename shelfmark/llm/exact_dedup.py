@@ -2,8 +2,9 @@
 
 Normalised texts (A-Z lower-cased, nothing else) are range-partitioned by sampled splitters, Spark's external sort puts
 equal texts side by side, and the window over the sorted run compares each row's whole text with its neighbour's.
-A salt from doc_id is the second part of the range key, so that a text with very many copies is cut over several
-partitions; what each run found is then summed by the text's SHA-256. The texts themselves are shuffled once.
+Range keys are short, as the driver sees the sampled ones: a text's first 32 characters, then its 64-bit hash for texts that begin alike, and last
+a salt from doc_id, which cuts a text with very many copies over several partitions; what each run found is then summed
+by the text's SHA-256. The texts themselves are shuffled once.
 
 Defined results: a null text counts as empty, and empty texts equal each other. Null doc_ids come after all others; where all
 of a group are null, keep_id is null and one row stays. Of rows that repeat a doc_id and text, one stays. Other columns are ignored.
@@ -27,15 +28,19 @@ def exact_dedup(docs: DataFrame, salts: int = 64) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256. Of equal texts the row with the largest doc_id stays."""
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("body")).withColumn("salt", salt)
+    rows = rows.withColumn("head", F.substring("body", 1, 32)).withColumn("digest", F.xxhash64("body"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = rows.repartitionByRange(parts, "body", "salt")
-    same = Window.partitionBy("body", "salt")
+    runs = rows.repartitionByRange(parts, "head", "digest", "salt")
+    same = Window.partitionBy("head", "digest", "body", "salt")
     runs = runs.withColumn("place", F.row_number().over(same.orderBy(F.col("doc_id").desc_nulls_last())))
     runs = runs.withColumn("run_size", F.count(F.lit(1)).over(same))
-    found = store(runs.select("doc_id", "place", "run_size", F.sha2(F.encode("body", "UTF-8"), 256).alias("text_sha256")), "content-runs")
-    groups = found.filter("place = 1").groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("run_size").alias("group_size"))
+    found = store(runs.select("doc_id", "salt", "place", "run_size", F.sha2(F.encode("body", "UTF-8"), 256).alias("text_sha256")), "content-runs")
+    # One row for each run; what a text's runs sum to goes back to each run, and from there to its rows.
+    first = found.filter("place = 1")
+    groups = first.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("run_size").alias("group_size"))
+    groups = first.select("text_sha256", "salt").join(groups, "text_sha256")
     kept = (F.col("place") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return found.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    return found.join(groups, ["text_sha256", "salt"]).select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
