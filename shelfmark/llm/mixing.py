@@ -46,7 +46,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     rows = rows.withColumn("is_full", F.col("full") <= F.col("level") * F.col("weight"))
     level = F.min(F.when(~F.col("is_full"), F.struct(F.col("full") / F.col("weight"), "level"))).over(every)["level"]
     rows = rows.withColumn("target", F.when(F.col("is_full"), F.col("full")).otherwise(F.least("full", F.col("weight") * level)))
-    rows = rows.withColumn("high", F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("target").over(every))
+    rows = rows.withColumn("high", F.try_divide(F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.sum("target").over(every)))
     return rows.withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0.0))).select("source", "source_size", "target", "low", "high", "total")
 
 

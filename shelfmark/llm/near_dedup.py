@@ -8,8 +8,10 @@ probability Jaccard similarity. Bands of registers give candidates, and the exac
 From candidates to classes without all pairs of a bucket:
 1. Documents with the same words are one vertex; copies are never paired.
 2. In each bucket every vertex is compared with one leader, the vertex with most copies; connected components follow.
-3. What is left are vertices of one bucket in different components. As 1 - similarity is a metric, their distances to the leader, which step 2
-   found exactly, rule out most; of the rest, those whose registers agree well enough are verified, each pair once.
+3. What is left are vertices of one bucket in different components. Two bounds rule out most of their pairs: 1 - similarity is a metric, and
+   step 2 found the distances to the leader exactly; and pairs with a shingle in common that at most 8 unsettled texts have are listed by
+   that shingle, so for all others such shingles can't be common. Of the rest, pairs
+   whose registers agree well enough are verified, each in the first bucket that it shares.
 So a large group of near copies costs one comparison a member, and no link that banding finds is lost.
 
 With 24 bands of 4 registers a pair at similarity 0.8 shares a bucket with probability 1 - 3e-6.
@@ -23,17 +25,17 @@ Documents under five words are one shingle. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, store, table
 from .hashing import mix, runs, sequence_hash, word_hashes
 
-SHINGLE, SIMILAR, BANDS, ROWS, AGREE = 5, 0.8, 24, 4, 0.62
+SHINGLE, SIMILAR, BANDS, ROWS, AGREE, RARE = 5, 0.8, 24, 4, 0.62, 8
 _STEP, _SLOT = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _SALT = 0x5851F42D4C957F2D
 
@@ -129,20 +131,57 @@ def _similarities(pairs: DataFrame, weighed: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """a, b -> vertex, component (its least vertex) for every vertex of a link; least labels spread over links and through labels until none changes."""
-    both = store(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-links")
-    labels = store(both.groupBy(F.col("a").alias("vertex")).agg(F.least(F.min("b"), F.first("a")).alias("component")), name)
+    """a, b -> vertex, component (its least vertex) for every vertex of a link.
+
+    Each round hooks every vertex to its least neighbour and contracts the links to what is hooked to, so that few are left after a round or two.
+    """
+    edges = store(links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-links")
+    labels = None
     while True:
-        near = both.join(labels.select(F.col("vertex").alias("b"), "component"), "b").groupBy(F.col("a").alias("vertex")).agg(F.min("component").alias("near"))
-        moved = labels.join(near, "vertex").withColumn("to", F.least("component", "near"))
-        # A label is a vertex: its own label is as good and often lower.
-        via = labels.select(F.col("vertex").alias("to"), F.col("component").alias("beyond"))
-        moved = store(moved.join(via, "to").select("vertex", F.least("to", "beyond").alias("component"), (F.least("to", "beyond") < F.col("component")).alias("changed")), name)
-        labels = moved.select("vertex", "component")
-        if moved.filter("changed").isEmpty():
+        near = edges.select("a", "b").union(edges.select("b", "a")).groupBy(F.col("a").alias("from")).agg(F.min("b").alias("low"))
+        hooks = store(near.select("from", F.least("from", "low").alias("to")), f"{name}-hooks")
+        if labels is None:
+            labels = hooks.select(F.col("from").alias("vertex"), F.col("to").alias("component"))
+        else:
+            labels = labels.join(hooks, F.col("component") == F.col("from"), "left").select("vertex", F.coalesce("to", "component").alias("component"))
+            labels = store(labels, name)
+        end = lambda c: hooks.select(F.col("from").alias(c), F.col("to").alias(f"{c}_to"))
+        edges = edges.join(end("a"), "a").join(end("b"), "b").filter("a_to != b_to")
+        edges = store(edges.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), f"{name}-links")
+        if edges.isEmpty():
             return labels
 
 
+def _rare_weight(weighed: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """vertex, component, weight, rare (the weight of shingles that at most `RARE` unsettled texts have), plain (all counts are 1); and vertex pairs a, b with the weight of the rare shingles they share, on either side."""
+    at = placed.select(F.col("vertex").alias("doc"), "component").distinct()
+    open_docs = weighed.join(at, "doc").withColumnRenamed("doc", "vertex")
+    each = open_docs.select("vertex", F.inline(F.arrays_zip(F.col("elements").alias("element"), F.col("counts").alias("n"))))
+    rare = each.groupBy("element").agg(F.count(F.lit(1)).alias("holders")).filter(F.col("holders") <= RARE)
+    rare = store(each.join(rare, "element"), "rare-shingles")
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda s, n: s + n)
+    sizes = open_docs.groupBy("vertex").agg(F.min("component").alias("component"), F.count(F.lit(1)).alias("versions"), F.max(total).alias("weight"), F.max(F.array_max("counts")).alias("most"))
+    # A repeated doc_id has several texts; no bound is claimed for it.
+    one = F.col("versions") == 1
+    own = sizes.join(rare.groupBy("vertex").agg(F.sum("n").alias("some")), "vertex", "left")
+    own = own.select("vertex", "component", "weight", F.when(one, F.coalesce("some", F.lit(0))).otherwise(0).alias("rare"), (one & (F.col("most") == 1)).alias("plain"))
+    # At most RARE holders each.
+    held = rare.filter("holders > 1").groupBy("element").agg(F.sort_array(F.collect_set(F.struct("vertex", "n"))).alias("v"))
+    two = F.flatten(F.transform("v", lambda x, i: F.transform(F.slice("v", i + 2, RARE), lambda y: F.struct(x["vertex"].alias("a"), y["vertex"].alias("b"), x["n"].alias("n1"), y["n"].alias("n2")))))
+    shared = held.select(F.inline(two)).filter("a != b").groupBy("a", "b").agg(F.sum("n1").alias("shared1"), F.sum("n2").alias("shared2"))
+    return store(own, "rare-weights"), shared
+
+
+def _most_similar(shared: Callable[[int], Column]) -> Column:
+    """An upper bound of the similarity of two weighted sets of which at least shares u1 and u2 aren't common: (1 - (u1 + u2) / 2) / (1 + min(u1, u2)).
+
+    With p, q as shares and U, V as the exclusive shares, element i's term is at most 1 / (1/p + V/q) and at most 1 / (1/q + U/p), so at most
+    2pq / (p (1 + V) + q (1 + U)) <= (p + q) / 2 / (1 + min(U, V)); summed over the common elements that is the bound.
+    """
+    u1, u2 = ((F.col(f"rare{n}") - shared(n)) / F.col(f"weight{n}") for n in (1, 2))
+    return (1 - (u1 + u2) / 2) / (1 + F.least(u1, u2))
+
+
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, similar: float = SIMILAR, agree: float = AGREE) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, class_id (the least doc_id of its class), class_size, kept."""
     spark = docs.sparkSession
@@ -172,22 +211,42 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, simil
     placed = placed.join(far, ["vertex", "leader"], "left").withColumn("to_leader", F.coalesce("to_leader", F.lit(1.0)))
     mixed = placed.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     placed = store(placed.join(mixed.filter("low < high").select("band", "bucket"), ["band", "bucket"]), "unsettled")
-    signs = alike.select("vertex", "sign")
-    open_rows = placed.filter("vertex != leader").join(signs, "vertex").select("band", "bucket", "vertex", "component", "to_leader", "sign")
-    other = open_rows.select("band", "bucket", *[F.col(c).alias(f"{c}2") for c in ("vertex", "component", "to_leader", "sign")])
-    agreeing = F.aggregate(F.zip_with("sign", "sign2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    pairs = open_rows.join(
-        other,
-        (open_rows["band"] == other["band"])
-        & (open_rows["bucket"] == other["bucket"])
-        & (F.col("vertex") < F.col("vertex2"))
-        & (F.col("component") != F.col("component2"))
-        & (F.abs(F.col("to_leader") - F.col("to_leader2")) <= 1 - similar + 1e-9)
-        & (agreeing >= int(agree * bands * rows)),
+    own, shared = _rare_weight(weighed, placed)
+
+    # Pairs with a rare shingle in common, and what their other shingles could add.
+    sides = ("component", "weight", "rare", "plain")
+    end = lambda c, n: own.select(F.col("vertex").alias(c), *[F.col(x).alias(f"{x}{n}") for x in sides])
+    most = F.least(F.col("weight1") - F.col("rare1"), F.col("weight2") - F.col("rare2"))
+    reach = lambda common: common >= similar * (F.col("weight1") + F.col("weight2") - common) - 1e-9
+    plain = F.col("plain1") & F.col("plain2")
+    linked = shared.join(end("a", 1), "a").join(end("b", 2), "b").filter("component1 != component2")
+    shared_of = lambda n: F.col(f"shared{n}")
+    linked = linked.filter(_most_similar(shared_of) >= similar - 1e-9).filter(~plain | reach(most + F.col("shared1"))).select("a", "b")
+
+    # Pairs without: only shingles that aren't rare can be common.
+    open_rows = placed.filter("vertex != leader").drop("component").join(alike.select("vertex", "sign"), "vertex").join(own, "vertex")
+    row = lambda n: open_rows.select(*[F.col(x).alias(f"{x}{n}") for x in ("band", "bucket", "vertex", "to_leader", "sign", *sides)])
+    agreeing = F.aggregate(F.zip_with("sign1", "sign2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    before = F.exists(F.sequence(F.lit(0), F.col("band1")), lambda i: (i < F.col("band1")) & (F.slice("sign1", i * rows + 1, rows) == F.slice("sign2", i * rows + 1, rows)))
+    pairs = row(1).join(
+        row(2),
+        (F.col("band1") == F.col("band2"))
+        & (F.col("bucket1") == F.col("bucket2"))
+        & (F.col("vertex1") < F.col("vertex2"))
+        & (F.col("component1") != F.col("component2"))
+        & (F.abs(F.col("to_leader1") - F.col("to_leader2")) <= 1 - similar + 1e-9)
+        & (_most_similar(lambda n: F.lit(0)) >= similar - 1e-9)
+        & (~plain | reach(most))
+        & (agreeing >= int(agree * bands * rows))
+        & ~before,
     )
-    pairs = pairs.select(F.col("vertex").alias("a"), F.col("vertex2").alias("b")).distinct()
-    more = _similarities(pairs, weighed).filter(F.col("similarity") >= similar).select("a", "b")
-    classes = components(links.union(more), "components")
+    pairs = store(pairs.select(F.col("vertex1").alias("a"), F.col("vertex2").alias("b")).union(linked).distinct(), "unsettled-pairs")
+    more = _similarities(pairs, weighed).filter(F.col("similarity") >= similar)
+    part = lambda c: own.select(F.col("vertex").alias(c), F.col("component").alias(f"{c}_part"))
+    more = more.join(part("a"), "a").join(part("b"), "b").select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
+    last = components(more, "components").select(F.col("vertex").alias("component"), F.col("component").alias("class"))
+    classes = alike.select("vertex").join(first, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+    classes = classes.distinct().join(last, "component", "left").select("vertex", F.coalesce("class", "component").alias("component"))
 
     of_key = alike.select("key", "key2", "vertex").join(classes, "vertex", "left").select("key", "key2", F.coalesce("component", "vertex").alias("class"))
     # Versions of one document are one vertex; rows without words have no vertex.

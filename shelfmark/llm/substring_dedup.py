@@ -57,6 +57,8 @@ def _blocks(window: int, anchor: int):
         for batch in batches:
             for doc, key, text, shared in zip(batch["doc"], batch["key"], batch["text"], batch["shared"], strict=True):
                 words = word_hashes(text)
+                if sequence_hash(words) != key:  # another text under the same doc_id
+                    continue
                 at = np.flatnonzero(np.isin(_block_anchors(words, window, anchor), shared))
                 if at.size:
                     first, second = runs(words, window)[at], runs(words, window, _SALT)[at]
@@ -89,6 +91,8 @@ def _remove(window: int):
         for batch in batches:
             rows = []
             for doc, key, text, found in zip(batch["doc"], batch["key"], batch["text"], batch["found"], strict=True):
+                if sequence_hash(word_hashes(text)) != key:
+                    continue
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 starts = np.array([x["at"] for x in found], np.int64)
                 sources = np.array([x["source"] for x in found], np.int64)
@@ -123,12 +127,12 @@ def _parsed(docs: DataFrame, window: int, anchor: int, texts: bool) -> DataFrame
     blocks = store(texted.mapInPandas(_blocks(window, anchor), "block long, block2 int, doc long, key long, at int"), "blocks")
     sources = blocks.groupBy("block", "block2").agg(F.min("doc").alias("source"), F.max("doc").alias("high")).filter("source < high").drop("high")
     found = blocks.join(sources, ["block", "block2"]).filter("source < doc")
-    found = found.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "source")).alias("found"))
+    found = found.groupBy("doc", "key").agg(F.collect_set(F.struct("at", "source")).alias("found"))
 
     hit = rows.withColumnRenamed("doc_id", "doc").join(found, "doc")
     out = "doc long, key long, n_removed long, kept_sha256 string, factors array<struct<start:int,length:int,source:long>>"
     cut = hit.mapInPandas(_remove(window), out + ", kept_text string") if texts else hit.mapInPandas(lambda it, f=_remove(window): (x.drop(columns="kept_text") for x in f(it)), out)
-    return marked, cut
+    return marked, cut.dropDuplicates(["doc", "key"])
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
