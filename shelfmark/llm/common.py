@@ -1,41 +1,22 @@
-"""What the corpus operators share: tables, the shared work folder, and word splitting."""
+"""What the corpus operators share: tables, batch sizes and word splitting. `store` writes a table to the shared work folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.sources.work import store, work_folder
+
+__all__ = ["SPACES", "n_words_of", "small_batches", "store", "table", "text_of", "words_of", "work_folder"]
+
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 SPACES = "[\\x20\\x09-\\x0D]+"
-WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or for a local master without it a new temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def store(df: DataFrame, name: str) -> DataFrame:
-    """`df`, written once to the shared work folder and read back: later stages don't repeat its work, and a lost executor costs only the tasks it ran."""
-    spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows of an Arrow batch, since texts may be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
