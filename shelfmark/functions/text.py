@@ -89,10 +89,38 @@ def boost_parts(a: Column, b: Column) -> dict[str, Column]:
 
 def boost_score(a: Column, b: Column, weights: dict[str, float] | None = None) -> Column:
     """The weighted sum of the four features."""
-    w, parts = {**WEIGHTS, **(weights or {})}, boost_parts(a, b)
+    return _weighted(boost_parts(a, b), weights)
+
+
+def _weighted(parts: dict[str, Column], weights: dict[str, float] | None) -> Column:
+    w = {**WEIGHTS, **(weights or {})}
     return sum((parts[k] * F.lit(w[k]) for k in ("upper", "first", "word")), parts["devowel"] * F.lit(w["devowel"]))
 
 
+def flyer_features(a: Column) -> Column:
+    """What the four features need of a flyer text; capitals are null for a blank one."""
+    capitals = F.when(F.trim(_text(a)) != "", F.regexp_replace(_text(a), "[^A-Z]", ""))
+    return F.struct(F.left(F.lower(devowel(a)), F.lit(3)).alias("prefix"), capitals.alias("capitals"), first_char(a).alias("first"), word_variants(a).alias("words"))
+
+
+def master_features(b: Column) -> Column:
+    """What the four features need of a master text."""
+    n = first_word_length(b)
+    return F.struct(F.left(F.lower(clean_text_start(b)), F.lit(3)).alias("prefix"), upper_abbrev(b, n).alias("abbreviation"), n.alias("n"), first_char(b).alias("first"), lower_words(b).alias("words"))
+
+
+def featured_boost(f: Column, m: Column, weights: dict[str, float] | None = None) -> Column:
+    """`boost_score` from the features of both sides, so that texts are taken apart once a row and not once a pair."""
+    own = F.when(m["n"] > 0, F.rpad(f["capitals"], m["n"], F.lit("_"))).otherwise(f["capitals"])
+    parts = {
+        "devowel": ((f["prefix"] != "") & (f["prefix"] == m["prefix"])).cast("int"),
+        "upper": (F.coalesce(own, F.lit("")) == m["abbreviation"]).cast("int"),
+        "first": ((f["first"] != "") & (f["first"] == m["first"])).cast("int"),
+        "word": F.size(F.array_intersect(m["words"], f["words"])),
+    }
+    return _weighted(parts, weights)
+
+
 def tokenize(c: Column) -> Column:
     """Lower-case Unicode words after all but word characters and spaces is removed."""
     plain = F.regexp_replace(F.lower(F.trim(_text(c))), r"(?U)[^\w\s]", "")

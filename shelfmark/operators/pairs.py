@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
+from shelfmark.sources.work import store
 
 #: Flyer key rows up to which they are broadcast; beyond, both sides are shuffled by key.
 BROADCAST_KEYS = 500_000
@@ -57,30 +58,28 @@ def master_keys(master: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def with_boost(pairs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    boost = tx.boost_score(F.col("PDF_Description"), F.col("Excel_Description"), weights)
-    if "Excel_BRAND" in pairs.columns:
-        boost += tx.boost_score(F.col("PDF_Description"), F.col("Excel_BRAND"), weights)
-    return pairs.withColumn("Boost_Score", boost)
-
-
 def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None = 0.2, weights: dict[str, float] | None = None) -> DataFrame:
     """flyer_row, master_row, PDF_Description, Excel_Description, Excel_BRAND, Boost_Score for the pairs whose boost reaches the threshold.
 
     Needs flyer_row and master_row as unique ids. Without a positive threshold every pair is a candidate.
     """
-    f = flyer.select("flyer_row", F.col("Description").alias("PDF_Description"))
-    m = master.select("master_row", F.col("Description").alias("Excel_Description"), *([F.col("BRAND").alias("Excel_BRAND")] if "BRAND" in master.columns else []))
+    brands = "BRAND" in master.columns
+    f = flyer.select("flyer_row", F.col("Description").alias("PDF_Description"), tx.flyer_features(F.col("Description")).alias("__f"))
+    m = master.select("master_row", F.col("Description").alias("Excel_Description"), *([F.col("BRAND").alias("Excel_BRAND")] if brands else []), tx.master_features(F.col("Description")).alias("__m"), *([tx.master_features(F.col("BRAND")).alias("__b")] if brands else []))
+    # Written, as Spark would else move the features past the join and take them once a pair.
+    f, m = store(f, "flyer-features"), store(m, "master-features")
+    boost = tx.featured_boost(F.col("__f"), F.col("__m"), weights)
+    if brands:
+        boost += tx.featured_boost(F.col("__f"), F.col("__b"), weights)
     if threshold is None or threshold <= 0:
-        return with_boost(f.crossJoin(m), weights)
-    brand = tx.first_word_length(F.col("BRAND")) if "BRAND" in master.columns else F.lit(0)
+        return f.crossJoin(m).withColumn("Boost_Score", boost).drop("__f", "__m", "__b")
+    brand = tx.first_word_length(F.col("BRAND")) if brands else F.lit(0)
     longest = master.agg(F.max(F.greatest(tx.first_word_length(F.col("Description")), brand))).first()[0] or 0
     left, right = flyer_keys(flyer, longest), master_keys(master)
     if left.count() <= BROADCAST_KEYS:
         left = F.broadcast(left)
     ids = right.join(left, ["kind", "key"]).select("flyer_row", "master_row").distinct()
-    pairs = ids.join(f, "flyer_row").join(m, "master_row")
-    return with_boost(pairs, weights).filter(F.col("Boost_Score") >= threshold - 1e-9)
+    return ids.join(f, "flyer_row").join(m, "master_row").withColumn("Boost_Score", boost).filter(F.col("Boost_Score") >= threshold - 1e-9).drop("__f", "__m", "__b")
 
 
 def combined_score(df: DataFrame) -> DataFrame:
