@@ -195,7 +195,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, simil
     band = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.xxhash64(F.slice("sign", i * rows + 1, rows), i).alias("bucket")))
     buckets = alike.select("vertex", "copies", F.inline(band))
     leaders = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", -F.col("vertex"))).alias("top")).filter("n > 1")
-    leaders = leaders.select("band", "bucket", (-F.col("top.col2")).alias("leader"))
+    # Written, so that the join shuffles both sides for itself and a hot bucket can be split.
+    leaders = store(leaders.select("band", "bucket", (-F.col("top.col2")).alias("leader")), "leaders")
     buckets = store(buckets.join(leaders, ["band", "bucket"]).select("band", "bucket", "vertex", "leader"), "buckets")
 
     star = buckets.filter("vertex != leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
@@ -210,7 +211,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, simil
     placed = buckets.join(first, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
     placed = placed.join(far, ["vertex", "leader"], "left").withColumn("to_leader", F.coalesce("to_leader", F.lit(1.0)))
     mixed = placed.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = store(placed.join(mixed.filter("low < high").select("band", "bucket"), ["band", "bucket"]), "unsettled")
+    mixed = store(mixed.filter("low < high").select("band", "bucket"), "mixed-buckets")
+    placed = store(placed.join(mixed, ["band", "bucket"]), "unsettled")
     own, shared = _rare_weight(weighed, placed)
 
     # Pairs with a rare shingle in common, and what their other shingles could add.
@@ -253,7 +255,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, simil
     out = signed.join(of_key, ["key", "key2"], "left")
     own = F.when(F.size("sign") > 0, F.coalesce("class", "doc")).otherwise(F.col("doc"))
     out = store(out.select("doc", F.when(F.col("doc").isNotNull(), own).alias("class_id")), "classes")
-    sizes = out.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    sizes = store(out.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
     out = out.join(sizes, "class_id", "left")
     kept = F.coalesce(F.col("doc") == F.col("class_id"), F.lit(True))
     return out.select(F.col("doc").alias("doc_id"), "class_id", F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), kept.alias("kept"))
