@@ -113,19 +113,22 @@ def _parsed(docs: DataFrame, window: int, anchor: int, texts: bool) -> DataFrame
     small_batches(spark, 500)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = store(rows.mapInPandas(_profile(window, anchor), "doc long, n_words long, key long, key2 long, whole_sha256 string, anchors array<long>"), "profiles")
-    firsts = profile.groupBy("key", "key2").agg(F.min("doc").alias("first_doc"))
+    # Sums are written, so that the joins with them shuffle both sides for themselves and a hot key can be split.
+    firsts = store(profile.groupBy("key", "key2").agg(F.min("doc").alias("first_doc")), "first-documents")
     marked = profile.drop("anchors").join(firsts, ["key", "key2"])
 
     # Anchors that documents of different words share; a copy adds nothing to its first.
     anchors = profile.filter("n_words >= %d" % window).groupBy("key", "key2").agg(F.min("doc").alias("doc"), F.first("anchors").alias("anchors"))
     anchors = store(anchors.select("doc", "key", F.explode("anchors").alias("anchor")), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("anchor")
+    shared = store(shared, "shared-anchors")
     shared = anchors.join(shared, "anchor").groupBy("doc", "key").agg(F.collect_list("anchor").alias("shared"))
 
     texted = rows.withColumnRenamed("doc_id", "doc").join(shared, "doc")
     texted = texted.select("doc", "key", "text", "shared")
     blocks = store(texted.mapInPandas(_blocks(window, anchor), "block long, block2 int, doc long, key long, at int"), "blocks")
     sources = blocks.groupBy("block", "block2").agg(F.min("doc").alias("source"), F.max("doc").alias("high")).filter("source < high").drop("high")
+    sources = store(sources, "sources")
     found = blocks.join(sources, ["block", "block2"]).filter("source < doc")
     found = found.groupBy("doc", "key").agg(F.collect_set(F.struct("at", "source")).alias("found"))
 
