@@ -5,12 +5,19 @@ turned into spaces. The Dice coefficient of two sets of bigrams of sizes a and b
 size is within t / (2 - t) and (2 - t) / t of a segment's can reach t; segments of other sizes are passed over before their bigrams are
 built, and the same bounds stand in the join. The templates are a fixed list of a few kilobytes and are broadcast.
 
-Defined results: null and empty texts match nothing. Equal segments of a text count once. Rows that repeat a doc_id are scanned each by its own text;
+Notices that fill no line or paragraph are found in windows of words, across lines and paragraphs: from each place of a template's bigram up to
+(2 - t) / t times the template's length, ending where the Dice coefficient is highest. Only texts with t / (2 - t) of a template's bigrams are
+searched. Of overlapping windows the one with most bigrams of its template stays. A window inside a segment that matches its template is the
+same find and isn't counted again, but may raise the coefficient. `OP3_SQL` has the segments only.
+
+Defined results: null and empty texts match nothing. Equal segments of a text count once, and so do equal windows. Rows that repeat a doc_id are scanned each by its own text;
 rows with the same doc_id and text give one result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +61,16 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
-def _bigrams(words: Column) -> Column:
-    pairs = lambda w: F.when(F.size(w) > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.slice(w, i, 2)))))
+def _pairs(words: Column) -> Column:
+    """Hashes of all pairs of neighbouring words, in text order."""
+    pairs = lambda w: F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.slice(w, i, 2))))
     return F.coalesce(F.transform(F.array(words), pairs)[0], F.array().cast("array<bigint>"))
 
 
+def _bigrams(words: Column) -> Column:
+    return F.array_distinct(_pairs(words))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """license_id, template, size, bigrams of each template."""
     rows = spark.createDataFrame([(name, i, text) for i, (name, text) in enumerate(TEMPLATES)], "license_id string, template int, text string")
@@ -71,6 +83,60 @@ def segments(text: Column) -> Column:
     return F.array_distinct(F.concat(lines, paragraphs, F.array(text)))
 
 
+def _apart(found: Column) -> Column:
+    """Of windows in order of preference those that overlap no window before them that stays."""
+    none = F.filter(found, lambda w: F.lit(False))
+    meets = lambda kept, w: F.exists(kept, lambda k: (k["begin"] <= w["end"]) & (w["begin"] <= k["end"]))
+    return F.aggregate(found, none, lambda kept, w: F.when(meets(kept, w), kept).otherwise(F.concat(kept, F.array(w))))
+
+
+def windows(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, row, license_id, dice, covered (by a segment that matches): the windows of each text that are like a template."""
+    low, high = similar / (2 - similar), (2 - similar) / similar
+    fixed = docs.sparkSession.createDataFrame([(name, i, text) for i, (name, text) in enumerate(TEMPLATES)], "license_id string, template int, text string")
+    fixed = fixed.select("license_id", "template", _pairs(_words(F.col("text"))).alias("grams")).collect()
+    longs = lambda xs: ", ".join(f"CAST({x} AS BIGINT)" for x in xs)
+    each = []
+    for t in fixed:
+        grams = sorted(set(t["grams"]))
+        need, span = ceil(low * len(grams) - 1e-9), int(high * len(t["grams"]) + 1e-9)
+        each.append(f"named_struct('license_id', '{t['license_id']}', 'template', {t['template']}, 'b', {len(grams)}, 'need', {need}, 'span', {span}, 'grams', array({longs(grams)}))")
+    known, any_gram = F.expr(f"array({', '.join(each)})"), longs(sorted({g for t in fixed for g in t["grams"]}))
+
+    text = text_of()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"), _pairs(_words(text)).alias("all"))
+    rows = rows.withColumn("hits", F.expr(f"filter(transform(all, (g, i) -> struct(i + 1 AS at, g AS gram)), x -> x.gram IN ({any_gram}))"))
+    held = lambda own: F.filter(known, lambda t: F.size(F.array_intersect(own, t["grams"])) >= t["need"])
+    rows = rows.select("*", F.explode(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), held)[0]).alias("t"))
+    at = F.transform(F.filter("hits", lambda x: F.array_contains(F.col("t.grams"), x["gram"])), lambda x: x["at"])
+    rows = rows.select("doc_id", "row", "text", "all", "t", at.alias("at"))
+    ends = F.col("at"), F.col("t.need") - 1
+    starts = F.filter(ends[0], lambda p, i: F.coalesce(F.get("at", i + ends[1]) - p < F.col("t.span"), F.lit(False)))
+
+    # The m-th of a template's bigrams that stands at place j of a window's distinct ones ends a window of j distinct bigrams with m in common.
+    def best(p: Column) -> Column:
+        own = F.array_distinct(F.slice("all", p, F.col("t.span")))
+        own = F.filter(F.transform(own, lambda g, j: F.struct((j + 1).alias("j"), g.alias("g"))), lambda x: F.array_contains(F.col("t.grams"), x["g"]))
+        score = F.transform(own, lambda x, m: F.struct((F.lit(2.0) * (m + 1) / (x["j"] + F.col("t.b"))).alias("dice"), (m + 1).alias("common"), x["g"].alias("last")))
+        top = lambda x: F.struct(x["dice"].alias("dice"), x["common"].alias("common"), p.alias("begin"), (p - 1 + F.array_position(F.slice("all", p, F.col("t.span")), x["last"]).cast("int")).alias("end"))
+        return F.transform(F.array(F.array_max(score)), top)[0]
+
+    rows = rows.withColumn("found", F.filter(F.transform(starts, best), lambda w: w["dice"] >= similar - 1e-9))
+    like = lambda s: 2 * F.size(F.array_intersect(s, F.col("t.grams"))) / (F.size(s) + F.col("t.b")) >= similar - 1e-9
+    match = F.when(F.size("found") > 0, F.filter(F.transform(segments(F.col("text")), lambda s: _bigrams(_words(s))), like))
+    rows = rows.select("doc_id", "row", "all", "t", "found", match.alias("match"))
+    grams = lambda w: F.slice("all", w["begin"], w["end"] - w["begin"] + 1)
+    whole = lambda w: F.exists("match", lambda s: F.size(F.array_except(grams(w), s)) == 0)
+    told = F.transform("found", lambda w: F.struct((-w["dice"]).alias("less"), w["begin"].alias("begin"), w["end"].alias("end"), w["common"].alias("common"), F.xxhash64(grams(w)).alias("key"), whole(w).alias("covered")))
+    rows = rows.select("doc_id", "row", F.col("t.license_id").alias("license_id"), F.col("t.template").alias("template"), F.inline(told))
+    # Equal windows once, then apart from each other for each template, then for each text.
+    rows = rows.groupBy("doc_id", "row", "license_id", "template", "key").agg(F.min(F.struct("less", "begin", "end", "common", "covered")).alias("w"))
+    rows = rows.groupBy("doc_id", "row", "license_id", "template").agg(_apart(F.sort_array(F.collect_list("w"))).alias("w")).select("doc_id", "row", "license_id", F.inline("w"))
+    one = F.struct((-F.col("common")).alias("fewer"), "less", "license_id", "begin", "end", "covered")
+    rows = rows.groupBy("doc_id", "row").agg(_apart(F.sort_array(F.collect_list(one))).alias("w")).select("doc_id", "row", F.inline("w"))
+    return rows.select("doc_id", "row", "license_id", (-F.col("less")).alias("dice"), "covered")
+
+
 def licensed(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, license_id, n_segments, dice (of the best segment): one row for each text and licence it holds."""
     spark = docs.sparkSession
@@ -92,7 +158,10 @@ def licensed(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     # The likest licence of each segment; of equally like ones the first by name.
     best = common.filter(F.col("dice") >= similar - 1e-9).groupBy("doc_id", "row", "segment_id").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license_id")).alias("best"))
     best = best.groupBy("doc_id", "row", F.col("best.license_id").alias("license_id"))
-    return best.agg(F.count(F.lit(1)).alias("n_segments"), (-F.min("best.less")).alias("dice")).drop("row")
+    best = best.agg(F.count(F.lit(1)).alias("n_segments"), (-F.min("best.less")).alias("dice"))
+    more = windows(docs, similar).groupBy("doc_id", "row", "license_id").agg(F.count_if(~F.col("covered")).alias("n_segments"), F.max("dice").alias("dice"))
+    both = best.unionByName(more).groupBy("doc_id", "row", "license_id").agg(F.sum("n_segments").alias("n_segments"), F.max("dice").alias("dice"))
+    return both.filter("n_segments > 0").drop("row")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

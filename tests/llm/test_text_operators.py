@@ -85,6 +85,20 @@ def test_licences(spark):
     assert license_scan.licensed(docs_of(spark, rows[:1]).limit(0)).count() == 0
 
 
+def test_licences_inside_other_text(spark):
+    mit, apache = (next(t for n, t in license_scan.TEMPLATES if n == name and len(t) > 200) for name in ("MIT", "Apache-2.0"))
+    parts = mit.replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    header = apache.replace("License. You may obtain", "License.\nYou may obtain").replace("2.0 Unless", "2.0\n\nUnless")
+    other = "other words of a longer document " * 60
+    rows = [
+        (1, f"{other}\n\n{parts}\n\n{other}", "s"), (2, f"{other}\n\n{header}\n\n{other}", "s"), (3, f"{other} Released under the MIT License.", "s"),
+        (4, f"{other} Released under\nthe MIT License. {other}", "s"), (5, f"{other}\nReleased under the MIT License.\n{other}", "s"), (6, f"{other} released by the MIT, license of {other}", "s"),
+        (7, f"{other} Released under the MIT License. {other} Licensed under CC BY 4.0. Released under the MIT License.", "s"), (8, "Released under the MIT License.\n" * 3000, "s"),
+    ]
+    got = {(r.doc_id, r.license_id): (r.n_segments, round(r.dice, 6)) for r in license_scan.licensed(docs_of(spark, rows)).collect()}
+    assert got == {(1, "MIT"): (1, 1.0), (2, "Apache-2.0"): (1, 1.0), **{(i, "MIT"): (1, 1.0) for i in (3, 4, 5, 7)}, (7, "CC-BY-4.0"): (1, 1.0), (8, "MIT"): (got[8, "MIT"][0], 1.0)}
+
+
 # Secrets.
 def test_secrets(spark):
     rng = random.Random(2)
