@@ -5,7 +5,9 @@ has an occurrence vector: how often each page has it. Tokens with equal vectors
 has tags and covers at least `LEAST_PAGES` pages and half of the host; valid classes nest by their paths into the host's template, and
 text blocks in them are template text, such as the same notice on each page. What the template leaves are slots;
 the text of the page is that of the slots under its article, or of all slots where a page marks none, less elements
-whose tag, role or name says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments.
+whose tag or role says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments. A class or id that says so must
+say it as a whole name (`sidebar`, `cookie-notice`, not `has-sidebar`), and drops its element only if that has less than half of the page's text and
+not the page's only articles; the id of a heading or paragraph says nothing.
 
 Vectors are never gathered: a page adds the hash of (page, count) to a token's running exclusive-or, so a host with a third of all pages costs what
 its pages cost, pre-aggregated before each shuffle. Pages of a host with the same text count once. A host has at most twice as many
@@ -39,6 +41,9 @@ CLOSES_P = BLOCK - {"html", "body", "tbody", "tfoot", "thead", "tr"}
 UNWANTED = set("head nav footer aside form dialog button select input label option menu script style noscript template iframe object svg canvas audio video".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended comment comments disqus replies reply respond toolbar pagination pager search copyright".split())
+#: What may stand beside them in one name, as in `site-footer`.
+BESIDE = set("site page main top bottom left right box bar block area wrapper wrap container content list section widget links link item items form inner body button buttons icons unit slot thread".split())
+SLUGS = set("h1 h2 h3 h4 h5 h6 p".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -60,22 +65,34 @@ class Page:
     tags: Counter = field(default_factory=Counter)
 
 
-def _unwanted(name: str, attrs: str, in_article: bool) -> bool:
+def _names(said: str, names: set[str]) -> bool:
+    """Whether one of the names, between spaces, consists of `names` and at most words beside them."""
+    parts = [set(filter(None, _PARTS.split(token))) for token in said.split()]
+    return any(p & names and p <= names | BESIDE for p in parts)
+
+
+def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is unwanted, and whether it is so if it has little of the page."""
     if name in UNWANTED or (name == "header" and not in_article):
-        return True
+        return True, False
     if not attrs.strip():
-        return False
+        return False, False
     own = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(attrs)}
     if "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "") or own.get("role") in ROLES:
-        return True
-    return name not in ("html", "body", "article", "main") and not NAMES.isdisjoint(_PARTS.split(f"{own.get('class', '')} {own.get('id', '')}")) or name == "article" and "comment" in own.get("class", "")
+        return True, False
+    if name == "article":
+        return _names(own.get("class", ""), {"comment", "comments"}), False
+    said = own.get("class", "") + ("" if name in SLUGS else f" {own.get('id', '')}")
+    return False, name not in ("html", "body", "main") and own.get("role") != "main" and _names(said, NAMES)
 
 
 def parse(html: str | None) -> Page:
     page, stack, words = Page(), [], []
-    # Open elements as (name, path, unwanted, article); unwanted and article hold below an element as well.
-    top = ("", "", False, 0)
-    articles = 0
+    # Open elements as (name, path, unwanted, article, named); all but the name hold below an element as well. `named` are the numbers of elements named as unwanted.
+    top = ("", "", False, 0, ())
+    articles = n_named = 0
+    found: list[tuple[tuple[str, str, int], tuple[int, ...]]] = []
+    holding: list[tuple[int, ...]] = []
 
     def flush() -> None:
         if words:
@@ -83,7 +100,7 @@ def parse(html: str | None) -> Page:
             words.clear()
             at = stack[-1] if stack else top
             if text and not at[2]:
-                page.blocks.append((at[1], text, at[3]))
+                found.append(((at[1], text, at[3]), at[4]))
 
     for token in _TOKEN.finditer(html or ""):
         if token["text"] is not None:
@@ -96,7 +113,8 @@ def parse(html: str | None) -> Page:
             words.append(" ")
         if token["end"]:
             if any(e[0] == name for e in stack):
-                if name in BLOCK or stack[-1][2]:
+                first = max(i for i, e in enumerate(stack) if e[0] == name)
+                if name in BLOCK or stack[-1][2] or stack[-1][4] != (stack[first - 1] if first else top)[4]:
                     flush()
                 while stack:
                     closed = stack.pop()
@@ -118,15 +136,26 @@ def parse(html: str | None) -> Page:
         page.tags[path] += 1
         if name in VOID:
             continue
-        unwanted = above[2] or _unwanted(name, token["attrs"] or "", bool(above[3]))
-        if unwanted and not above[2]:
+        unwanted, by_name = (True, False) if above[2] else _unwanted(name, token["attrs"] or "", bool(above[3]))
+        if unwanted and not above[2] or by_name:
             flush()
+        named = above[4]
+        if by_name:
+            named, n_named = (*named, n_named), n_named + 1
         article = above[3]
         if not article and not unwanted and (name in ("article", "main") or 'role="main"' in (token["attrs"] or "")):
             articles += 1
             article = articles
-        stack.append((name, path, unwanted, article))
+            holding.append(named)
+        stack.append((name, path, unwanted, article, named))
     flush()
+    sizes = Counter()
+    for (_, text, _), named in found:
+        sizes.update(dict.fromkeys(named, len(text)))
+    total = sum(len(b[1]) for b, _ in found)
+    only = set() if () in holding else {n for named in holding for n in named}
+    gone = {n for n in sizes if 2 * sizes[n] < total and n not in only}
+    page.blocks = [b for b, named in found if gone.isdisjoint(named)]
     return page
 
 

@@ -229,6 +229,18 @@ def test_html_template_of_a_host(spark):
     assert got[9].text == "Welcome to us"  # one page tells no template
 
 
+def test_html_names_of_wrappers_and_slugs(spark):
+    text = "<p>The text of the page, which is long enough.</p>"
+    wraps = ["content has-sidebar", "no-sidebar", "comments-open", "share-enabled", "content sidebar"]
+    rows = [(i, "u", f"<body><div class='site-footer'>foot</div><div class='{w}'><article>{text}</article></div></body>") for i, w in enumerate(wraps)]
+    rows += [(10, "u", f"<article class='post comments-open'><h2 id='related-work'>Related</h2>{text}<section id='search-methods'>Methods</section><div class='cookie-notice'>Accept</div></article>")]
+    rows += [(11, "u", f"<div class='sidebar'>{text}</div><div class='ad'>buy</div>"), (12, "u", f"{text}a <span class='ad'>buy <b>now</b></span> b")]
+    got = extract(spark, rows)
+    plain = text[3:-4]
+    assert all(got[i].text == plain for i in range(5)) and got[10].text == f"Related\n\n{plain}\n\nMethods"
+    assert got[11].text == plain and got[12].text == f"{plain}\n\na\n\nb"
+
+
 def test_html_copies_are_no_template(spark):
     got = extract(spark, [page(i, "<p>The same article.</p>") for i in range(1, 9)])
     assert {r.text for r in got.values()} == {"The same article."}
