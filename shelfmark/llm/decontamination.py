@@ -1,20 +1,22 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming search, in DataFrame functions only.
 
-A benchmark item of L words is looked for in windows of L words. Windows and items are multisets of five-word shingles of lower-cased words,
+A benchmark item of L words is looked for in windows of L words; of a document with fewer words the whole is the one window. Windows and items are multisets of five-word shingles of lower-cased words,
 and a document leaks an item if a window has a weighted Jaccard similarity of 0.8 or more to it.
 
-1. Windows. A window and an item have L - 4 shingles each, so at 0.8 they share at least 8/9 of them. Only windows that hold
-   as many shingles of the item are built; that loses nothing and leaves few windows.
+1. Windows. At 0.8 a window of a shingles and an item of b share at least 4/9 (a + b) of them, which is 8/9 of the L - 4 that both have unless the
+   document is shorter. Only windows that hold as many shingles of the item are built; that loses nothing and leaves few windows.
 2. Fingerprints. Each window and item gets a 64-bit SimHash of its weighted shingles.
 3. Multi-index blocks. The 64 bits are cut into 5 blocks. Two fingerprints within a Hamming radius of 19 agree in some block but for 3 bits, so items are indexed
    under every value within 3 bits of each block: an equi-join on (L, block, value) finds all pairs within the radius. At a
    similarity of 0.8 the distance is 9.7 +- 2.9 bits, so 99.9 % of such windows are within the radius, and nearly all above.
+   Windows of unequal size are nearer at the same similarity.
 4. The exact weighted similarity decides.
 
 The item side is broadcast only up to `broadcast_rows` index rows, else it is shuffled. Documents are never paired with each other.
 
 Defined results: null texts are empty. Items under five words are too short to tell and match nothing; a null item_id is an item of its own. Rows that
-repeat a doc_id are searched each by its own text. Of equal windows the first is reported. Other columns are ignored.
+repeat a doc_id are searched each by its own text. Of equal windows the first is reported. Other columns are ignored. `OP9_SQL` has no windows in documents
+shorter than an item.
 """
 
 from __future__ import annotations
@@ -82,7 +84,7 @@ def item_index(items: DataFrame) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """doc_id, item_id, start (first word of the best window, from 0), length, similarity: one row for each row of `docs` and item it leaks."""
+    """doc_id, item_id, start (first word of the best window, from 0), length (its words), similarity: one row for each row of `docs` and item it leaks."""
     items = store(item_index(items).withColumn("item", F.xxhash64("item_id", "shingles")), "items")
     hint = lambda df, rows: F.broadcast(df) if rows <= broadcast_rows else df
     n_items, n_shingles = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()
@@ -91,10 +93,12 @@ def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, br
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     row = F.xxhash64("text").alias("row")
     have = items.select("item", "length", F.explode(F.array_distinct("shingles")).alias("shingle"))
-    seen = texts.select("doc_id", row, F.posexplode(shingle_hashes(F.col("text"))).alias("at", "shingle"))
+    seen = texts.select("doc_id", row, shingle_hashes(F.col("text")).alias("all"))
+    seen = seen.select("doc_id", "row", F.size("all").alias("own"), F.posexplode("all").alias("at", "shingle"))
     hits = seen.join(hint(have, n_shingles), "shingle")
-    need = F.ceil(2 * similar / (1 + similar) * (F.col("length") - (SHINGLE - 1)) - 1e-9).cast("int")
-    at = hits.groupBy("doc_id", "row", "item", "length").agg(F.sort_array(F.collect_list("at")).alias("at")).withColumn("need", need)
+    size = F.col("length") - (SHINGLE - 1)
+    need = F.ceil(similar / (1 + similar) * (size + F.least("own", size)) - 1e-9).cast("int")
+    at = hits.groupBy("doc_id", "row", "own", "item", "length").agg(F.sort_array(F.collect_list("at")).alias("at")).withColumn("need", need)
     # A window that holds hits i to i + need - 1 starts at the earliest so that it reaches the last of them, at the latest at the first.
     span = lambda i: F.sequence(
         F.greatest(F.lit(0), F.element_at("at", i + F.col("need") - 1) - (F.col("length") - SHINGLE)), F.element_at("at", i)
@@ -110,7 +114,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, br
     rows = texts.withColumn("row", row).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
     rows = rows.select("doc_id", "row", shingle_hashes(F.col("text")).alias("all"), "places")
     cut = F.transform("places", lambda p: F.struct(p["length"].alias("length"), p["start"].alias("start"), F.slice("all", p["start"] + 1, p["length"] - (SHINGLE - 1)).alias("window")))
-    windows = rows.select("doc_id", "row", F.inline(cut)).filter(F.size("window") == F.col("length") - (SHINGLE - 1))
+    windows = rows.select("doc_id", "row", F.size("all").alias("own"), F.inline(cut)).filter(F.size("window") == F.least("own", size)).drop("own")
     windows = store(windows.withColumn("print", simhash(F.col("window"))), "windows")
 
     # 3. All pairs of fingerprints within the radius.
@@ -126,7 +130,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, br
     near = near.withColumnsRenamed({c: f"{c}_" for c in ("doc_id", "row", "start", "length")})
     same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("row") == F.col("row_")) & (F.col("start") == F.col("start_")) & (F.col("length") == F.col("length_"))
     checked = windows.join(near, same).select("doc_id", "row", "start", "window", "item")
-    checked = checked.join(hint(items, n_shingles), "item").withColumn("similarity", weighted_jaccard(F.col("window"), F.col("shingles")))
+    checked = checked.join(hint(items, n_shingles), "item").withColumn("similarity", weighted_jaccard(F.col("window"), F.col("shingles"))).withColumn("length", F.size("window") + (SHINGLE - 1))
     best = checked.filter(F.col("similarity") >= similar).groupBy("doc_id", "row", "item_id", "item", "length").agg(F.max(F.struct("similarity", -F.col("start"))).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.col2")).cast("long").alias("start"), F.col("length").cast("long").alias("length"), F.col("best.similarity").alias("similarity"))
 

@@ -166,6 +166,16 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0 and decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    item = [f"w{i}" for i in range(50)]
+    texts = [item[:-1], item[:25] + item[26:], item[4:], item[:40], item[:20] + item[29:], item[1:] + ["x", "y"]]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = docs_of(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: (r.start, r.length, round(r.similarity, 6)) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {0: (0, 49, round(45 / 46, 6)), 1: (0, 49, round(41 / 50, 6)), 2: (0, 46, round(42 / 46, 6)), 5: (0, 50, round(45 / 47, 6))}
+    assert sorted(r.doc_id for r in decontamination.drop_contaminated(docs, bench).collect()) == [3, 4]
+
+
 def test_simhash_is_the_majority_of_bits(spark):
     rng = random.Random(6)
     hashes = [rng.getrandbits(64) - 2**63 for _ in range(21)]
