@@ -1,6 +1,7 @@
 """Surrogates for personal data.
 
-E-mail addresses, telephone numbers, IP addresses, account and card numbers, and names after a form of address are replaced by keyed
+E-mail addresses, telephone numbers, IP addresses, account (IBAN) and card numbers, and names after a form of address, with all further mentions of
+these names in the same text, are replaced by keyed
 surrogates of the same type: letters by letters of the same script and case, digits by digits in the same format, addresses that stay valid, card
 numbers that stay or don't become valid alike, names with the gender that the form of address gives.
 
@@ -9,6 +10,9 @@ one surrogate in all documents (coreference), written in the format of each ment
 entity of the corpus, is a collision: the entity that comes later tries the next surrogate of its keyed series until none collide, so distinct
 entities stay distinct. Collisions are found by grouping all entities by surrogate.
 
+A given name after an open form of address (`Dr`) has the gender that the same full name has elsewhere in its text, else the one gender that the given
+name has in the corpus, else its own kind.
+
 Only entities are gathered and joined, and only documents that may hold one are shuffled for replacement; all others pass by.
 
 Defined results: null texts stay null and have no entities. Rows that repeat a doc_id get the same surrogates. Other columns are ignored.
@@ -20,6 +24,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,13 +46,15 @@ _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _FIND = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)"
+    r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?<![\w.+-])(?P<card>\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})(?![\w]|-\d)"
-    r"|(?<![\w.])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![\w]|[.-]\d)"
+    r"|(?<![\w.])(?P<phone>\+\d{7,15}|\d{10,12}|0\d(?:[ .-]\d{2}){4}|\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,2}(?:[ .-]\d{2}){3,5}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![\w]|[.-]\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     rf"|\b(?P<title>{'|'.join((*MALE, *FEMALE, *OPEN))})\b\.? (?P<names>{_NAME}(?: {_NAME}){{0,2}})"
 )
+_COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
 #: What a text with any entity has.
-MAY_HOLD = rf"[0-9]|@|\b({'|'.join((*MALE, *FEMALE, *OPEN))})\b"
+MAY_HOLD = rf"\p{{Nd}}|@|\b({'|'.join((*MALE, *FEMALE, *OPEN))})\b"
 
 
 def _gender(title: str) -> str:
@@ -57,25 +64,62 @@ def _gender(title: str) -> str:
 def _entity(kind: str, mention: str) -> str:
     if kind in ("email", "ip"):
         return mention.lower()
-    country = re.match(r"\+\d+", mention)
+    if kind == "iban":
+        return mention.replace(" ", "")
+    # A number without separators has its country's code in front: of one digit, of two as listed, else of three.
+    country = _COUNTRY.match(mention) if re.fullmatch(r"\+\d+", mention) else re.match(r"\+\d+", mention)
     return re.sub(r"\D", "", mention) if not country else f"{country[0]}:{re.sub(r'\D', '', mention[country.end():])}"
 
 
 def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     """(begin, end, kind, entity) of each mention, in text order. Kinds of names: given-m, given-f, given-x and surname."""
-    for m in _FIND.finditer(text or ""):
+    text, found, people = text or "", [], []
+    for m in _FIND.finditer(text):
         kind = m.lastgroup
         if kind != "names":
-            own = m[kind]
-            yield m.start(kind), m.end(kind), kind, _entity(kind, own)
+            found.append((m.start(kind), m.end(kind), kind, _entity(kind, m[kind])))
             continue
         parts = []
         for w in re.finditer(r"\S+", m["names"]):
             if not w[0][0].isupper():
                 break
-            parts.append((m.start("names") + w.start(), m.start("names") + w.end(), w[0].lower()))
-        for i, (a, b, name) in enumerate(parts):
-            yield a, b, f"given-{_gender(m['title'])}" if i < len(parts) - 1 else "surname", name
+            name = re.sub(r"(?<=..)['’]s$", "", w[0])
+            parts.append((m.start("names") + w.start(), m.start("names") + w.start() + len(name), name.lower()))
+        if parts:
+            people.append((_gender(m["title"]), parts))
+    if people:
+        found = sorted([*found, *_named(text, people, [x[:2] for x in found])])
+    yield from found
+
+
+def _named(text: str, people: list[tuple[str, list[tuple[int, int, str]]]], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """All mentions of the people that forms of address name in a text."""
+    full = lambda parts: tuple(p[2] for p in parts)
+    genders: dict[tuple[str, ...], set[str]] = {}
+    for gender, parts in people:
+        genders.setdefault(full(parts), set()).update({gender} - {"x"})
+    found, kinds, persons = [], {}, {}
+    for gender, parts in people:
+        known = genders[full(parts)]
+        kind = f"given-{next(iter(known)) if gender == 'x' and len(known) == 1 else gender}"
+        for i, (begin, end, name) in enumerate(parts):
+            own = kind if i < len(parts) - 1 else "surname"
+            found.append((begin, end, own, name))
+            kinds.setdefault(name, own)
+            if own != "surname":
+                persons.setdefault((name, parts[i + 1][2]), own)
+    spans = sorted([*taken, *(x[:2] for x in found)])
+    starts = [x[0] for x in spans]
+    either = "|".join(map(re.escape, sorted(kinds, key=lambda n: (-len(n), n))))
+    further = [m for m in re.finditer(rf"(?<![\w@])(?:{either})(?!\w)", text, re.I) if m[0][0].isupper() and m[0].lower() in kinds]
+    for m, after in zip(further, [*further[1:], None], strict=True):
+        at = bisect_right(starts, m.start()) - 1
+        if at >= 0 and spans[at][1] > m.start() or at + 1 < len(spans) and spans[at + 1][0] < m.end():
+            continue
+        name = m[0].lower()
+        pair = (name, after[0].lower()) if after and text[m.end() : after.start()] == " " else None
+        found.append((m.start(), m.end(), persons.get(pair, kinds[name]), name))
+    return found
 
 
 class Draws:
@@ -125,6 +169,11 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         body = str(1 + draws.below(9)) + "".join(str(draws.below(10)) for _ in entity[2:])
         check = (10 - _luhn(body + "0")) % 10
         return body + str(check if _luhn(entity) == 0 else (check + 1 + draws.below(9)) % 10)
+    if kind == "iban":
+        body = "".join(str(draws.below(10)) if c.isdigit() else chr(65 + draws.below(26)) for c in entity[4:])
+        left = lambda iban: int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+        check = 98 - left(f"{entity[:2]}00{body}")
+        return f"{entity[:2]}{check if left(entity) == 1 else (check + 1 + draws.below(95)) % 97:02d}{body}"
     if kind in ("phone", "ssn"):
         country, colon, number = entity.rpartition(":")
         return country + colon + "".join(str(draws.below(10)) for _ in number)
@@ -139,6 +188,9 @@ def dressed(kind: str, new: str, mention: str) -> str:
     if kind in ("card", "phone", "ssn"):
         digits = iter(new.replace("+", "").replace(":", ""))
         return "".join(next(digits) if c.isdigit() else c for c in mention)
+    if kind == "iban":
+        signs = iter(new)
+        return "".join(c if c == " " else next(signs) for c in mention)
     if kind == "ip":
         return new
     if kind == "email":
@@ -193,7 +245,12 @@ def pseudonymised(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     # A row goes by its whole text: what repeats has the same entities.
     held = rows.filter(may).withColumn("row", F.md5(F.encode("text", "UTF-8")))
     found = store(held.select("row", "text").mapInPandas(_found, "row string, kind string, entity string").distinct(), "entities")
-    new = surrogates(found.select("kind", "entity").distinct(), key)
+    # Given names of open gender go by the one gender that the corpus knows them with.
+    known = found.filter("kind IN ('given-m', 'given-f')").groupBy("entity").agg(F.min("kind").alias("known"), F.max("kind").alias("other")).filter("known = other")
+    of = found.select("kind", "entity").distinct().join(known.drop("other"), "entity", "left")
+    of = store(of.withColumn("as", F.when(F.col("kind") == "given-x", F.coalesce("known", "kind")).otherwise(F.col("kind"))).select("kind", "entity", "as"), "kinds")
+    new = surrogates(of.select(F.col("as").alias("kind"), "entity").distinct(), key).withColumnRenamed("kind", "as")
+    new = of.join(new, ["as", "entity"]).drop("as")
     pairs = found.join(new, ["kind", "entity"]).groupBy("row").agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("pairs"))
     changed = held.join(pairs, "row", "left").select("doc_id", "text", "pairs").mapInPandas(_replace, "doc_id long, text string, n_mentions long")
     return changed.union(rows.filter(~may).select("doc_id", "text", F.lit(0).cast("long")))

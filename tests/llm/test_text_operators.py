@@ -136,6 +136,20 @@ def test_pii(spark):
     assert pii.pseudonymised(docs_of(spark, rows[:1]).limit(0)).count() == 0
 
 
+def test_pii_further_mentions_phones_and_ibans(spark):
+    numbers = ["+4917012345678", "5551234567", "06 12 34 56 78", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "٠١٢-٣٤٥-٦٧٨٩"]
+    rows = [(1, "Mr Alex Smith called. Smith said so; Alex Smith's SMITH. Dr Alex Smith left.", "s"), (2, "Dr Alex Smith wrote.", "s"), *[(10 + i, n, "s") for i, n in enumerate(numbers)]]
+    got = {r.doc_id: r.text for r in pii.pseudonymised(docs_of(spark, rows)).collect()}
+    given, sur = re.match(r"Mr (\w+) (\w+) called", got[1]).groups()
+    assert got[1] == f"Mr {given} {sur} called. {sur} said so; {given} {sur}'s {sur.upper()}. Dr {given} {sur} left." and got[2] == f"Dr {given} {sur} wrote."
+    assert given != "Alex" and sur != "Smith"
+    for i, n in enumerate(numbers):
+        new = got[10 + i]
+        assert new != n and len(new) == len(n) and [c.isdigit() for c in new] == [c.isdigit() for c in n] and (i != 0 or new[:1] == "+")
+    iban = got[13].replace(" ", "")
+    assert iban[:2] == "DE" and int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
 def test_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([("ssn", f"{i:03d}") for i in range(400)], "kind string, entity string")
     new = pii.surrogates(entities).collect()
