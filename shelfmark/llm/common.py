@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.sources.work import store, work_folder
 
-__all__ = ["SPACES", "n_words_of", "small_batches", "store", "table", "text_of", "words_of", "work_folder"]
+__all__ = ["SPACES", "free_name", "n_words_of", "small_batches", "store", "table", "text_of", "without", "words_of", "work_folder"]
 
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -35,3 +35,19 @@ def words_of(text: Column) -> Column:
 
 def n_words_of(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have, case aside."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id and text aren't in `gone` (doc_id, row: the text's hash), with all their columns."""
+    doc, row = free_name(docs, "gone_id"), free_name(docs, "gone_row")
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("row").alias(row))
+    same = F.xxhash64(docs["text"].cast("string")) == gone[row]
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[doc]) & same, "left_anti")

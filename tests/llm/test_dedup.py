@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.llm import exact_dedup, near_dedup, substring_dedup
 from shelfmark.llm.hashing import runs, sliding_min, word_hashes
@@ -110,6 +111,8 @@ def shingle_counts(text):
 
 
 def brute_similarity(a, b):
+    if max(a.values()) == max(b.values()) == 1:  # plain Jaccard
+        return len(a.keys() & b.keys()) / len(a.keys() | b.keys())
     return sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in {*a, *b}) for i in a if i in b)
 
 
@@ -125,7 +128,7 @@ def brute_classes(rows):
     ids = [i for i in sorted(sets) if sets[i]]
     for n, i in enumerate(ids):
         for j in ids[n + 1 :]:
-            if root(i) != root(j) and brute_similarity(sets[i], sets[j]) >= 0.8:
+            if root(i) != root(j) and sets[i].keys() & sets[j].keys() and brute_similarity(sets[i], sets[j]) >= 0.8:
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     return {i: root(i) for i in sets}
@@ -182,3 +185,63 @@ def test_similarity_and_its_bound():
         assert s == pytest.approx(brute_similarity(a, b))
         u, v = (sum(n for k, n in p.items() if k not in q) / sum(p.values()) for p, q in ((a, b), (b, a)))
         assert s <= (1 - (u + v) / 2) / (1 + min(u, v)) + 1e-9
+
+
+def test_near_duplicates_of_documents_are_all_found(spark):
+    """Every link of the given documents, from all pairs with a shingle in common."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    sets = {i: shingle_counts(t) for i, t in rows}
+    holders = {}
+    for i, c in sets.items():
+        for k in c:
+            holders.setdefault(k, []).append(i)
+    size = {i: sum(c.values()) for i, c in sets.items()}
+    links = 0
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    found = 0
+    for i, c in sets.items():
+        for j in {j for k in c for j in holders[k] if j > i}:
+            # Distributions that differ by more than 0.2 can't be 0.8 similar.
+            if c == sets[j] or sum(min(c[k] / size[i], sets[j][k] / size[j]) for k in c.keys() & sets[j].keys()) >= 0.8 and brute_similarity(c, sets[j]) >= 0.8:
+                links += 1
+                found += got[i] == got[j]
+    assert links > 50 and found == links
+
+
+def test_near_duplicates_of_a_group_without_its_centre(spark):
+    """Many copies of one text, each with edits of its own, and no copy without edits."""
+    rng = random.Random(11)
+    base, rows = words(rng, 150), []
+    for i in range(160):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.choice((1, 2, 3, 4, 6))):
+            copy[at] = f"x{rng.randrange(100000)}"
+        rows.append((i, " ".join(copy)))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_components_of_a_long_chain_in_order(spark):
+    rounds = []
+    links = spark.range(1000).select((1 + F.col("id")).alias("b"), F.col("id").alias("a"))
+    found = near_dedup.components(links, rounds=rounds).collect()
+    assert len(found) == 1001 and {r.component for r in found} == {0}
+    assert len(rounds) <= 10 and sum(rounds) <= 22
+    rng = random.Random(1)
+    name = list(range(300))
+    rng.shuffle(name)
+    links = [(name[i], name[i + 1]) for i in range(299) if i % 50] + [(5, 5)]
+    found = {r.vertex: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long"), rounds=rounds).collect()}
+    want = {name[i]: min(name[j] for j in range(300) if (j - 1) // 50 == (i - 1) // 50) for i in range(1, 300)}
+    assert {v: found[v] for v in want} == want
+
+
+def test_near_duplicates_with_clashing_columns_repeated_ids_and_a_long_text(spark):
+    text = " ".join(f"t{i}" for i in range(40))
+    long = " ".join(f"v{i % 5003}" for i in range(150_000))
+    rows = [(1, text), (2, text + " more"), (2, "quite another text of the same id"), (3, long), (4, long + " end"), (5, None)]
+    docs = spark.createDataFrame([(i, t, *"abcdefg") for i, t in rows], "doc_id long, text string, row string, doc string, key string, gone_id string, GONE_ROW string, vertex string, `group` string")
+    kept = near_dedup.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, text), (2, rows[2][1]), (3, long), (5, "")]
