@@ -1,20 +1,24 @@
 """HTML extraction by equivalence-class template deduction.
 
-Tokens are the tags of a page, told apart by their path, and its text blocks, told apart by path and wording. Over the pages of one host each token
-has an occurrence vector: how often each page has it. Tokens with equal vectors form an equivalence class. A class is valid if it
-has tags and covers at least `LEAST_PAGES` pages and half of the host; valid classes nest by their paths into the host's template, and
-text blocks in them are template text, such as the same notice on each page. What the template leaves are slots;
-the text of the page is that of the slots under its article, or of all slots where a page marks none, less elements
+Tokens are the begins and ends of a page's elements, told apart by their path, and its text blocks, told apart by path and wording. Over the pages of one
+host each token has an occurrence vector: how often each page has it. Tokens with equal vectors form an equivalence class, if it has
+tags and covers at least `LEAST_PAGES` pages and half of the host. On each page a class is tried for two properties: it is ordered if its tokens
+come as repetitions of one sequence, and it is nested if each repetition lies within one gap of the class around it or in none, as brackets do.
+A class is valid if more than half of its pages agree on its sequence and on the class and gap it lies in, and the class around it is valid; valid classes, each in its
+parent's gap, are the host's template. Text blocks in them are template text, such as the same notice on each page; what they leave are slots.
+The text of the page is that of the slots under its articles, or of all slots where a page marks none, less elements
 whose tag or role says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments. A class or id that says so must
 say it as a whole name (`sidebar`, `cookie-notice`, not `has-sidebar`), and drops its element only if that has less than half of the page's text and
-not the page's only articles; the id of a heading or paragraph says nothing.
+not the page's only articles; the id of a heading or paragraph says nothing. Inside an article only names of these kinds count: `related`,
+`search` or `share` drop nothing there, and controls outside a form keep their text.
 
 Vectors are never gathered: a page adds the hash of (page, count) to a token's running exclusive-or, so a host with a third of all pages costs what
-its pages cost, pre-aggregated before each shuffle. Pages of a host with the same text count once. A host has at most twice as many
-template blocks as an average page has blocks; they are broadcast up to `BROADCAST_ROWS` and joined by host beyond.
+its pages cost, pre-aggregated before each shuffle. Pages of a host with the same text count once. A token that half of a host's pages have is one of
+at most twice as many as an average page has, so a host's classes and template are of a page's size; they are broadcast up to `BROADCAST_ROWS` tokens (16 bytes each) and
+joined by host beyond.
 
 Defined results: a null html is empty, and a page without text gives an empty string. Null urls are one host. Repeated rows give repeated
-results. Hosts of fewer than `LEAST_PAGES` pages have no template. Other columns are ignored.
+results. Hosts of fewer than `LEAST_PAGES` pages have no template. Pages of any length are read whole, one at a time. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, store, table
@@ -38,9 +42,11 @@ LEAST_PAGES, BROADCAST_ROWS = 4, 200_000
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
 CLOSES_P = BLOCK - {"html", "body", "tbody", "tfoot", "thead", "tr"}
-UNWANTED = set("head nav footer aside form dialog button select input label option menu script style noscript template iframe object svg canvas audio video".split())
+UNWANTED = set("head nav footer aside form dialog menu script style noscript template iframe object svg canvas audio video".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended comment comments disqus replies reply respond toolbar pagination pager search copyright".split())
+#: Those that count inside an article too.
+STRICT = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay sidebar aside menu nav navbar navigation footer masthead comment comments disqus replies".split())
 #: What may stand beside them in one name, as in `site-footer`.
 BESIDE = set("site page main top bottom left right box bar block area wrapper wrap container content list section widget links link item items form inner body button buttons icons unit slot thread".split())
 SLUGS = set("h1 h2 h3 h4 h5 h6 p".split())
@@ -59,10 +65,10 @@ _PARTS = re.compile(r"[^a-z]+")
 
 @dataclass
 class Page:
-    """Blocks (path, text, number of the article it is in or 0) in page order, and how often each tag occurs."""
+    """Blocks (path, text, whether in an article) and tokens (hashes of element begins, ends and blocks), both in page order."""
 
-    blocks: list[tuple[str, str, int]] = field(default_factory=list)
-    tags: Counter = field(default_factory=Counter)
+    blocks: list[tuple[str, str, bool]] = field(default_factory=list)
+    tokens: list[int] = field(default_factory=list)
 
 
 def _names(said: str, names: set[str]) -> bool:
@@ -83,15 +89,17 @@ def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     if name == "article":
         return _names(own.get("class", ""), {"comment", "comments"}), False
     said = own.get("class", "") + ("" if name in SLUGS else f" {own.get('id', '')}")
-    return False, name not in ("html", "body", "main") and own.get("role") != "main" and _names(said, NAMES)
+    return False, name not in ("html", "body", "main") and own.get("role") != "main" and _names(said, STRICT if in_article else NAMES)
 
 
 def parse(html: str | None) -> Page:
     page, stack, words = Page(), [], []
-    # Open elements as (name, path, unwanted, article, named); all but the name hold below an element as well. `named` are the numbers of elements named as unwanted.
-    top = ("", "", False, 0, ())
-    articles = n_named = 0
-    found: list[tuple[tuple[str, str, int], tuple[int, ...]]] = []
+    # Open elements as (name, path, unwanted, in an article, named); all but the name hold below an element as well. `named` are the numbers of elements named as unwanted.
+    top = ("", "", False, False, ())
+    n_named = 0
+    #: Begins and ends of elements as (kind, path), blocks as their number.
+    events: list[tuple[str, str] | int] = []
+    found: list[tuple[tuple[str, str, bool], tuple[int, ...]]] = []
     holding: list[tuple[int, ...]] = []
 
     def flush() -> None:
@@ -100,8 +108,13 @@ def parse(html: str | None) -> Page:
             words.clear()
             at = stack[-1] if stack else top
             if text and not at[2]:
+                events.append(len(found))
                 found.append(((at[1], text, at[3]), at[4]))
 
+    def close(first: int) -> None:
+        while len(stack) > first:
+            events.append(("/", stack.pop()[1]))
+
     for token in _TOKEN.finditer(html or ""):
         if token["text"] is not None:
             words.append(token["text"])
@@ -116,27 +129,26 @@ def parse(html: str | None) -> Page:
                 first = max(i for i, e in enumerate(stack) if e[0] == name)
                 if name in BLOCK or stack[-1][2] or stack[-1][4] != (stack[first - 1] if first else top)[4]:
                     flush()
-                while stack:
-                    closed = stack.pop()
-                    if closed[0] == name:
-                        break
-                    if closed[0] in BLOCK:
+                while len(stack) > first:
+                    closed = stack[-1][0]
+                    close(len(stack) - 1)
+                    if closed != name and closed in BLOCK:
                         flush()
             continue
         if name in CLOSES_P or name == "body":
             flush()
             if name in CLOSES_P and (inner := next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCK), -1)) >= 0 and stack[inner][0] in ({"p", "li"} if name == "li" else {"p"}):
-                del stack[inner:]
+                close(inner)
         elif name in BLOCK:
             flush()
         if name == "body":
-            stack = [e for e in stack if e[0] == "html"]
+            close(next((i for i, e in enumerate(stack) if e[0] != "html"), len(stack)))
         above = stack[-1] if stack else top
         path = f"{above[1]}/{name}"
-        page.tags[path] += 1
+        events.append(("<", path))
         if name in VOID:
             continue
-        unwanted, by_name = (True, False) if above[2] else _unwanted(name, token["attrs"] or "", bool(above[3]))
+        unwanted, by_name = (True, False) if above[2] else _unwanted(name, token["attrs"] or "", above[3])
         if unwanted and not above[2] or by_name:
             flush()
         named = above[4]
@@ -144,33 +156,74 @@ def parse(html: str | None) -> Page:
             named, n_named = (*named, n_named), n_named + 1
         article = above[3]
         if not article and not unwanted and (name in ("article", "main") or 'role="main"' in (token["attrs"] or "")):
-            articles += 1
-            article = articles
+            article = True
             holding.append(named)
         stack.append((name, path, unwanted, article, named))
     flush()
+    close(0)
     sizes = Counter()
     for (_, text, _), named in found:
         sizes.update(dict.fromkeys(named, len(text)))
     total = sum(len(b[1]) for b, _ in found)
     only = set() if () in holding else {n for named in holding for n in named}
     gone = {n for n in sizes if 2 * sizes[n] < total and n not in only}
-    page.blocks = [b for b, named in found if gone.isdisjoint(named)]
+    stays = [gone.isdisjoint(named) for _, named in found]
+    page.blocks = [b for (b, _), s in zip(found, stays, strict=True) if s]
+    page.tokens = [token_hash("text", *found[e][0][:2]) if isinstance(e, int) else token_hash(*e) for e in events if not isinstance(e, int) or stays[e]]
     return page
 
 
 def token_hash(kind: str, path: str, text: str = "") -> int:
-    return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass")) - 2**63
+    """Hashes of texts are odd, those of tags even."""
+    return (xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass")) & ~1 | (kind == "text")) - 2**63
 
 
 def main_text(page: Page, template: set[int]) -> str:
-    """The text of the slots: blocks that are no template text, of the article with most text if the page marks any."""
+    """The text of the slots: blocks that are no template text, of the articles if any has text."""
     slots = [b for b in page.blocks if not template or token_hash("text", b[0], b[1]) not in template]
-    sizes: Counter[int] = Counter()
-    for _, text, article in slots:
-        sizes[article] += len(text) if article else 0
-    best = max(sorted(sizes), key=lambda a: sizes[a], default=0)
-    return "\n\n".join(text for _, text, article in slots if not best or not sizes[best] or article == best)
+    marked = any(article for _, _, article in slots)
+    return "\n\n".join(text for _, text, article in slots if article or not marked)
+
+
+def nesting(tokens: list[int], classes: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """(class, its sequence's hash, the class around it, which gap) for each class that is ordered and nested on a page. 0, 0: no class is around it."""
+    places: dict[int, list[int]] = {}
+    for t in tokens:
+        if t in classes:
+            places.setdefault(classes[t], []).append(t)
+    order = {}
+    for c, seq in places.items():
+        period = seq[: len(set(seq))]
+        if period * (len(seq) // len(period)) == seq:
+            order[c] = {t: i for i, t in enumerate(period)}
+    around: dict[int, tuple[int, int]] = {}
+    bad, open_at = set(), []
+    for t in tokens:
+        c = classes.get(t)
+        if c not in order or c in bad:
+            continue
+        i = order[c][t]
+        if i == 0:
+            outer = tuple(open_at[-1]) if open_at else (0, 0)
+            if around.setdefault(c, outer) != outer:
+                bad.add(c)
+                continue
+            open_at.append([c, 0])
+        else:
+            # Classes that began within a repetition of this one and haven't ended are crossed by it, so not nested.
+            while open_at and open_at[-1][0] != c:
+                bad.add(open_at.pop()[0])
+            if not open_at:
+                bad.add(c)
+                continue
+            open_at[-1][1] = i
+        if i == len(order[c]) - 1:
+            open_at.pop()
+    return [(c, _digest(order[c]), *around[c]) for c in order if c in around and c not in bad]
+
+
+def _digest(order: dict[int, int]) -> int:
+    return xxhash.xxh64_intdigest(",".join(map(str, order)).encode()) - 2**63
 
 
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,10 +231,18 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for host, html in zip(batch["host"], batch["html"], strict=True):
             page = parse(html)
-            content = xxhash.xxh64_intdigest("\0".join(t for _, t, _ in page.blocks).encode("utf-8", "surrogatepass")) - 2**63
-            rows += [(host, content, token_hash("tag", path), True, n) for path, n in page.tags.items()]
-            rows += [(host, content, token_hash("text", *b), False, n) for b, n in Counter((p, t) for p, t, _ in page.blocks).items()]
-        yield pd.DataFrame(rows, columns=["host", "content", "token", "is_tag", "n"])
+            rows.append((host, xxhash.xxh64_intdigest("\0".join(t for _, t, _ in page.blocks).encode("utf-8", "surrogatepass")) - 2**63, page.tokens))
+        yield pd.DataFrame(rows, columns=["host", "content", "tokens"])
+
+
+def _nestings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows, host_classes = [], {}
+        for host, tokens, classes in zip(batch["host"], batch["tokens"], batch["classes"], strict=True):
+            if host not in host_classes:
+                host_classes = {host: {x["token"]: x["class"] for x in classes}}
+            rows += [(host, *x) for x in nesting(list(tokens), host_classes[host])]
+        yield pd.DataFrame(rows, columns=["host", "class", "sequence", "parent", "gap"])
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,17 +251,40 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
 
+def _by_host(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """One row for each host with its values in an array, broadcast if the rows are few."""
+    out = rows.groupBy("host").agg(F.collect_list(value).alias(name))
+    return F.broadcast(out) if rows.count() <= BROADCAST_ROWS else out
+
+
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host, token: the text blocks in valid equivalence classes of each host."""
-    tokens = pages.mapInPandas(_tokens, "host string, content long, token long, is_tag boolean, n int")
-    # Copies of a page count once: of pages with the same text and different tags, the larger counts.
-    tokens = store(tokens.groupBy("host", "content", "token", "is_tag").agg(F.max("n").alias("n")), "page-tokens")
-    vectors = tokens.groupBy("host", "token", "is_tag").agg(F.bit_xor(F.xxhash64("content", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"))
-    host_pages = tokens.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    """host, class, parent, gap, token: the template of each host, as valid classes in the gaps of their parents (0: the page)."""
+    tokens = pages.mapInPandas(_tokens, "host string, content long, tokens array<long>")
+    # Copies of a page count once: of pages with the same text and different tags, the one with the least tokens.
+    tokens = store(tokens.groupBy("host", "content").agg(F.min("tokens").alias("tokens")), "page-tokens")
+    counts = tokens.select("host", "content", F.explode("tokens").alias("token")).groupBy("host", "content", "token").agg(F.count(F.lit(1)).alias("n"))
+    vectors = counts.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("content", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"))
+    host_pages = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     vectors = vectors.filter(F.col("pages") >= least_pages).join(host_pages, "host").filter("2 * pages >= host_pages")
-    vectors = store(vectors, "occurrence-vectors")
-    valid = vectors.filter("is_tag").select("host", "vector", "pages").distinct()
-    return vectors.filter("NOT is_tag").join(valid, ["host", "vector", "pages"], "left_semi").select("host", "token")
+    vectors = store(vectors.select("host", "token", "pages", F.xxhash64("vector", "pages").alias("class")), "occurrence-vectors")
+    tagged = vectors.filter("token % 2 = 0").select("host", "class").distinct()
+    classes = store(vectors.join(tagged, ["host", "class"], "left_semi"), "classes")
+
+    found = tokens.join(_by_host(classes, "classes", F.struct("token", "class")), "host").select("host", "tokens", "classes")
+    found = found.mapInPandas(_nestings, "host string, `class` long, sequence long, parent long, gap int")
+    agreed = found.groupBy("host", "class", "sequence", "parent", "gap").agg(F.count(F.lit(1)).alias("agree"))
+    size = classes.groupBy("host", "class").agg(F.max("pages").alias("pages"))
+    nested = store(agreed.join(size, ["host", "class"]).filter("2 * agree > pages").select("host", "class", "parent", "gap"), "nested-classes")
+    # A class counts if all classes around it do, from the page inwards; nesting is as deep as a page at most.
+    level = nested.filter("parent = 0")
+    valid, deeper = level, nested.filter("parent != 0")
+    while True:
+        inner = deeper.join(level.select("host", F.col("class").alias("parent")), ["host", "parent"], "left_semi").select(*nested.columns)
+        level = store(inner, "inner-classes")
+        if level.isEmpty():
+            break
+        valid = valid.union(level)
+    return classes.select("host", "token", "class").join(valid, ["host", "class"]).select("host", "class", "parent", "gap", "token")
 
 
 def extracted(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -208,10 +292,8 @@ def extracted(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     small_batches(pages.sparkSession, 200)
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
-    found = store(templates(rows.select("host", "html"), least_pages), "templates")
-    by_host = found.groupBy("host").agg(F.collect_set("token").alias("template"))
-    if found.count() <= BROADCAST_ROWS:
-        by_host = F.broadcast(by_host)
+    found = store(templates(rows.select("host", "html"), least_pages).filter("token % 2 != 0").select("host", "token"), "templates")
+    by_host = _by_host(found, "template", F.col("token"))
     return rows.join(by_host, "host", "left").select("page_id", "url", "html", "template").mapInPandas(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -269,3 +269,76 @@ def test_html_copies_are_no_template(spark):
     got = extract(spark, [page(i, "<p>The same article.</p>") for i in range(1, 9)])
     assert {r.text for r in got.values()} == {"The same article."}
     assert html_extraction.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_html_keeps_all_of_the_articles(spark):
+    long = "A paragraph of the longer article, with more words than the other one has."
+    rows = [
+        (1, "u", f"<nav>menu</nav><article><p>First.</p></article><div class='ad'>buy</div><article><p>{long}</p></article><p>outside</p>"),
+        (2, "u", f"<article><p class='related-work'>Related work.</p><div class='search-results'>Found.</div><section class='related'><p>More.</p></section><p>{long}</p></article>"),
+        (3, "u", f"<article><label>Name of it</label> <button>Press</button><p>{long}</p><form><label>mail</label><button>go</button></form><div class='notice'>cookies</div></article>"),
+    ]
+    got = extract(spark, rows)
+    assert got[1].text == f"First.\n\n{long}"
+    assert got[2].text == f"Related work.\n\nFound.\n\nMore.\n\n{long}"
+    assert got[3].text == f"Name of it Press\n\n{long}"
+
+
+def test_html_nesting():
+    one, two = {1: 7, 2: 7, 3: 7, 10: 8, 11: 8}, html_extraction._digest
+    around = lambda tokens, classes=one: {c: (s, p, g) for c, s, p, g in html_extraction.nesting(tokens, classes)}
+    assert around([1, 10, 5, 11, 10, 11, 2, 3]) == {7: (two({1: 0, 2: 1, 3: 2}), 0, 0), 8: (two({10: 0, 11: 1}), 7, 0)}
+    assert set(around([1, 10, 11, 2, 10, 11, 3])) == {7}  # in two gaps
+    assert set(around([1, 10, 2, 11, 3])) == {7}  # crossed
+    assert set(around([1, 3, 2, 1, 2, 3, 10, 11])) == {8}  # not ordered
+    assert around([]) == {} and around([1, 2, 3, 1, 2, 3])[7][1:] == (0, 0)
+
+
+def brute_templates(pages, least):
+    """host -> template texts, page by page in plain Python, from the definition."""
+    hosts = defaultdict(dict)
+    for _, host, html in pages:
+        p = html_extraction.parse(html)
+        key = tuple(t for _, t, _ in p.blocks)
+        hosts[host][key] = min(hosts[host].get(key, p.tokens), p.tokens)
+    out = {}
+    for host, own in hosts.items():
+        counts = [Counter(t) for t in own.values()]
+        vectors = {t: tuple(c[t] for c in counts) for c in counts for t in c}
+        vectors = {t: v for t, v in vectors.items() if (n := sum(map(bool, v))) >= least and 2 * n >= len(counts)}
+        number = {v: i + 1 for i, v in enumerate(sorted({v for t, v in vectors.items() if t % 2 == 0}))}
+        classes = {t: number[v] for t, v in vectors.items() if v in number}
+        told = Counter(x for tokens in own.values() for x in html_extraction.nesting(list(tokens), classes))
+        size = {number[v]: sum(map(bool, v)) for v in number}
+        parent = {c: p for (c, _, p, _), n in told.items() if 2 * n > size[c]}
+        inside = lambda c: c == 0 or c in parent and inside(parent[c])
+        out[host] = {t for t, c in classes.items() if t % 2 and inside(c)}
+    return out
+
+
+def test_html_templates_match_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        host = f"h{rng.randrange(3)}.example"
+        items = "".join(f"<li><b>Price</b> {rng.randrange(99)}</li>" for _ in range(rng.randrange(0, 4)))
+        notice = "<section><p>We use cookies on this site</p></section>" if rng.random() < 0.7 else ""
+        swap = ["<div>Alpha shop</div>", "<div>Beta shop</div>"]
+        if host == "h2.example" and rng.random() < 0.5:
+            swap.reverse()
+        rows.append((i, f"http://{host}/{i}", f"<body>{notice}{swap[0]}<div><p>Text {rng.randrange(40)} of it</p><ul>{items}</ul></div>{swap[1]}</body>"))
+    rows += [(100, rows[0][1], rows[0][2]), (101, None, rows[0][2]), (102, rows[1][1], None)]
+    pages = spark.createDataFrame([(*r, "c", "t") for r in rows], "page_id long, url string, html string, `class` string, tokens string")
+    want = brute_templates([(i, re.sub("^http://([^/]*).*", "\\1", u or ""), h) for i, u, h in rows], html_extraction.LEAST_PAGES)
+    got = {r.page_id: r.text for r in html_extraction.extracted(pages).collect()}
+    for i, u, h in rows:
+        assert got[i] == html_extraction.main_text(html_extraction.parse(h), want[re.sub("^http://([^/]*).*", "\\1", u or "")]), i
+    plain = "".join(got[i] for i, u, _ in rows[:60] if "h2" not in u)
+    assert "Text" in plain and "We use cookies" not in plain and "Alpha" not in plain
+    assert want["h0.example"] and want["h1.example"]
+
+
+def test_html_long_page(spark):
+    many = "".join(f"<p>Paragraph {i} &amp; more</p>" for i in range(40_000))
+    got = extract(spark, [(1, "u", f"<article>{many}</article>")])
+    assert got[1].text == "\n\n".join(f"Paragraph {i} & more" for i in range(40_000))
