@@ -28,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_dice_license_scan": license_scan.OP3_SQL,
         "op6_content_sort_dedup": exact_dedup.OP6_SQL,
+        "op7_lempel_ziv_substring_dedup": substring_dedup.OP7_SQL,
         "op9_simhash_decontamination": decontamination.OP9_SQL,
     }

@@ -1,18 +1,21 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
 Every document is parsed against an index of reference blocks that covers the text of all documents. A block is a run of
-50 words; it stands for the document with the smallest doc_id in which it starts. The parse is greedy: a factor begins
-at the first word whose block occurs in an earlier document and goes on while the next block comes from the same document, so
-that all factors have 50 words or more. Blocks that begin inside a factor but reach past its end are checked at that boundary,
-so no repeated run of 50 words is missed where two factors meet.
+50 words; the index holds it at its first occurrence: the smallest doc_id in which it starts, and its first place there. The parse is greedy: a factor begins
+at the first word whose block occurs in an earlier document and goes on as long as each next block is the reference's next one, that is, one word further in the same
+document; so a factor is a run of 50 words or more that the source has too, the longest from that reference place. Blocks that begin inside a factor but
+reach past its end are checked at that boundary, so no repeated run of 50 words is missed where two factors meet.
 
 The index stays small without losing a block: each block names its *anchor*, the least hash of its runs of `ANCHOR` words.
-Equal blocks have equal anchors, so only blocks whose anchor occurs in two documents or more are indexed, 128 bits each.
+Equal blocks have equal anchors, so only blocks whose anchor occurs in two documents or more are indexed. A block is known by 96 bits of two hashes over
+64-bit hashes of its words; words themselves aren't compared again.
 Documents with the same words are parsed once: a later copy of 50 words or more is one factor. Counts are summed before
-each shuffle, pairs of documents are never formed, and hot keys meet in joins that adaptive execution can split.
+each shuffle, pairs of documents are never formed, and hot keys meet in joins that adaptive execution can split. Texts meet what was found in them by doc_id and
+a hash of the text, so many rows of one doc_id cost what as many documents cost.
 
 Defined results: null or empty texts have no words and an empty kept text. Null doc_ids come after all others and are no source
-for each other. Rows that repeat a doc_id are no source for each other either. Other columns are ignored.
+for each other. Rows that repeat a doc_id are no source for each other either. A text of one repeated word has one factor for each place. Texts of any length are
+hashed in pieces and parsed whole, one at a time. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,12 +45,12 @@ def _profile(window: int, anchor: int):
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, row, text in zip(batch["doc"], batch["row"], batch["text"], strict=True):
                 words = word_hashes(text)
                 anchors = np.unique(_block_anchors(words, window, anchor)) if len(words) >= window else []
                 whole = sha256(b" ".join((text or "").encode("utf-8", "surrogatepass").split())).hexdigest()
-                rows.append((doc, len(words), sequence_hash(words), sequence_hash(words, _SALT), whole, anchors))
-            yield pd.DataFrame(rows, columns=["doc", "n_words", "key", "key2", "whole_sha256", "anchors"])
+                rows.append((doc, row, len(words), sequence_hash(words), sequence_hash(words, _SALT), whole, anchors))
+            yield pd.DataFrame(rows, columns=["doc", "row", "n_words", "key", "key2", "whole_sha256", "anchors"])
 
     return profile
 
@@ -55,32 +58,31 @@ def _profile(window: int, anchor: int):
 def _blocks(window: int, anchor: int):
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, key, text, shared in zip(batch["doc"], batch["key"], batch["text"], batch["shared"], strict=True):
+            for doc, row, text, shared in zip(batch["doc"], batch["row"], batch["text"], batch["shared"], strict=True):
                 words = word_hashes(text)
-                if sequence_hash(words) != key:  # another text under the same doc_id
-                    continue
                 at = np.flatnonzero(np.isin(_block_anchors(words, window, anchor), shared))
                 if at.size:
                     first, second = runs(words, window)[at], runs(words, window, _SALT)[at]
-                    yield pd.DataFrame({"block": first.view(np.int64), "block2": (second >> np.uint64(32)).astype(np.uint32).view(np.int32), "doc": doc, "key": key, "at": at.astype(np.int32)})
+                    yield pd.DataFrame({"block": first.view(np.int64), "block2": (second >> np.uint64(32)).astype(np.uint32).view(np.int32), "doc": doc, "row": row, "at": at.astype(np.int32)})
 
     return blocks
 
 
-def parse(starts: np.ndarray, sources: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (first word, length, source) over the blocks that occur in an earlier document, sorted by start.
+def parse(starts: np.ndarray, sources: np.ndarray, places: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Greedy factors (first word, length, source, place in the source) over the blocks that occur in an earlier document, sorted by start.
 
-    A block that begins within the last factor and reaches past its end is a boundary case: it extends the covered span by a factor of its own.
+    A factor goes on while the next block is the next one of its source. A block that begins within the last factor and reaches past its end is a
+    boundary case: it begins a factor of its own.
     """
-    factors: list[tuple[int, int, int]] = []
+    factors: list[tuple[int, int, int, int]] = []
     covered, i = 0, 0
     while i < len(starts):
         j = i
-        while j + 1 < len(starts) and starts[j + 1] == starts[j] + 1 and sources[j + 1] == sources[i]:
+        while j + 1 < len(starts) and starts[j + 1] == starts[j] + 1 and sources[j + 1] == sources[i] and places[j + 1] == places[j] + 1:
             j += 1
         end = int(starts[j]) + window
         if end > covered:
-            factors.append((int(starts[i]), end - int(starts[i]), int(sources[i])))
+            factors.append((int(starts[i]), end - int(starts[i]), int(sources[i]), int(places[i])))
             covered = end
         i = j + 1
     return factors
@@ -90,62 +92,60 @@ def _remove(window: int):
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, key, text, found in zip(batch["doc"], batch["key"], batch["text"], batch["found"], strict=True):
-                if sequence_hash(word_hashes(text)) != key:
-                    continue
+            for doc, row, text, found in zip(batch["doc"], batch["row"], batch["text"], batch["found"], strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                starts = np.array([x["at"] for x in found], np.int64)
-                sources = np.array([x["source"] for x in found], np.int64)
-                order = np.argsort(starts)
-                factors = parse(starts[order], sources[order], window)
+                found = sorted((x["at"], x["source"], x["place"]) for x in found)
+                factors = parse(*(np.array(x, np.int64) for x in zip(*found, strict=True)), window)
                 keep = np.ones(len(words), bool)
-                for start, length, _ in factors:
+                for start, length, *_ in factors:
                     keep[start : start + length] = False
                 kept = b" ".join(w for w, k in zip(words, keep, strict=True) if k)
-                rows.append((doc, key, int((~keep).sum()), sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass"), [{"start": a, "length": b, "source": c} for a, b, c in factors]))
-            yield pd.DataFrame(rows, columns=["doc", "key", "n_removed", "kept_sha256", "kept_text", "factors"])
+                told = [{"start": a, "length": b, "source": c, "place": d} for a, b, c, d in factors]
+                rows.append((doc, row, int((~keep).sum()), sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass"), told))
+            yield pd.DataFrame(rows, columns=["doc", "row", "n_removed", "kept_sha256", "kept_text", "factors"])
 
     return remove
 
 
-def _parsed(docs: DataFrame, window: int, anchor: int, texts: bool) -> DataFrame:
+_FACTORS = "array<struct<start:int,length:int,source:long,place:int>>"
+
+
+def parsed(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """The profile of each row with the first document of the same words; and n_removed, kept_sha256, kept_text and factors by (doc, key) where something is removed."""
     spark = docs.sparkSession
     small_batches(spark, 500)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = store(rows.mapInPandas(_profile(window, anchor), "doc long, n_words long, key long, key2 long, whole_sha256 string, anchors array<long>"), "profiles")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
+    profile = store(rows.mapInPandas(_profile(window, anchor), "doc long, row long, n_words long, key long, key2 long, whole_sha256 string, anchors array<long>"), "profiles")
     # Sums are written, so that the joins with them shuffle both sides for themselves and a hot key can be split.
     firsts = store(profile.groupBy("key", "key2").agg(F.min("doc").alias("first_doc")), "first-documents")
     marked = profile.drop("anchors").join(firsts, ["key", "key2"])
 
     # Anchors that documents of different words share; a copy adds nothing to its first.
-    anchors = profile.filter("n_words >= %d" % window).groupBy("key", "key2").agg(F.min("doc").alias("doc"), F.first("anchors").alias("anchors"))
-    anchors = store(anchors.select("doc", "key", F.explode("anchors").alias("anchor")), "anchors")
+    anchors = profile.filter("n_words >= %d" % window).groupBy("key", "key2").agg(F.min(F.struct("doc", "row")).alias("own"), F.first("anchors").alias("anchors"))
+    anchors = store(anchors.select("key", F.col("own.doc").alias("doc"), F.col("own.row").alias("row"), F.explode("anchors").alias("anchor")), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("anchor")
     shared = store(shared, "shared-anchors")
-    shared = anchors.join(shared, "anchor").groupBy("doc", "key").agg(F.collect_list("anchor").alias("shared"))
+    shared = store(anchors.join(shared, "anchor").groupBy("doc", "row", "key").agg(F.collect_list("anchor").alias("shared")), "anchored")
 
-    texted = rows.withColumnRenamed("doc_id", "doc").join(shared, "doc")
-    texted = texted.select("doc", "key", "text", "shared")
-    blocks = store(texted.mapInPandas(_blocks(window, anchor), "block long, block2 int, doc long, key long, at int"), "blocks")
-    sources = blocks.groupBy("block", "block2").agg(F.min("doc").alias("source"), F.max("doc").alias("high")).filter("source < high").drop("high")
-    sources = store(sources, "sources")
+    texted = rows.join(shared.drop("key"), ["doc", "row"]).select("doc", "row", "text", "shared")
+    blocks = store(texted.mapInPandas(_blocks(window, anchor), "block long, block2 int, doc long, row long, at int"), "blocks")
+    sources = blocks.groupBy("block", "block2").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("high")).filter("first.doc < high")
+    sources = store(sources.select("block", "block2", F.col("first.doc").alias("source"), F.col("first.at").alias("place")), "sources")
     found = blocks.join(sources, ["block", "block2"]).filter("source < doc")
-    found = found.groupBy("doc", "key").agg(F.collect_set(F.struct("at", "source")).alias("found"))
+    found = found.groupBy("doc", "row").agg(F.collect_set(F.struct("at", "source", "place")).alias("found"))
 
-    hit = rows.withColumnRenamed("doc_id", "doc").join(found, "doc")
-    out = "doc long, key long, n_removed long, kept_sha256 string, factors array<struct<start:int,length:int,source:long>>"
-    cut = hit.mapInPandas(_remove(window), out + ", kept_text string") if texts else hit.mapInPandas(lambda it, f=_remove(window): (x.drop(columns="kept_text") for x in f(it)), out)
-    return marked, cut.dropDuplicates(["doc", "key"])
+    cut = rows.join(found, ["doc", "row"]).mapInPandas(_remove(window), f"doc long, row long, n_removed long, kept_sha256 string, kept_text string, factors {_FACTORS}")
+    return marked, cut.dropDuplicates(["doc", "row"]).join(shared.select("doc", "row", "key"), ["doc", "row"]).drop("row")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, n_words, n_removed, kept_sha256, factors (start, length, source: the document that first has them)."""
-    marked, cut = _parsed(docs, window, anchor, texts=False)
+    """One row per row of `docs` (doc_id, text): doc_id, n_words, n_removed, kept_sha256, factors (start, length, source: the document that first has it, place: where there)."""
+    marked, cut = parsed(docs, window, anchor)
     empty = sha256(b"").hexdigest()
     copy = (F.col("first_doc") < F.col("doc")) & (F.col("n_words") >= window)
-    none = F.array().cast("array<struct<start:int,length:int,source:long>>")
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"), F.col("first_doc").alias("source")))
-    rows = marked.join(cut, ["doc", "key"], "left")
+    none = F.array().cast(_FACTORS)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"), F.col("first_doc").alias("source"), F.lit(0).alias("place")))
+    rows = marked.join(cut.drop("kept_text"), ["doc", "key"], "left")
     return rows.select(
         F.when(F.col("doc") != _LAST, F.col("doc")).alias("doc_id"),
         "n_words",
@@ -157,4 +157,17 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("factors").cast("long").alias("n_factors"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Every window of 50 words by brute force.
+OP7_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS rank,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT r, rank, unnest(generate_series(1, len(w) - 49)) AS i, unnest(list_transform(generate_series(1, len(w) - 49), lambda k: md5(array_to_string(w[k:k + 49], ' ')))) AS h FROM d WHERE len(w) >= 50),
+hit AS (SELECT r, i FROM (SELECT r, i, rank, min(rank) OVER (PARTITION BY h) AS first FROM s) WHERE first < rank),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS j FROM hit),
+words AS (SELECT r, unnest(generate_series(1, len(w))) AS j, unnest(w) AS word FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""

@@ -87,8 +87,32 @@ def test_substring_dedup_of_nothing(spark):
 
 
 def test_parse_checks_factor_boundaries():
-    starts, sources = np.array([0, 1, 2, 8, 30]), np.array([5, 5, 4, 4, 4])
-    assert substring_dedup.parse(starts, sources, 10) == [(0, 11, 5), (2, 10, 4), (8, 10, 4), (30, 10, 4)]
+    starts, sources, places = np.array([0, 1, 2, 8, 30, 31, 32]), np.array([5, 5, 4, 4, 4, 4, 4]), np.array([7, 8, 1, 7, 2, 3, 9])
+    assert substring_dedup.parse(starts, sources, places, 10) == [(0, 11, 5, 7), (2, 10, 4, 1), (8, 10, 4, 7), (30, 11, 4, 2), (32, 10, 4, 9)]
+
+
+def test_substring_dedup_of_documents_at_50_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    got = substring_dedup.substring_dedup(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_substrings(rows, 50)
+    words = {i: (t or "").split() for i, t in rows}
+    some = 0
+    for r in got:  # each factor is a run of its source
+        for f in r.factors:
+            some += 1
+            assert f.length >= 50 and f.source < r.doc_id
+            assert words[r.doc_id][f.start : f.start + f.length] == words[f.source][f.place : f.place + f.length]
+    assert some > 50
+
+
+def test_substring_dedup_of_many_rows_with_one_id(spark):
+    rng = random.Random(4)
+    passage = words(rng, 30)
+    rows = [(1, " ".join(passage))] + [(2, " ".join(passage + words(rng, 5 + i % 7))) for i in range(1000)] + [(None, " ".join(passage))] * 20
+    rows += [(3, " ".join(words(rng, 120_000) + passage))]
+    got = substring_dedup.substring_dedup(frame(spark, rows), window=12, anchor=4).collect()
+    assert len(got) == len(rows) and Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_substrings(rows, 12)
 
 
 def test_hashes():
