@@ -176,7 +176,7 @@ def test_decontamination(spark):
     got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()}
     want = {(i, i % 4) for i in range(0, 40, 3)} | {(None, 1), (52, 2), (54, 0)}
     assert got == want
-    assert Counter(r.doc_id for r in decontamination.drop_contaminated(docs, bench).collect()) == Counter(i for i, *_ in rows if i not in {d for d, _ in want})
+    assert Counter(r.doc_id for r in decontamination.drop_contaminated(docs, bench).collect()) == Counter(i for i, text, _ in rows if i not in {d for d, _ in want} or text == "other text")  # only the row with the leak goes
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0 and decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
@@ -190,6 +190,57 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
     assert sorted(r.doc_id for r in decontamination.drop_contaminated(docs, bench).collect()) == [3, 4]
 
 
+def test_hamming_index_finds_all_pairs_within_the_radius(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        a = rng.getrandbits(64)
+        for bit in rng.sample(range(64), i % 30):
+            a ^= 1 << bit if i % 2 else 0
+        b = a
+        for bit in rng.sample(range(64), i % 33):
+            b ^= 1 << bit
+        rows.append((i, a - 2**64 if a >= 2**63 else a, b - 2**64 if b >= 2**63 else b, i % 33))
+    pairs = spark.createDataFrame(rows, "i int, a long, b long, distance int")
+    meet = F.size(F.array_intersect(decontamination.indexed(F.col("a"), 2), decontamination.indexed(F.col("b"), 2))) > 0
+    for r in pairs.select("distance", meet.alias("meet")).collect():
+        assert r.meet or r.distance > decontamination.RADIUS
+
+
+def test_decontamination_recall_at_the_threshold(spark):
+    """Windows at 0.80 to 0.85 of items, against brute force over all windows."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(5000)}"
+    grams = lambda w: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    jaccard = lambda a, b: sum((a & b).values()) / sum((a | b).values())
+    items = [[word() for _ in range(rng.randrange(20, 60))] for _ in range(20)]
+    texts, want = [], set()
+    while len(texts) < 300:
+        item = rng.choice(items)
+        new = list(item)
+        for _ in range(rng.choice((1, 1, 2))):
+            new[rng.choice((rng.randrange(len(new)), rng.randrange(4), -1 - rng.randrange(4)))] = word()
+        if not 0.8 <= jaccard(grams(new), grams(item)) < 0.86:
+            continue
+        texts.append([word() for _ in range(rng.randrange(0, 30))] + new + [word() for _ in range(rng.randrange(0, 30))])
+    for i, text in enumerate(texts):
+        for j, item in enumerate(items):
+            if any(jaccard(grams(text[s : s + len(item)]), grams(item)) >= 0.8 for s in range(max(1, len(text) - len(item) + 1))):
+                want.add((i, j))
+    docs = docs_of(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")).collect()}
+    assert len(want) >= 300 and got == want
+
+
+def test_decontamination_with_clashing_columns_and_repeated_ids(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (1, "another text of the same id"), (2, "clean"), (3, "x " * 200_000 + item)]
+    docs = spark.createDataFrame([(i, t, *"abcd") for i, t in rows], "doc_id long, text string, row string, gone_id string, d string, length string")
+    kept = decontamination.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == rows[1:3]
+
+
 def test_simhash_is_the_majority_of_bits(spark):
     rng = random.Random(6)
     hashes = [rng.getrandbits(64) - 2**63 for _ in range(21)]
