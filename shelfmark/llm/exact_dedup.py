@@ -7,7 +7,8 @@ a salt from doc_id, which cuts a text with very many copies over several partiti
 by the text's SHA-256. The texts themselves are shuffled once.
 
 Defined results: a null text counts as empty, and empty texts equal each other. Null doc_ids come after all others; where all
-of a group are null, keep_id is null and one row stays. Of rows that repeat a doc_id and text, one stays. Other columns are ignored.
+of a group are null, keep_id is null and one row stays. Of rows that repeat a doc_id and text, one stays: the one whose columns hash least, so reruns agree.
+Texts of any length are compared whole. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import store, table, text_of
+from .common import free_name, store, table, text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,11 +47,13 @@ def exact_dedup(docs: DataFrame, salts: int = 64) -> DataFrame:
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     key = lambda sha: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
-    stay = exact_dedup(docs).filter("kept").select(key(F.col("text_sha256")).alias("__key"))
-    marked = docs.withColumn("__key", key(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
-    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(1)))
-    out = marked.join(stay, "__key", "left_semi").withColumn("__place", first)
-    return out.filter("__place = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name, place = free_name(docs, "stay_key"), free_name(docs, "stay_place")
+    stay = exact_dedup(docs).filter("kept").select(key(F.col("text_sha256")).alias(name))
+    marked = docs.withColumn(name, key(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    first = F.row_number().over(Window.partitionBy(name).orderBy(F.xxhash64(*plain), "text"))
+    out = marked.join(stay, name, "left_semi").withColumn(place, first)
+    return out.filter(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

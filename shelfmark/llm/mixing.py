@@ -1,12 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot k of the mix takes a block of equally many words. The golden-ratio point of k, read in the cumulated target shares, names
+Slot k of the mix takes a block of equally many words (`ordered` is the mix in slot order, `mixed` what it takes of each document). The golden-ratio point of k, read in the cumulated target shares, names
 the slot's source; the slots of a source are ranked in order, and rank r takes block r of that source's shuffled word stream, which
-is laid end to end up to three times. Long ranks and running sums are computed in two levels (chunk totals first), so a
+is laid end to end up to three times. Sources are summed first and their targets found over one row a source. Long ranks and running sums are computed in two levels (chunk totals first), so a
 source with a third of all rows is not one task's work.
 
 Defined results: a null text has no words and takes none. Null sources form one source, the last. Rows that repeat a doc_id are documents of
 their own, with the same place in the shuffle; ties follow size. A source without words has target 0. Without any words nothing is taken.
+Words of texts of any length are counted whole. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,15 +94,23 @@ def blocks(stream: DataFrame, block_words: int = BLOCK_WORDS, most: int = MOST_R
     return rows.select("source", "rank", "begin", "doc_id", "round", words.alias("words"))
 
 
+def _slotted(stream: DataFrame, goals: DataFrame, block_words: int) -> DataFrame:
+    slots = schedule(goals, block_words).select("slot", F.col("source").alias("s"), F.col("rank").alias("r"))
+    given = blocks(stream, block_words)
+    return given.join(slots, given["source"].eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r"))).drop("s", "r")
+
+
+def ordered(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix: slot, source, rank, begin, doc_id, round, words. Read by slot, then round and begin; `round` is which reading of its source a block belongs to."""
+    stream = store(streams(docs), "streams")
+    return _slotted(stream, store(targets(stream.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets"), block_words)
+
+
 def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target, taken for each row of `docs`: the schedule's slots joined to the blocks of the sources' streams."""
     stream = store(streams(docs), "streams")
-    sizes = stream.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = store(targets(sizes), "targets")
-    slots = schedule(goals, block_words).select(F.col("source").alias("s"), F.col("rank").alias("r"))
-    given = blocks(stream, block_words)
-    given = given.join(slots, given["source"].eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")))
-    taken = given.groupBy("source", "begin").agg(F.sum("words").alias("got")).withColumnsRenamed({"source": "t", "begin": "at"})
+    goals = store(targets(stream.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
+    taken = _slotted(stream, goals, block_words).groupBy("source", "begin").agg(F.sum("words").alias("got")).withColumnsRenamed({"source": "t", "begin": "at"})
     goals = goals.select(F.col("source").alias("s"), "target")
     rows = stream.join(taken, stream["source"].eqNullSafe(F.col("t")) & (F.col("begin") == F.col("at")), "left")
     rows = rows.join(goals, rows["source"].eqNullSafe(F.col("s")))

@@ -1,6 +1,6 @@
 """Surrogates for personal data.
 
-E-mail addresses, telephone numbers, IP addresses, account (IBAN) and card numbers, and names after a form of address, with all further mentions of
+E-mail addresses, telephone numbers, IP addresses (v4 and v6), account (IBAN) and card numbers, and names after a form of address, with all further mentions of
 these names in the same text, are replaced by keyed
 surrogates of the same type: letters by letters of the same script and case, digits by digits in the same format, addresses that stay valid, card
 numbers that stay or don't become valid alike, names with the gender that the form of address gives.
@@ -8,20 +8,23 @@ numbers that stay or don't become valid alike, names with the gender that the fo
 An entity is what a mention means: an e-mail address in lower case, a number by its digits, a name by its part and lower-cased spelling. One entity has
 one surrogate in all documents (coreference), written in the format of each mention. A surrogate that another entity has, or that is itself an
 entity of the corpus, is a collision: the entity that comes later tries the next surrogate of its keyed series until none collide, so distinct
-entities stay distinct. Collisions are found by grouping all entities by surrogate.
+entities stay distinct. Collisions are found by grouping all entities by surrogate. Where a format is so full that `SPARE` attempts all hit entities of the corpus,
+a surrogate may be such an entity, though never another's surrogate; where even `MOST` attempts don't set a kind's entities apart, the job fails and says so.
 
 A given name after an open form of address (`Dr`) has the gender that the same full name has elsewhere in its text, else the one gender that the given
 name has in the corpus, else its own kind.
 
 Only entities are gathered and joined, and only documents that may hold one are shuffled for replacement; all others pass by.
 
-Defined results: null texts stay null and have no entities. Rows that repeat a doc_id get the same surrogates. Other columns are ignored.
+Defined results: null texts stay null and have no entities. Rows that repeat a doc_id get the same surrogates. Texts of any length are searched whole. Names that no form
+of address introduces anywhere in their text aren't found. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from bisect import bisect_right
@@ -35,6 +38,7 @@ from .common import small_batches, store, table
 
 #: For tests and comparison; a deployment passes a key of its own.
 KEY = b"shelfmark"
+SPARE, MOST = 64, 128
 
 # Forms of address by gender, reserved domains, and the syllables and endings of surrogate names.
 MALE, FEMALE, OPEN = ("Mr", "Herr", "Herrn", "Monsieur", "Sr", "Señor"), ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Sra", "Señora"), ("Dr", "Prof")
@@ -46,6 +50,7 @@ _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _FIND = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)"
+    r"|(?<![\w:.])(?P<ipv6>(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6}|::(?:[0-9a-fA-F]{1,4}:){0,5}[0-9a-fA-F]{1,4})(?![\w:])"
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?<![\w.+-])(?P<card>\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})(?![\w]|-\d)"
     r"|(?<![\w.])(?P<phone>\+\d{7,15}|\d{10,12}|0\d(?:[ .-]\d{2}){4}|\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,2}(?:[ .-]\d{2}){3,5}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![\w]|[.-]\d)"
@@ -54,14 +59,23 @@ _FIND = re.compile(
 )
 _COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
 #: What a text with any entity has.
-MAY_HOLD = rf"\p{{Nd}}|@|\b({'|'.join((*MALE, *FEMALE, *OPEN))})\b"
+MAY_HOLD = rf"\p{{Nd}}|@|[0-9a-fA-F]:[0-9a-fA-F:]|\b({'|'.join((*MALE, *FEMALE, *OPEN))})\b"
 
 
 def _gender(title: str) -> str:
     return "m" if title in MALE else "f" if title in FEMALE else "x"
 
 
+def _is_ipv6(mention: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(mention))
+    except ValueError:
+        return False
+
+
 def _entity(kind: str, mention: str) -> str:
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(mention))
     if kind in ("email", "ip"):
         return mention.lower()
     if kind == "iban":
@@ -76,6 +90,8 @@ def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     text, found, people = text or "", [], []
     for m in _FIND.finditer(text):
         kind = m.lastgroup
+        if kind == "ipv6" and not _is_ipv6(m[kind]):
+            continue
         if kind != "names":
             found.append((m.start(kind), m.end(kind), kind, _entity(kind, m[kind])))
             continue
@@ -165,6 +181,9 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         return _spelled(draws, local + "x" * min(attempt, 40)) + "@" + _spelled(draws, rest) + kept
     if kind == "ip":
         return ".".join(str(1 + draws.below(254)) for _ in range(4))
+    if kind == "ipv6":
+        # An address of the range for documentation.
+        return str(ipaddress.IPv6Address((0x20010DB8 << 96) + sum(draws.below(1 << 16) << 16 * i for i in range(6))))
     if kind == "card":
         body = str(1 + draws.below(9)) + "".join(str(draws.below(10)) for _ in entity[2:])
         check = (10 - _luhn(body + "0")) % 10
@@ -191,7 +210,7 @@ def dressed(kind: str, new: str, mention: str) -> str:
     if kind == "iban":
         signs = iter(new)
         return "".join(c if c == " " else next(signs) for c in mention)
-    if kind == "ip":
+    if kind in ("ip", "ipv6"):
         return new
     if kind == "email":
         return new.upper() if mention.isupper() else new
@@ -204,8 +223,8 @@ def _found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["row", "kind", "entity"])
 
 
-def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
-    """kind, entity -> kind, entity, surrogate, one to one within a kind and never an entity of the same kind."""
+def surrogates(entities: DataFrame, key: bytes = KEY, spare: int = SPARE, most: int = MOST) -> DataFrame:
+    """kind, entity -> kind, entity, surrogate, one to one within a kind; within `spare` attempts never an entity of the same kind."""
 
     @F.pandas_udf("string")
     def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
@@ -215,10 +234,14 @@ def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     rows = store(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", F.lit(0))), "surrogates")
     while True:
         turn = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity"))
-        checked = rows.join(real, ["kind", "surrogate"], "left").withColumn("clash", F.col("real").isNotNull() | (turn > 1))
+        taken = F.col("real").isNotNull() & (F.col("attempt") < spare)
+        checked = rows.join(real, ["kind", "surrogate"], "left").withColumn("clash", taken | (turn > 1))
         checked = store(checked.select("kind", "entity", "attempt", "surrogate", "clash"), "surrogates")
         if checked.filter("clash").isEmpty():
             return checked.select("kind", "entity", "surrogate")
+        if (tries := checked.agg(F.max("attempt")).first()[0]) >= most:
+            full = [r[0] for r in checked.filter("clash").select("kind").distinct().orderBy("kind").limit(9).collect()]
+            raise ValueError(f"no distinct surrogates after {tries} attempts for {', '.join(full)}: the format has too few values")
         again = checked.filter("clash").withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", draw("kind", "entity", "attempt"))
         rows = checked.filter("NOT clash").unionByName(again).drop("clash")
 

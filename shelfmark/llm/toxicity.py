@@ -1,6 +1,7 @@
 """Toxicity by cumulative-link ordinal regression.
 
-Severity grades are ordered: 0 clean, 1 toxic, 2 toxic and of low quality (`labels`: toxic, quality). The model is
+Severity grades are ordered: 0 clean, 1 toxic, 2 toxic and of low quality (`labels`: toxic, quality). The labels have no severity of their own; that low quality makes
+a toxic text worse is our choice, and `train` takes any other grades. The model is
 P(grade > k) = logistic(x.w - threshold_k), with one weight vector for all thresholds; x marks the words and word stems that a document has (once, twice, four times), of a vocabulary
 that sets the grades apart. The score is the expected severity, and a document is rejected where P(grade > 0) is 0.5 or more.
 
@@ -8,7 +9,7 @@ The model is fitted on at most `SAMPLE` labelled documents, those with the least
 parameters. Every document is scored, over its whole text.
 
 Defined results: null and empty texts have no words. Labels with a null doc_id or null toxic are not used; of rows that repeat a doc_id the
-worst grade counts. Without labels, or with one grade only, every score is that grade (0 without). Other columns are ignored.
+worst grade counts, and of their texts the least is the one learned from. Texts of any length are scored whole. Without labels, or with one grade only, every score is that grade (0 without). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -136,6 +137,8 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, features: in
     small_batches(docs.sparkSession)
     chosen = grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # One text for each label, so that `sample` bounds them however often a doc_id repeats.
+    texts = texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     # Copies of a text are one observation.
     texts = texts.groupBy("text").agg(F.max("grade").alias("grade"), F.min("doc_id").alias("doc_id"))
     seen = store(texts.mapInPandas(_terms_of, "doc_id long, grade int, terms array<string>"), "labelled-terms")

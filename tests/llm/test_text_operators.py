@@ -156,6 +156,22 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.surrogate for r in new}) == 400 and not {r.surrogate for r in new} & {r.entity for r in new}
 
 
+def test_surrogates_of_a_full_format_end(spark):
+    entities = lambda n: spark.createDataFrame([("ssn", f"{i:02d}") for i in range(n)], "kind string, entity string")
+    new = pii.surrogates(entities(60), spare=3, most=60).collect()  # over half of all two-digit numbers
+    assert len({r.surrogate for r in new}) == 60
+    with pytest.raises(ValueError, match="ssn"):  # fifteen entities of one digit
+        more = spark.createDataFrame([("ssn", c) for c in "0123456789abcde"], "kind string, entity string")
+        pii.surrogates(more, spare=2, most=8)
+
+
+def test_pii_addresses_of_version_6(spark):
+    rows = [(1, "from 2a02:8109:9c40:1::17 or 2A02:8109:9C40:1:0:0:0:17, not 12:30:45 or a::b::c", "s")]
+    new = pii.pseudonymised(docs_of(spark, rows)).collect()[0].text
+    found = re.findall(r"2001:db8:[0-9a-f:]+", new)
+    assert len(found) == 2 and found[0] == found[1] and "2a02" not in new.lower() and "12:30:45" in new
+
+
 # Decontamination.
 def test_decontamination(spark):
     rng = random.Random(4)
