@@ -13,6 +13,7 @@ NULL_TOKENS = ("", "nan", "NaT", "null", "NULL", "None")
 FINAL_NULL_TOKENS = ("", "nan", "NaT", "None", "NoneType")
 NULL_TOKEN = "Null"
 RENAMED = {"RetailAmount": "Retail_Amt", "RetailFactor": "Retail_Factor"}
+#: The fields of an extracted item.
 PRODUCT_FIELDS = ("Size", "Pack", "RetailAmount", "RetailFactor", "Description")
 ITEM_FIELDS = (*PRODUCT_FIELDS, "Ad")
 
@@ -90,13 +91,19 @@ def clean_items(df: DataFrame, name: str = "image_name") -> DataFrame:
 
 
 def _empty(c: Column) -> Column:
-    return c.isNull() | (c == "") | (F.upper(c) == "NULL")
+    """Null, nothing but white space, or NULL in any case (white space around it counts)."""
+    return c.isNull() | c.rlike("^\\s*$") | (F.upper(c) == "NULL")
 
 
-def reject_empty_items(df: DataFrame, items: str = "items") -> DataFrame:
-    """Images without items, or with any item whose six fields are all empty, go as a whole. `items` is an array of structs."""
+def valid_items(items: str = "items") -> Column:
+    """Whether there are items and none has all six fields empty. `items` is an array of structs."""
     blank = F.exists(items, lambda x: F.array_size(F.filter(F.array(*[x[f] for f in ITEM_FIELDS]), lambda v: ~_empty(v))) == 0)
-    return df.filter(F.coalesce(F.size(items) > 0, F.lit(False)) & ~F.coalesce(blank, F.lit(True)))
+    return F.coalesce(F.size(items) > 0, F.lit(False)) & ~F.coalesce(blank, F.lit(True))
+
+
+def reject_empty_items(df: DataFrame, items: str = "items") -> DataFrame:
+    """Images without items, or with any item whose six fields are all empty, go as a whole."""
+    return df.filter(valid_items(items))
 
 
 def drop_blank_products(df: DataFrame) -> DataFrame:

@@ -11,9 +11,13 @@ ENTROPY = 1.7
 
 
 def clean_boxes(df: DataFrame) -> DataFrame:
-    """Boxes (image_name, box_idx, x1, y1, x2, y2, img_w, img_h) clamped to the image, with the reason that they are skipped or their crop's name."""
-    within = lambda c, top: F.greatest(F.lit(0.0), F.least(F.col(c).cast("double"), F.col(top).cast("double")))
-    df = df.withColumns({"x1": within("x1", "img_w"), "y1": within("y1", "img_h"), "x2": within("x2", "img_w"), "y2": within("y2", "img_h")})
+    """Boxes (image_name, box_idx, x1, y1, x2, y2, img_w, img_h) clamped to the image, with the reason that they are skipped or their crop's name.
+
+    The first corner is clamped from below, the second from above, so a box outside the image stays recognisable.
+    """
+    first = lambda c: F.greatest(F.lit(0.0), F.col(c).cast("double"))
+    second = lambda c, top: F.least(F.col(c).cast("double"), F.col(top).cast("double"))
+    df = df.withColumns({"x1": first("x1"), "y1": first("y1"), "x2": second("x2", "img_w"), "y2": second("y2", "img_h")})
     bad = (F.col("x2") - F.col("x1") < 3) | (F.col("y2") - F.col("y1") < 3)
     stem = F.regexp_replace("image_name", r"\.[^.]*$", "")
     return df.withColumn("reason", F.when(bad, "Tiny or invalid box")).withColumn("crop_name", F.when(~bad, F.concat(stem, F.lit("_crop_"), F.col("box_idx").cast("string"), F.lit(".jpg"))))
@@ -38,11 +42,14 @@ def entropy(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def char_entropy(text: Column) -> Column:
-    """Shannon entropy (nats) of a text's characters within the row."""
-    chars = F.split(text, "")
-    counts = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)).cast("double"))
-    total = F.size(chars).cast("double")
-    return F.aggregate(counts, F.lit(0.0), lambda s, n: s - n / total * F.ln(n / total))
+    """Shannon entropy (nats) of a text's characters within the row; null for an empty text.
+
+    A character's count is what the text loses in length without it: one pass of the text for each distinct character.
+    """
+    each = F.array_sort(F.filter(F.array_distinct(F.split(text, "")), lambda c: c != ""))
+    total = F.length(text)
+    counts = F.transform(each, lambda c: (total - F.length(F.replace(text, c, F.lit("")))).cast("double"))
+    return F.when(total > 0, F.ln(total) - F.aggregate(counts, F.lit(0.0), lambda s, n: s + n * F.ln(n)) / total)
 
 
 def byte_entropy_udf():
@@ -67,6 +74,11 @@ def entropy_filter(scored: DataFrame, threshold: float = ENTROPY) -> DataFrame:
     return scored.withColumn("noisy", F.col("entropy") < threshold)
 
 
+def noise_summary(filtered: DataFrame) -> DataFrame:
+    """How many images the entropy filter took for noise, and how many it let through."""
+    return filtered.agg(F.count_if("noisy").alias("noisy"), F.count_if(~F.col("noisy")).alias("clean"))
+
+
 def box_summary(boxes: DataFrame) -> DataFrame:
     """Detections, crops and skipped boxes of each image, and in all (image_name null)."""
     return boxes.rollup("image_name").agg(F.count(F.lit(1)).alias("detections"), F.count_if(F.col("reason").isNull()).alias("crops"), F.count_if(F.col("reason").isNotNull()).alias("skipped"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.numeric import coerce_scores, number_similarity, unit_price_similarity
 
+#: Column names of the result tables.
 SIMILARITIES = [
     "Boost_Score", "Description_Similarity", "Ncat_Description_Similarity", "Brand_Description_Similarity", "Combined_Score", "LLM_Similarity",
     "Pack_Similarity", "Retail_Amt_Similarity", "Size_Similarity", "Brand_Word_Score", "Retail_Factor_Similarity",
@@ -101,6 +102,11 @@ def match_flag(master: DataFrame, exact: DataFrame, partial: DataFrame) -> DataF
     return out.withColumn("Match_Flag", F.when(F.col("__e"), "Exact Match").when(F.col("__p"), "Partial Match").otherwise("Unmatched")).drop("__e", "__p")
 
 
+def flagged_unmatched(flagged: DataFrame) -> DataFrame:
+    """`unmatched_master` from the rows that `match_flag` has flagged, which spares its join."""
+    return flagged.filter("Match_Flag = 'Unmatched'").drop("Match_Flag")
+
+
 def row_counts(results: dict[str, DataFrame]) -> DataFrame:
     """result, rows for each result table."""
     out = None

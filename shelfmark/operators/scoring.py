@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import first_number
+from shelfmark.operators.clean import valid_items
+from shelfmark.sources.tables import ITEMS
 from shelfmark.sources.work import store
 
 LABELS = (1, 2, 3)
@@ -53,33 +55,65 @@ def score_pairs(pairs: DataFrame, keys: list[str], score: Callable[[str, str], s
     return merge_scores(pairs, scores, keys, column)
 
 
-def extract_items(images: DataFrame, classify: Callable[[str], str | None], extract: Callable[[str, int], str | None], tries: int = 3) -> DataFrame:
-    """`images` (image_name) with stage (`done`, `classification` or `extraction`: where it failed), label and the raw items answer.
+def _attempt(call: Callable, *args):
+    try:
+        return call(*args)
+    except Exception:  # noqa: BLE001  a model's failure is an empty answer
+        return None
 
-    A label outside 1 to 3 is asked for once more; an empty answer is asked for again up to `tries` times.
-    """
 
-    def attempt(call: Callable, *args):
-        try:
-            return call(*args)
-        except Exception:  # noqa: BLE001  a model's failure is an empty answer
-            return None
+def _label(answer: str | None) -> int | None:
+    return int(answer) if answer is not None and str(answer).strip().lstrip("-").isdigit() else None
 
-    def number(answer: str | None) -> int | None:
-        return int(answer) if answer is not None and str(answer).strip().lstrip("-").isdigit() else None
+
+def classify_images(images: DataFrame, classify: Callable[[str], str | None]) -> DataFrame:
+    """`images` (image_name) with label, 1 to 3; null where two answers were neither."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for name in batch["image_name"]:
-                label = next((v for v in (number(attempt(classify, name)) for _ in range(2)) if v in LABELS), None)
-                answer = None
-                for _ in range(tries if label else 0):
-                    answer = answer or attempt(extract, name, label)
-                rows.append((name, "done" if answer else "extraction" if label else "classification", label, answer))
-            yield pd.DataFrame(rows, columns=["image_name", "stage", "label", "items_json"])
+            labels = [next((v for v in (_label(_attempt(classify, name)) for _ in range(2)) if v in LABELS), None) for name in batch["image_name"]]
+            yield pd.DataFrame({"image_name": batch["image_name"], "label": pd.array(labels, "Int32")})
+
+    return images.select("image_name").mapInPandas(run, "image_name string, label int")
+
+
+def extract_items(images: DataFrame, classify: Callable[[str], str | None], extract: Callable[[str, int], str | None], rounds: int = 2, tries: int = 3) -> DataFrame:
+    """`images` (image_name) with stage (`done`, `classification` or `extraction`: where it failed), label and the raw items answer.
+
+    A call that fails or answers nothing is repeated up to `tries` times. Images whose parsed items are empty, or hold one with all fields empty, are asked
+    for again, `rounds` times in all; each round's answers are written, so that no answered call repeats. What stays invalid failed in extraction.
+    """
 
-    return images.select("image_name").mapInPandas(run, "image_name string, stage string, label int, items_json string")
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answers = []
+            for name, label in zip(batch["image_name"], batch["label"], strict=True):
+                answer = None
+                for _ in range(tries):
+                    answer = answer or _attempt(extract, name, label)
+                answers.append(answer)
+            yield batch.assign(items_json=answers)
+
+    labelled = store(classify_images(images, classify), "labels")
+    asked, out = labelled.filter("label IS NOT NULL"), None
+    for _ in range(rounds):
+        answers = asked.mapInPandas(ask, "image_name string, label int, items_json string")
+        answers = answers.withColumn("items", F.from_json("items_json", ITEMS)["extracted_data"]).withColumn("valid", valid_items())
+        answers = store(answers.drop("items"), "answers")
+        done = answers.filter("valid")
+        out = done if out is None else out.union(done)
+        left = answers.filter("NOT valid")
+        asked = left.select("image_name", "label")
+    failed = labelled.filter("label IS NULL").select("image_name", "label", F.lit(None).cast("string").alias("items_json"), F.lit("classification").alias("stage"))
+    out = out.withColumn("stage", F.lit("done")).unionByName(left.withColumn("stage", F.lit("extraction"))).drop("valid")
+    return out.unionByName(failed).select("image_name", "stage", "label", "items_json")
+
+
+def extraction_summary(answers: DataFrame) -> DataFrame:
+    """How many images were classified and extracted, and how many failed in either stage."""
+    count = lambda cond, name: F.count_if(cond).alias(name)
+    stage = F.col("stage")
+    return answers.agg(count(stage != "classification", "classified"), count(stage == "classification", "classification_failed"), count(stage == "done", "extracted"), count(stage == "extraction", "extraction_failed"))
 
 
 def scoring_summary(scored: DataFrame, column: str = "LLM_Similarity") -> DataFrame:

@@ -68,8 +68,8 @@ def match_catalogue(flyer: DataFrame, master: DataFrame, scores: Callable[[DataF
     return attach(pairs.top_k_per_key(found, k=k).drop("Excel_nCat_Desc"), f, m)
 
 
-def reconcile_matches(scored: DataFrame, master: DataFrame, n: int = 5) -> dict[str, DataFrame]:
-    """The five result tables from pairs with model scores and the full master table."""
+def reconcile_matches(scored: DataFrame, master: DataFrame, n: int = 5, flyer: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five result tables from pairs with model scores and the full master table. With the `flyer` table, its rows without any pair are unmatched too."""
     ids = ("flyer_row", "master_row")
     # Ties keep the order of the descriptions as they were before upper-casing.
     rows = scored.withColumn("pair_order_description", F.col("PDF_Description"))
@@ -78,19 +78,20 @@ def reconcile_matches(scored: DataFrame, master: DataFrame, n: int = 5) -> dict[
     full = clean.upper_descriptions(clean.clean_distinct(master, keep=["master_row"]), ["Description"])
     exact = store(reconcile.best_exact(rows.filter("match_class = 'exact'")), "exact")
     partial = store(reconcile.rank_partial(reconcile.exclude_exact(rows.filter("match_class = 'partial'"), exact), n), "partial")
+    flagged = store(reconcile.match_flag(full, exact, partial), "flagged")
+    every = None if flyer is None else clean.upper_descriptions(clean.prefix_columns(flyer, "PDF_"), ["PDF_Description"])
     return {
         "Exact_Matches": exact.drop("pair_order_description", "match_class"),
         "Partial_Matches": partial.drop("pair_order_description", "match_class"),
-        "PDF_Unmatched": reconcile.unmatched_flyer(rows.drop(*ids), exact, partial),
-        "Excel_Unmatched": reconcile.unmatched_master(full, exact, partial),
-        "Match_Flag": reconcile.match_flag(full, exact, partial),
+        "PDF_Unmatched": reconcile.unmatched_flyer(rows.drop(*ids), exact, partial, every),
+        "Excel_Unmatched": reconcile.flagged_unmatched(flagged),
+        "Match_Flag": flagged,
     }
 
 
 def page_items(images: DataFrame, classify: Callable[[str], str | None], extract: Callable[[str, int], str | None]) -> tuple[DataFrame, DataFrame]:
     """Clean item rows of the images (image_name), and the images that failed with the stage they failed in."""
     answers = store(scoring.extract_items(images, classify, extract), "answers")
-    items = answers.withColumn("items", F.from_json("items_json", tables.ITEMS)["extracted_data"])
-    good = clean.reject_empty_items(items)
+    good = answers.filter("stage = 'done'")
     rows = tables.parse_items_json(good.select("image_name", F.col("label").alias("Cluster"), "items_json"), "items_json")
     return clean.drop_blank_products(clean.clean_items(rows)), answers.filter("stage != 'done'").select("image_name", "stage")

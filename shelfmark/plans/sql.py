@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.plans.views import BOXES, FLYER, MASTER, PRINTED, RESPONSES, duck
+from shelfmark.plans.views import BOXES, FLYER, FLYER_ODD, MASTER, PRINTED, RESPONSES, duck
 
 _VIEWS = {"master0": MASTER, "flyer0": FLYER, "printed": PRINTED, "boxes0": BOXES, "responses": RESPONSES}
 
@@ -150,22 +150,24 @@ PARSE_LABEL = _with("responses") + " SELECT image_row, CASE WHEN json_valid(labe
 _ITEM = ", ".join(f"json_extract_string(x, '$.{f}') AS {f}" for f in ("Size", "Pack", "RetailAmount", "RetailFactor", "Description", "Ad"))
 _EACH = "SELECT image_row, image_name, unnest(json_extract(items_json, '$.extracted_data[*]')) AS x FROM responses"
 PARSE_ITEMS = _with("responses") + f" SELECT image_row, {_ITEM} FROM ({_EACH})"
-WRITE_RESULTS = _with("master0", "flyer0") + " SELECT 'master' AS result, count(*) AS rows FROM master0 UNION ALL SELECT 'flyer', count(*) FROM flyer0 UNION ALL SELECT 'empty', 0"
+LIST_FILES = "SELECT 'region' AS \"table\", count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part"
+WRITE_RESULTS = _with("master0", "printed") + " SELECT 'master' AS result, count(*) AS rows FROM master0 UNION ALL SELECT 'flyer', count(*) FROM printed UNION ALL SELECT 'empty', 0"
 NORMALIZE_COLUMNS = "SELECT p_partkey AS part_key, p_name AS Name_short, p_size AS size_oz FROM part"
-PREFIX_COLUMNS = _with("flyer0") + " SELECT flyer_row, Description AS PDF_Description, Size AS PDF_Size, Pack AS PDF_Pack, Retail_Factor AS PDF_Retail_Factor, Retail_Amt AS PDF_Retail_Amt, Page_Number AS PDF_Page_Number FROM flyer0"
+PREFIX_COLUMNS = _with("printed") + " SELECT flyer_row, Description AS PDF_Description, Size AS PDF_Size, Pack AS PDF_Pack, Retail_Factor AS PDF_Retail_Factor, Retail_Amt AS PDF_Retail_Amt, Page_Number AS PDF_Page_Number FROM printed"
 SELECT_EXISTING = _with("master0") + " SELECT Description, BRAND, master_row FROM master0"
 CLEAN_TABLE = _with("master0") + " " + _cleaned([*_TEXT, "nCat_Desc", "BRAND"], "master0", "master_row", ["nCat_Desc", "BRAND", "Pack"], [])
 CLEAN_DISTINCT = _with("master0") + " SELECT DISTINCT " + ", ".join(f"CASE WHEN trim({x}) IN ('', 'nan', 'NaT', 'None', 'NoneType') THEN 'Null' ELSE trim({x}) END AS {x}" for x in ("Description", "Pack", "BRAND")) + " FROM master0"
-VALID_DESCRIPTION = _with("flyer0") + " SELECT flyer_row, Pack AS Description FROM flyer0 WHERE lower(trim(Pack)) NOT IN ('', 'null')"
+VALID_DESCRIPTION = _with("printed") + " SELECT flyer_row, Pack AS Description FROM printed WHERE lower(trim(Pack)) NOT IN ('', 'null')"
 _SIX = ("Size", "Pack", "RetailAmount", "RetailFactor", "Description", "Ad")
 _TIDY = ", ".join(f"trim(regexp_replace({f}, '\\s+', ' ', 'g')) AS {f}" for f in _SIX)
-_BLANK = lambda fs, t="{}": " AND ".join(f"({t.format(f)} IS NULL OR {t.format(f)} = '' OR upper({t.format(f)}) = 'NULL')" for f in fs)
+_BLANK = lambda fs, t="{}": " AND ".join(f"({t.format(f)} IS NULL OR regexp_matches({t.format(f)}, '^\\s*$') OR upper({t.format(f)}) = 'NULL')" for f in fs)
 CLEAN_ITEMS = _with("responses") + f" SELECT * FROM (SELECT image_row, image_name, {_TIDY}, TRY_CAST(regexp_extract(image_name, '_page_(\\d+)', 1) AS INT) AS Page_Number FROM (SELECT image_row, image_name, {_ITEM} FROM ({_EACH}))) WHERE NOT ({_BLANK(_SIX[:5])})"
 REJECT_EMPTY = _with("responses") + f", i AS (SELECT image_row, {_ITEM} FROM ({_EACH})) SELECT DISTINCT image_row FROM i WHERE image_row NOT IN (SELECT image_row FROM i WHERE {_BLANK(_SIX)})"
 DEDUP_FIRST = _with("master0") + " SELECT * FROM master0 QUALIFY row_number() OVER (PARTITION BY Description, nCat_Desc, BRAND ORDER BY master_row) = 1"
-UPPER_DESCRIPTIONS = _with("flyer0") + " SELECT flyer_row, upper(trim(Description)) AS Description FROM flyer0"
-_CLAMP = lambda x, top: f"greatest(0e0, least(CAST({x} AS DOUBLE), CAST({top} AS DOUBLE))) AS {x}"
-_BOX = _with("boxes0", more=f"b AS (SELECT image_name, box_idx, {_CLAMP('x1', 'img_w')}, {_CLAMP('y1', 'img_h')}, {_CLAMP('x2', 'img_w')}, {_CLAMP('y2', 'img_h')} FROM boxes0), boxes AS (SELECT *, x2 - x1 < 3 OR y2 - y1 < 3 AS bad FROM b)")
+UPPER_DESCRIPTIONS = _with("printed") + " SELECT flyer_row, upper(trim(Description)) AS Description FROM printed"
+_LOW = lambda x: f"greatest(0e0, CAST({x} AS DOUBLE)) AS {x}"
+_HIGH = lambda x, top: f"least(CAST({x} AS DOUBLE), CAST({top} AS DOUBLE)) AS {x}"
+_BOX = _with("boxes0", more=f"b AS (SELECT image_name, box_idx, {_LOW('x1')}, {_LOW('y1')}, {_HIGH('x2', 'img_w')}, {_HIGH('y2', 'img_h')} FROM boxes0), boxes AS (SELECT *, x2 - x1 < 3 OR y2 - y1 < 3 AS bad FROM b)")
 CROPS = _BOX + " SELECT image_name, box_idx, regexp_replace(image_name, '\\.[^.]*$', '') || '_crop_' || CAST(box_idx AS VARCHAR) || '.jpg' AS crop_name, " + ", ".join(f"CAST(trunc({x}) AS INT) AS {x}" for x in ("x1", "y1", "x2", "y2")) + " FROM boxes WHERE NOT bad"
 SKIPPED = _BOX + " SELECT image_name, box_idx, " + ", ".join(f"printf('%.2f', {x}) AS {x}" for x in ("x1", "y1", "x2", "y2")) + ", 'Tiny or invalid box' AS reason FROM boxes WHERE bad"
 BOX_SUMMARY = _BOX + " SELECT image_name, count(*) AS detections, count(*) FILTER (WHERE NOT bad) AS crops, count(*) FILTER (WHERE bad) AS skipped FROM boxes GROUP BY ROLLUP (image_name)"
@@ -192,7 +194,7 @@ TOP_K = f"{SCORED} SELECT flyer_row, master_row, {_micro('total')} AS total FROM
 CLASSIFY = f"{RESULTS} SELECT flyer_row, master_row, match_class FROM classed"
 BEST_EXACT = f"{RESULTS} SELECT flyer_row, master_row, mk AS Excel_Description FROM exact"
 RANK_PARTIAL = f"{RESULTS} SELECT flyer_row, master_row, mk AS Excel_Description, place AS Match_Order FROM partial"
-UNMATCHED_FLYER = f"{RESULTS} SELECT DISTINCT fk AS Description, f_size AS Size, f_pack AS Pack, f_factor AS Retail_Factor, f_amt AS Retail_Amt, f_page AS Page_Number FROM classed WHERE fk NOT IN (SELECT fk FROM exact UNION SELECT fk FROM partial)"
+UNMATCHED_FLYER = f"{RESULTS.replace(duck(FLYER), duck(FLYER_ODD))} SELECT DISTINCT upper(trim(Description)) AS Description, Size, Pack, Retail_Factor, Retail_Amt, Page_Number FROM flyer WHERE upper(trim(Description)) NOT IN (SELECT fk FROM exact UNION SELECT fk FROM partial)"
 UNMATCHED_MASTER = f"{RESULTS} SELECT * FROM fulls WHERE Description NOT IN (SELECT mk FROM exact UNION SELECT mk FROM partial)"
 MATCH_FLAG = f"{RESULTS} SELECT master_row, CASE WHEN Description IN (SELECT mk FROM exact) THEN 'Exact Match' WHEN Description IN (SELECT mk FROM partial) THEN 'Partial Match' ELSE 'Unmatched' END AS Match_Flag FROM fulls"
 MATCHED_KEYS = f"{RESULTS} SELECT mk AS Excel_Description FROM exact UNION SELECT mk FROM partial"
@@ -201,5 +203,17 @@ UNION ALL SELECT 'PDF_Unmatched', count(*) FROM (SELECT DISTINCT fk, f_size, f_p
 UNION ALL SELECT 'Excel_Unmatched', count(*) FROM fulls WHERE Description NOT IN (SELECT mk FROM exact UNION SELECT mk FROM partial) UNION ALL SELECT 'Match_Flag', count(*) FROM fulls"""
 ENTROPY = f"""WITH ch AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM ch WHERE ch <> '' GROUP BY ALL),
 e AS (SELECT doc_id, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy FROM n GROUP BY doc_id) SELECT doc_id, {_micro('entropy')} AS entropy_millionths, entropy < 2.8 AS noisy FROM e"""
+NOISE_COUNTS = f"WITH x AS ({ENTROPY}) SELECT count(*) FILTER (WHERE noisy) AS noisy, count(*) FILTER (WHERE NOT noisy) AS clean FROM x"
+VALUE_ENTROPY = f"""WITH n AS (SELECT l_partkey, l_quantity, count(*) AS n FROM lineitem GROUP BY ALL), e AS (SELECT l_partkey, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy FROM n GROUP BY l_partkey)
+SELECT l_partkey, {_micro('entropy')} AS entropy_millionths, entropy < 1.7 AS noisy FROM e"""
+# Hashed trigrams of a text between two spaces and one, 256 places, to length 1.
+ENCODE = _with("master0") + """, t AS (SELECT Description AS text FROM master0 UNION SELECT BRAND FROM master0),
+p AS (SELECT text, '  ' || lower(text) || ' ' AS s FROM t), g AS (SELECT text, unnest(list_transform(generate_series(1, length(s) - 2), lambda k: s[k:k + 2])) AS g FROM p),
+h AS (SELECT text, ((ord(g[1]) * 1000003 + ord(g[2])) % 4294967291 * 1000003 + ord(g[3])) % 4294967291 % 256 AS place FROM g),
+n AS (SELECT text, place, count(*) AS n FROM h GROUP BY ALL), v AS (SELECT text, place, n / sqrt(sum(n * n) OVER (PARTITION BY text)) AS v FROM n)
+SELECT text, CAST(place AS BIGINT) AS place, CAST(floor(CAST(CAST(v AS FLOAT) AS DOUBLE) * 1e4 + 0.5) AS BIGINT) AS ten_thousandths FROM v"""
+_STAGES = _with("responses") + ", l AS (SELECT image_name, list_sum(list_transform(string_split(image_name, ''), lambda x: ord(x))) % 5 AS label FROM responses), st AS (SELECT image_name, CAST(label AS INT) AS label, CASE WHEN label NOT IN (1, 2, 3) THEN 'classification' WHEN label = 3 OR (label = 2 AND length(image_name) % 2 = 0) THEN 'extraction' ELSE 'done' END AS stage FROM l)"
+EXTRACT_ITEMS = _STAGES + " SELECT image_name, label AS Cluster, CAST(label AS VARCHAR) || ' oz' AS Size, CAST(NULL AS VARCHAR) AS Pack, CAST(NULL AS VARCHAR) AS RetailAmount, CAST(NULL AS VARCHAR) AS RetailFactor, image_name AS Description, CAST(NULL AS VARCHAR) AS Ad, TRY_CAST(regexp_extract(image_name, '_page_(\\d+)', 1) AS INT) AS Page_Number FROM st WHERE stage = 'done'"
+EXTRACTION_COUNTS = _STAGES + " SELECT count(*) FILTER (WHERE stage <> 'classification') AS classified, count(*) FILTER (WHERE stage = 'classification') AS classification_failed, count(*) FILTER (WHERE stage = 'done') AS extracted, count(*) FILTER (WHERE stage = 'extraction') AS extraction_failed FROM st"
 SCORE_PAIRS = _ONE + f" SELECT flyer_row AS PDF_flyer_row, {_micro(_jaccard('Description', 'm_text'))} AS score FROM sides"
 MATCH_PLAIN = f"{SCORED} SELECT flyer_row, master_row, f_text AS PDF_Description, m_text AS Excel_Description, {_micro('scaled')} AS combined, {_micro('llm')} AS model FROM top"

@@ -23,6 +23,11 @@ SELECT p_partkey AS flyer_row, concat(upper(substr(p_name, 1, 1)), substr(p_name
   CAST(p_partkey % 7 + 1 AS INT) AS Page_Number FROM {part}"""
 FLYER = PRINTED + " WHERE p_partkey % 50 = 0"
 
+#: A flyer of which every second item is none of the catalogue's, and some are like nothing in it.
+FLYER_ODD = """
+SELECT flyer_row, CASE WHEN flyer_row % 200 = 0 THEN concat('~ ', CAST(flyer_row AS STRING)) WHEN flyer_row % 100 = 0 THEN concat('Imported offer ', Description, ' of the week ', CAST(flyer_row AS STRING))
+  ELSE Description END AS Description, Size, Pack, Retail_Factor, Retail_Amt, Page_Number FROM (""" + FLYER + ")"
+
 BOXES = """
 SELECT concat('flyer_page_', CAST(l_orderkey AS STRING), '.jpg') AS image_name, l_linenumber AS box_idx,
   l_quantity * 30 - 60 AS x1, l_discount * 15000 - 30 AS y1, l_quantity * 30 - 60 + l_tax * 1000 AS x2, l_discount * 15000 - 30 + l_tax * 800 AS y2,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PDF, IMAGES, MORE_IMAGES = (".pdf",), (".jpg", ".jpeg", ".png"), (".bmp", ".tiff", ".webp")
+#: The shapes of the model's answers.
 LABELS = "struct<clusters:array<struct<label:int>>>"
 ITEM_FIELDS = ("Size", "Pack", "RetailAmount", "RetailFactor", "Description", "Ad")
 ITEMS = f"struct<extracted_data:array<struct<{','.join(f'{f}:string' for f in ITEM_FIELDS)}>>>"
