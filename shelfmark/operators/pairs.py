@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as tx
 from shelfmark.sources.work import store
 
-#: Flyer key rows up to which they are broadcast; beyond, both sides are shuffled by key.
+#: Flyer key rows (at most 100 bytes each, so 50 MB) up to which they are broadcast; beyond, both sides are shuffled by key.
 BROADCAST_KEYS = 500_000
 SCORES = ("Description_Similarity", "Ncat_Description_Similarity", "Brand_Description_Similarity", "Boost_Score", "Brand_Word_Score", "ncat_word_score")
 

@@ -33,12 +33,20 @@ def attach(ids: DataFrame, flyer: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def plain_scores(found: DataFrame, master: DataFrame) -> DataFrame:
-    """Scores that need no model: boost, containment of brand and category, and word overlap as the model's score."""
-    d = F.col("PDF_Description")
-    found = found.join(master.select("master_row", F.col("nCat_Desc").alias("Excel_nCat_Desc")), "master_row")
-    found = found.withColumns({"Brand_Word_Score": tx.contained(d, F.col("Excel_BRAND")).cast("double"), "ncat_word_score": tx.contained(d, F.col("Excel_nCat_Desc")).cast("double")})
-    found = found.withColumn("LLM_Similarity", tx.word_jaccard(d, F.col("Excel_Description")))
-    return found.withColumns({c: F.lit(0.0) for c in ("Description_Similarity", "Brand_Description_Similarity", "Ncat_Description_Similarity")})
+    """Scores that need no model: boost, containment of brand and category, and word overlap as the model's score.
+
+    Texts are cleaned and split once a row, not once a pair; what that gives is joined to the pairs.
+    """
+    found = store(found, "candidates")
+    own = found.select("PDF_Description").distinct().select("PDF_Description", tx.match_text(F.col("PDF_Description")).alias("__a"), F.array_distinct(tx.tokenize(F.col("PDF_Description"))).alias("__x"))
+    plain = {f"__{i}": tx.match_text(F.col(c)) for i, c in enumerate(("BRAND", "nCat_Desc"))}
+    other = master.select("master_row", F.col("nCat_Desc").alias("Excel_nCat_Desc"), *[v.alias(k) for k, v in plain.items()], F.array_distinct(tx.tokenize(F.col("Description"))).alias("__y"))
+    found = found.join(store(other, "master-words"), "master_row").join(store(own, "flyer-words"), "PDF_Description")
+    within = lambda c: ((F.col("__a") != "") & (F.col(c) != "") & F.col("__a").contains(F.col(c))).cast("double")
+    common = F.size(F.array_intersect("__x", "__y"))
+    every = F.size("__x") + F.size("__y") - common
+    found = found.withColumns({"Brand_Word_Score": within("__0"), "ncat_word_score": within("__1"), "LLM_Similarity": F.when(every > 0, common / every).otherwise(0.0)})
+    return found.drop("__a", "__0", "__1", "__x", "__y").withColumns({c: F.lit(0.0) for c in ("Description_Similarity", "Brand_Description_Similarity", "Ncat_Description_Similarity")})
 
 
 def full_scores(found: DataFrame, master: DataFrame, encode: Callable[[list[str]], np.ndarray] = vectors.char_trigrams) -> DataFrame:

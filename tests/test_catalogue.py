@@ -135,3 +135,94 @@ def test_sources_and_sinks(spark, tmp_path):
 def test_registry():
     names, sql = set(entry.queries()), set(entry.oracle_sql())
     assert sql <= names and "match_catalogue" in names
+
+
+def test_full_match_against_plain_python(spark):
+    """Every score of the full match, from the texts alone."""
+    import numpy as np
+
+    from shelfmark.functions import fuzzy
+
+    flyer = [(1, "Acme Green Tea 20 bags"), (2, "Fresh orange juice"), (3, "ACME COFFEE dark")]
+    master = [(1, "ACME GREEN TEA", "tea", "Acme"), (2, "ORNG JUICE fresh", "juice drinks", "Sunny"), (3, "Coffee Dark Roast", "coffee", "Acmee"), (4, "Garden hose", "tools", "Hosey")]
+    f = spark.createDataFrame([(i, d, "1 oz", "1 pk", "1", "$1", 1) for i, d in flyer], "flyer_row long, Description string, Size string, Pack string, Retail_Factor string, Retail_Amt string, Page_Number int")
+    m = spark.createDataFrame([(i, d, "1 oz", "1 pk", "1", "$1", n, b) for i, d, n, b in master], "master_row long, Description string, Size string, Pack string, Retail_Factor string, Retail_Amt string, nCat_Desc string, BRAND string")
+    got = {(r.flyer_row, r.master_row): r for r in match.match_catalogue(f, m).collect()}
+    boosts = {(r.flyer_row, r.master_row): r.Boost_Score for r in pairs.candidate_pairs(f, m).collect()}
+    assert set(got) == set(boosts) and len(got) >= 5
+
+    def cosine(a, b):
+        x, y = vectors.char_trigrams([a, b])
+        return x @ y / (np.linalg.norm(x) * np.linalg.norm(y))
+
+    def word(flyer_text, field, ratio):
+        a, b = fuzzy._clean(flyer_text), fuzzy._clean(field)
+        return 1.0 if b in a else ratio(b, a) / 100
+
+    total = {}
+    for (i, j), r in got.items():
+        d, (_, e, n, b) = dict(flyer)[i], master[j - 1]
+        want = [cosine(d, e), cosine(d, n), cosine(d, b), boosts[i, j], word(d, b, fuzzy.partial_ratio), word(d, n, fuzzy.wratio)]
+        assert [r[c] for c in pairs.SCORES] == pytest.approx(want, abs=1e-5), (i, j)
+        total[i, j] = sum(want)
+    low, high = min(total.values()), max(total.values())
+    assert all(r.Combined_Score == pytest.approx((total[k] - low) / (high - low), abs=1e-5) for k, r in got.items())
+
+
+def test_extraction_rounds_and_failures(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def times(name):
+        with open(f"{marks}/{name}", "a") as f:
+            f.write("x")
+        with open(f"{marks}/{name}") as f:
+            return len(f.read())
+
+    def classify(name):
+        if name.startswith("late"):
+            return "9" if times(f"c-{name}") == 1 else "2"
+        return "7" if name.startswith("odd") else "1"
+
+    def extract(name, label):
+        n = times(f"e-{name}")
+        item = '{"extracted_data":[{"Size":"1 oz","Description":"Tea"}%s]}'
+        if name.startswith("flaky") and n < 3:
+            raise TimeoutError
+        if name.startswith("blank"):
+            return item % ',{"Size":"  ","Ad":"null"}'
+        if name.startswith("second"):
+            return '{"extracted_data":[]}' if n == 1 else item % ""
+        return "no json" if name.startswith("bad") else item % ""
+
+    names = ["fine_page_3.jpg", "late.jpg", "odd.jpg", "flaky.jpg", "blank.jpg", "second.jpg", "bad.jpg"]
+    images_of = spark.createDataFrame([(n,) for n in names], "image_name string")
+    items, failed = match.page_items(images_of, classify, extract)
+    assert sorted((r.image_name, r.Cluster, r.Page_Number) for r in items.collect()) == [("fine_page_3.jpg", 1, 3), ("flaky.jpg", 1, None), ("late.jpg", 2, None), ("second.jpg", 1, None)]
+    assert {r.image_name: r.stage for r in failed.collect()} == {"odd.jpg": "classification", "blank.jpg": "extraction", "bad.jpg": "extraction"}
+    assert (tmp_path / "e-fine_page_3.jpg").read_text() == "x" and (tmp_path / "e-blank.jpg").read_text() == "xx"
+    answers = spark.createDataFrame([("a", "done"), ("b", "extraction"), ("c", "classification"), ("d", "done")], "image_name string, stage string")
+    assert tuple(scoring.extraction_summary(answers).first()) == (3, 1, 2, 1)
+
+
+def test_blank_items_and_boxes_outside_the_image(spark):
+    blank, good = '{"Size":"  ","Pack":"\\t","Description":"null"}', '{"Size":"1","Ad":" null "}'
+    rows = [(i, '{"extracted_data":[%s]}' % x) for i, x in enumerate([blank, good, f"{good},{blank}"])]
+    df = spark.createDataFrame(rows, "i long, j string").withColumn("items", F.from_json("j", tables.ITEMS)["extracted_data"])
+    assert [r.i for r in clean.reject_empty_items(df).collect()] == [1]
+    boxes = spark.createDataFrame([("a.jpg", 1, 120.0, -9.0, 130.0, -4.0, 100, 50)], "image_name string, box_idx int, x1 double, y1 double, x2 double, y2 double, img_w int, img_h int")
+    assert [tuple(r)[2:6] for r in images.skipped_boxes(images.clean_boxes(boxes)).collect()] == [("120.00", "0.00", "100.00", "-4.00")]
+
+
+def test_unmatched_flyer_rows_and_unions(spark):
+    cols = ", ".join(f"{c} string" for c in reconcile.FLYER_COLUMNS)
+    pairs_of = spark.createDataFrame([("TEA", *"12345"), ("TEA", *"12345"), ("HOSE", *"12345")], cols)
+    exact = spark.createDataFrame([("TEA", "M")], "PDF_Description string, Excel_Description string")
+    more = spark.createDataFrame([("NAILS", *"12345"), ("TEA", *"99999")], cols)
+    names = lambda **kw: sorted(r.Description for r in reconcile.unmatched_flyer(pairs_of, exact, exact.limit(0), **kw).collect())
+    assert names() == ["HOSE"] and names(all_flyer=more) == ["HOSE", "NAILS"]
+    assert reconcile.union_ranked(exact, exact.select("Excel_Description", "PDF_Description")).collect() == exact.union(exact).collect()
+
+
+def test_char_entropy_of_odd_texts(spark):
+    rows = spark.createDataFrame([("",), (None,), ("a",), ("ab\n\U0001f600",), ("a.b.",)], "t string").select("t", images.char_entropy(F.col("t")).alias("e")).collect()
+    assert [r.e if r.e is None else round(r.e, 6) for r in rows] == [None, None, 0.0, 1.386294, 1.039721]

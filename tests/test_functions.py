@@ -86,3 +86,52 @@ def test_fuzzy_ratios():
     assert fuzzy.ratio("abcd", "abcd") == 100 and fuzzy.partial_ratio("bcd", "abcde") == 100
     assert fuzzy.wratio("new york mets", "mets new york") == pytest.approx(95) and fuzzy.wratio("", "x") == 0
     assert 0 <= fuzzy.wratio("a", "a long text without it") <= 100
+
+
+def test_ratios_against_slow_versions():
+    import random
+
+    from shelfmark.functions import fuzzy
+
+    def slow_lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        return row[-1]
+
+    ratio = lambda a, b: 200 * slow_lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+    def partial(a, b):
+        if not a or not b:
+            return 100.0 if a == b else 0.0
+        s, t = sorted((a, b), key=len)
+        return max(ratio(s, t[max(0, i) : i + len(s)]) for i in range(1 - len(s), len(t)))
+
+    def tokens(a, b, by):
+        x, y = set(a.split()), set(b.split())
+        join = lambda w: " ".join(sorted(w))
+        sort = by(join(a.split()), join(b.split()))
+        if not x or not y:
+            return sort
+        both = join(x & y)
+        left, right = (f"{both} {join(s)}".strip() for s in (x - y, y - x))
+        return max(sort, by(left, right), *((by(both, left), by(both, right)) if both else ()))
+
+    def wratio(a, b):
+        if not a or not b:
+            return 0.0
+        longer = max(len(a), len(b)) / min(len(a), len(b))
+        if longer < 1.5:
+            return max(ratio(a, b), 0.95 * tokens(a, b, ratio))
+        scale = 0.9 if longer <= 8 else 0.6
+        return max(ratio(a, b), scale * partial(a, b), 0.95 * scale * tokens(a, b, partial))
+
+    rng = random.Random(3)
+    some = ["", "a", "tea bags", "x" * 70]
+    for _ in range(60):
+        some.append(" ".join("".join(rng.choice("abcd") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(1, 7))))
+    for _ in range(300):
+        a, b = rng.choice(some), rng.choice(some)
+        assert fuzzy.partial_ratio(a, b) == partial(a, b) and abs(fuzzy.wratio(a, b) - wratio(a, b)) < 1e-9, (a, b)
