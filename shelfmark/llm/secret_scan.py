@@ -1,16 +1,18 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions and Spark's own forest only.
 
-Candidates are runs of 16 or more key characters. Their features are length, character classes and the transitions between them, how much of
-them the corpus's own vocabulary covers, what the document's path (`source`) looks like, and the neighbouring words. The forest is trained on
-labelled findings and gives each candidate the probability of being a secret; candidates under one half are false positives.
+Candidates are runs of 16 or more key characters, and values of any alphabet and at least `SHORTEST` characters that are assigned to a secret's name. Their features are length,
+character classes and the transitions between them, how much of them the corpus's own vocabulary covers, what the document's path (`source`) looks like, and
+the neighbouring words. The forest is trained on labelled findings and gives each candidate the probability of being a secret; candidates under one half
+are false positives.
 
-Labelled findings are a table (the feature columns and `label`). The given tables have none, so `triage` labels the clear cases as a reviewer
-would: values assigned to a secret's name are secrets; numbers, placeholders and dictionary words are not. The rest stays unlabelled.
-The forest sees at most `SAMPLE` findings of each label, those with the least hashes. The vocabulary counts all words of all documents.
+Labelled findings are a table (the feature columns, value, before, after and `label`). The given tables have none, so `planted` writes texts in which it is
+known by construction what is a secret: drawn keys, tokens and passwords where secrets stand, and numbers, words and names of the corpus, digests under their names, paths and
+placeholders, both there and elsewhere. They pass the same scan as documents; no label is derived from a feature. The forest sees at most `SAMPLE`
+findings of each label, those with the least hashes. The vocabulary counts all words of all documents; the planted texts use `WORDS` of them.
 
 Defined results: null and empty texts have no candidates, a null source is an empty path. Rows that repeat a doc_id are scanned each by its own
-text. Without findings of both labels nothing can be learned: every probability is the share of secrets among the labelled (0 if none is).
-Other columns are ignored.
+text, and texts of any length whole. Of equal values in one word the first counts. Without findings of both labels nothing can be learned: every probability is the share of
+secrets among the labelled (0 if none is). Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +26,20 @@ from pyspark.sql import functions as F
 from .common import SPACES, store, table, text_of
 
 CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
-SAMPLE, LEAST_USES, SECRET = 2000, 20, 0.5
+SHORTEST, SAMPLE, LEAST_USES, SECRET, PLANTED, WORDS = 6, 2000, 20, 0.5, 8000, 500
 #: Words near secrets, words near placeholders, and parts of paths.
 SECRET_NAMES = "(?i)(token|secret|passw|pwd|api_?key|access_?key|private_?key|auth|credential|bearer)"
 PLACEHOLDERS = "(?i)(example|dummy|sample|placeholder|changeme|your[_-]|xxxx|todo|redacted)"
 TEST_PATHS, CODE_PATHS = "(?i)(test|example|sample|mock|fixture|doc)", "(?i)(\\.(py|js|ts|go|java|rb|php|ya?ml|json|env|ini|cfg|conf|toml|sh)$|config|src)"
+#: A value right after a secret's name in one word, and what stands before one that is a word of its own.
+ASSIGNED = SECRET_NAMES + "[\\w-]*[\"'\\]]*(?:=>|:=|[=:])[\"'`]?([^\\s\"'`,;]{%d,})" % SHORTEST
+NAMED = SECRET_NAMES + "[\\w-]*[\"'\\]]* ?(?:=>|:=|[=:])$"
+VALUE = "^[\"'`(\\[]*([^\\s\"'`,;]{%d,})" % SHORTEST
+#: What stands before secrets, before other findings, and placeholders.
+BEFORE_SECRETS = ["token =", "api_key:", "password =", "secret:", "export ACCESS_KEY =", "authorization: bearer", "db_pwd =", "private_key =", "auth_token:", "credentials: key ="]
+BEFORE_OTHERS = ["commit", "sha256:", "etag =", "checksum:", "id =", "see", "number", "and the", "version =", "call"]
+PLACES = ["your_api_key_goes_here", "xxxxxxxxxxxxxxxxxxxx", "changeme_changeme", "example-secret-value", "placeholder_token_value", "todo_replace_this_value"]
+PATHS = ["src/app.py", "config/settings.yml", "notes", "web", "deploy/prod.env", "readme"]
 
 FEATURES = [
     "length", "upper_share", "digit_share", "other_share", "class_turns", "vowel_turns", "distinct_share", "hex_only",
@@ -49,11 +60,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, row, place (word number from 0), nth (within the word), value, before, after, source, word."""
     text = text_of()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.xxhash64(text, "source").alias("row"), text.alias("text"))
-    rows = rows.filter(F.col("text").rlike(CANDIDATE))
+    rows = rows.withColumn("named", F.col("text").rlike(SECRET_NAMES)).filter(F.col("named") | F.col("text").rlike(CANDIDATE))
     words = F.split("text", SPACES)
-    hits = lambda w: F.filter(F.transform(w, lambda x, i: F.when(x.rlike(CANDIDATE), F.struct(i.alias("place"), x.alias("word"), F.array_join(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), " ").alias("before"), F.array_join(F.slice(w, i + 2, 2), " ").alias("after")))), lambda x: x.isNotNull())
+    front = lambda w, i: F.array_join(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), " ")
+    # Only texts with a secret's name have assigned values.
+    assigned = lambda w, x, i: F.col("named") & (x.rlike(ASSIGNED) | (x.rlike(VALUE) & front(w, i).rlike(NAMED)))
+    told = lambda w, x, i: F.struct(i.alias("place"), x.alias("word"), front(w, i).alias("before"), F.array_join(F.slice(w, i + 2, 2), " ").alias("after"))
+    hits = lambda w: F.filter(F.transform(w, lambda x, i: F.when(x.rlike(CANDIDATE) | assigned(w, x, i), told(w, x, i))), lambda x: x.isNotNull())
     rows = rows.select("doc_id", "row", "source", F.inline(F.transform(F.array(words), hits)[0]))
-    return rows.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), F.lit(1))).alias("nth", "value"))
+    whole = F.when(F.col("word").rlike(ASSIGNED), F.regexp_extract("word", ASSIGNED, 2)).when(F.col("before").rlike(NAMED), F.regexp_extract("word", VALUE, 1)).otherwise("")
+    runs = F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), F.lit(1))
+    # Runs inside an assigned value, or of it and its name, are no candidates of their own.
+    apart = F.when(F.col("whole") != "", F.concat(F.array("whole"), F.filter(runs, lambda r: ~F.col("whole").contains(r) & ~r.contains(F.col("whole"))))).otherwise(runs)
+    return rows.withColumn("whole", whole).select("*", F.posexplode(F.array_distinct(apart)).alias("nth", "value")).drop("whole")
 
 
 def vocabulary(docs: DataFrame, least: int = LEAST_USES) -> DataFrame:
@@ -62,22 +81,25 @@ def vocabulary(docs: DataFrame, least: int = LEAST_USES) -> DataFrame:
     return words.groupBy("part").agg(F.count(F.lit(1)).alias("uses")).filter(F.col("uses") >= least).select("part")
 
 
-def featured(docs: DataFrame) -> DataFrame:
-    """The candidates of `docs` (doc_id, text, source) with their features."""
-    found = store(candidates(docs), "candidates")
-    # Each distinct value is measured against the vocabulary once.
+def featured(docs: DataFrame, known: DataFrame, salts: int = 16) -> DataFrame:
+    """The candidates of `docs` (doc_id, text, source) with their features; `known` is the vocabulary (part)."""
+    found = store(candidates(docs).withColumn("salt", F.pmod(F.xxhash64("doc_id", "place"), F.lit(salts)).cast("int")), "candidates")
+    # Each distinct value is measured against the vocabulary once, and goes back to its candidates under several salts, as one value may be a third of them.
     parts = found.select("value").distinct().select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]{3,})"), F.lit(1))).alias("part"))
-    covered = parts.join(vocabulary(docs), "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
-    out = found.join(covered, "value", "left")
-    classes = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "\u0001"), "[A-Z]", "\u0002"), "[0-9]", "\u0003"), "+/_=-", "\u0004" * 5)
+    covered = store(parts.join(known, "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered")), "covered")
+    covered = covered.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    out = found.join(covered, ["value", "salt"], "left").drop("salt")
+    classes = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "\u0001"), "[A-Z]", "\u0002"), "[0-9]", "\u0003")
+    classes = F.regexp_replace(classes, "[^\u0001-\u0003]", "\u0004")
     vowels = F.regexp_replace(F.regexp_replace(F.lower("value"), "[aeiouy]", "+"), "[a-z]", "-")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
+    front = F.expr("substring_index(word, value, 1)")
     return out.withColumns(
         {
             "length": F.length("value").cast("double"),
             "upper_share": _share("value", "A-Z"),
             "digit_share": _share("value", "0-9"),
-            "other_share": _share("value", "+/_=-"),
+            "other_share": F.length(F.regexp_replace("value", "[A-Za-z0-9]", "")) / F.length("value"),
             "class_turns": _turns(classes),
             "vowel_turns": _turns(vowels),
             "distinct_share": F.size(F.array_distinct(F.split("value", ""))) / F.length("value"),
@@ -86,20 +108,55 @@ def featured(docs: DataFrame) -> DataFrame:
             "test_path": flag(F.col("source").rlike(TEST_PATHS)),
             "code_path": flag(F.col("source").rlike(CODE_PATHS)),
             "path_length": F.length("source").cast("double"),
-            "named_before": flag(F.col("before").rlike(SECRET_NAMES)) + flag(F.regexp_replace("word", f"{CANDIDATE}.*$", "").rlike(SECRET_NAMES)),
+            "named_before": flag(F.col("before").rlike(SECRET_NAMES)) + flag(front.rlike(SECRET_NAMES)),
             "named_after": flag(F.col("after").rlike(SECRET_NAMES)),
-            "assigned": flag(F.col("before").rlike("[=:]$") | F.col("word").rlike(f"[=:][\"']?{CANDIDATE}")),
+            "assigned": flag(F.col("before").rlike("[=:]>?$") | front.rlike("[=:]>?[\"'`]?$")),
             "quoted": flag(F.col("word").rlike("[\"'`]")),
             "placeholder_near": flag(F.concat_ws(" ", "before", "word", "after").rlike(PLACEHOLDERS)),
         }
     ).drop("covered")
 
 
-def triage(found: DataFrame) -> DataFrame:
-    """Labelled findings among candidates: 1 for what is plainly a secret, 0 for what plainly isn't; others are left out."""
-    plain = (F.col("digit_share") == 1) | (F.col("coverage") >= 0.5) | (F.col("placeholder_near") == 1) | (F.col("distinct_share") < 0.2) | (F.col("digit_share") == 0)
-    secret = (F.col("named_before") > 0) & (F.col("assigned") == 1) & (F.col("digit_share") > 0) & (F.col("coverage") < 0.3)
-    return found.withColumn("label", F.when(plain, 0.0).when(secret, 1.0)).filter("label IS NOT NULL")
+def planted(spark: SparkSession, known: DataFrame, n: int = PLANTED, words: int = WORDS) -> DataFrame:
+    """doc_id, text, source, value, label: texts with one finding each, a secret (1) or not (0) by construction. Reruns give the same."""
+    some = known.orderBy(F.xxhash64("part"), "part").limit(words).agg(F.sort_array(F.collect_list("part")).alias("some"))
+    some = some.select(F.concat("some", F.array(*[F.lit(w) for w in ("value", "other", "between", "message", "number")])).alias("some"))
+    rows = spark.range(n).crossJoin(F.broadcast(some))
+    draw = lambda name, m: F.pmod(F.xxhash64(F.lit(name), "id"), F.lit(m)).cast("int")
+    pick = lambda name, array, m: F.get(array, draw(name, m))
+    fixed = lambda name, values: pick(name, F.array(*[F.lit(v) for v in values]), len(values))
+    word = lambda name: F.get(F.col("some"), F.pmod(F.xxhash64(F.lit(name), "id"), F.size("some").cast("long")).cast("int"))
+    digest = F.sha2(F.concat(F.lit("planted"), F.col("id").cast("string")).cast("binary"), 256)
+    code = F.translate(F.base64(F.unhex(digest)), "=", "")
+    digits = F.translate(digest, "abcdef", "172839")
+    secrets = [
+        F.substring(digest, 1, 40), F.substring(digest, 1, 32), F.concat(F.lit("sk_live_"), F.substring(F.regexp_replace(code, "[+/]", "x"), 1, 24)), F.substring(code, 1, 40), F.substring(F.regexp_replace(code, "[+/]", "_"), 1, 22),
+        F.concat(F.initcap(word("p")), F.substring(digits, 1, 4), fixed("sign", ["!", "#", "&", "$", "%"]), F.substring(code, 1, 3)), F.substring(code, 1, 12), F.concat(F.substring(code, 1, 6), F.lit("!"), F.substring(code, 9, 4)),
+    ]
+    others = [
+        F.substring(digits, 1, 16), F.substring(digits, 1, 20), F.concat(word("a"), word("b"), word("c"), word("d")), F.concat_ws("_", word("a"), word("b"), word("c")), F.concat(word("a"), F.initcap(word("b")), F.initcap(word("c"))),
+        F.concat_ws("/", F.lit("src"), word("a"), word("b"), word("c")), F.repeat(fixed("line", ["=", "-", "_", "a", "0"]), 24), fixed("place", PLACES), F.concat_ws("-", word("a"), word("b"), F.substring(digits, 1, 4)),
+    ]
+    # Of twenty texts: ten secrets where secrets stand, two digests under their names, eight other things, half of them where secrets stand.
+    turn = F.col("id") % 20
+    label = F.when(turn < 10, 1.0).otherwise(0.0)
+    value = F.when(turn < 10, pick("s", F.array(*secrets), len(secrets))).when(turn < 12, F.substring(digest, 1, 40)).otherwise(pick("o", F.array(*others), len(others)))
+    value = F.when(F.length(value) < 16, F.when(turn < 16, value).otherwise(F.rpad(value, 18, "e"))).otherwise(value)
+    before = F.when((turn < 10) | (turn >= 12) & (turn < 16), fixed("before", BEFORE_SECRETS)).otherwise(fixed("others", BEFORE_OTHERS))
+    quote = F.when(draw("quote", 3) == 0, F.lit("")).otherwise('"')
+    gap = F.when(F.col("before").rlike("[=:]$") & (draw("gap", 3) == 0), F.lit("")).otherwise(" ")
+    rows = rows.select("id", "some", label.alias("label"), value.alias("value"), before.alias("before"), quote.alias("quote"), fixed("path", PATHS).alias("source"), word("x").alias("x"), word("y").alias("y"))
+    near = F.when(gap == "", F.regexp_replace("before", " ([=:])$", "$1")).otherwise(F.col("before"))
+    text = F.concat(F.col("x"), F.lit(" "), F.col("y"), F.lit(" "), near, gap, F.col("quote"), F.col("value"), F.col("quote"), F.lit(" "), F.col("y"), F.lit(" "), F.col("x"))
+    return rows.select(F.col("id").alias("doc_id"), text.alias("text"), "source", "value", "label")
+
+
+def labelled_findings(spark: SparkSession, known: DataFrame) -> DataFrame:
+    """The planted findings as the scan sees them, with their labels."""
+    texts = store(planted(spark, known), "planted")
+    labels = texts.select(F.col("doc_id").alias("of"), F.col("value").alias("real"), "label")
+    found = featured(texts.select("doc_id", "text", "source"), known)
+    return found.join(labels, (F.col("doc_id") == F.col("of")) & (F.col("value") == F.col("real"))).drop("of", "real")
 
 
 def scored(found: DataFrame, labelled: DataFrame, sample: int = SAMPLE, trees: int = 24, depth: int = 6, seed: int = 7) -> DataFrame:
@@ -119,10 +176,13 @@ def scored(found: DataFrame, labelled: DataFrame, sample: int = SAMPLE, trees: i
     return forest.transform(pack.transform(found)).withColumn("probability", chance).drop("features", "probability_vector", "rawPrediction", "prediction")
 
 
-def secrets(docs: DataFrame) -> DataFrame:
-    """One row per candidate: doc_id, place, nth, value, probability, is_secret."""
-    found = store(featured(docs), "featured")
-    return scored(found, triage(found)).withColumn("is_secret", F.col("probability") >= SECRET).select("doc_id", "place", "nth", "value", "probability", "is_secret")
+def secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """One row per candidate: doc_id, place, nth, value, probability, is_secret. `labelled` are findings with their features and `label`; without them, planted ones."""
+    docs = docs.select("doc_id", "text", "source")
+    known = store(vocabulary(docs), "vocabulary")
+    found = store(featured(docs, known), "featured")
+    labelled = labelled_findings(docs.sparkSession, known) if labelled is None else labelled
+    return scored(found, labelled).withColumn("is_secret", F.col("probability") >= SECRET).select("doc_id", "place", "nth", "value", "probability", "is_secret")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

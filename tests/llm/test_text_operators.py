@@ -114,6 +114,39 @@ def test_secrets(spark):
     assert secret_scan.secrets(docs_of(spark, rows[:1]).limit(0)).count() == 0
 
 
+def test_secrets_held_out(spark):
+    """Precision and recall on texts whose secrets are known, written apart from the planted ones."""
+    rng = random.Random(21)
+    pool = "".join(chr(c) for c in range(33, 127) if chr(c) not in "\"'`,;()[]")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    plain = "the quick report about rivers and mountains was written during summer while people walked around".split()
+    rows, real = [], set()
+    for i in range(400):
+        kind, prose = i % 8, " ".join(rng.choice(plain) for _ in range(12))
+        if kind < 4:
+            value = (draw("0123456789abcdef", 40), draw(letters, 20), draw(pool, 12), "ghp_" + draw(letters, 36))[kind]
+            name = rng.choice(("client_secret", "API_KEY", "github_token", "DB_PASSWORD", "auth_key"))
+            text = rng.choice((f'{name} = "{value}"', f"{name}={value}", f"{name}: {value}"))
+            real.add((i, value))
+        else:
+            text = ("order 4465 7583 4465758382889437 shipped", "mountainsriversreportsummer and", f"commit {draw('0123456789abcdef', 40)} fixed it", "password = your_password_here_please")[kind - 4]
+        rows.append((i, f"{prose} {text} {prose}", rng.choice(("src/main.py", "blog", None))))
+    found = secret_scan.secrets(docs_of(spark, rows)).collect()
+    said = {(r.doc_id, r.value) for r in found if r.is_secret}
+    assert len(real & {(r.doc_id, r.value) for r in found}) >= 0.97 * len(real)
+    recall, precision = len(said & real) / len(real), len(said & real) / max(1, len(said))
+    assert recall >= 0.9 and precision >= 0.9, (recall, precision, Counter(v[:18] for _, v in said - real).most_common(5))
+
+
+def test_secret_candidates(spark):
+    texts = ['password = "hunter2!" now', "pwd=Tr0ub4dor&3 set", "db_secret: 'a8F$k2!x' x", '{"api_key":"abc123def"}', "no secret here at all", "my password is long", "token := ABCDEFGHIJKLMNOPQRST+/12 end", "ABCDEFGHIJKLMNOPQRST " * 3 + "x " * 100_000]
+    got = defaultdict(list)
+    for r in secret_scan.candidates(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).orderBy("doc_id", "place", "nth").collect():
+        got[r.doc_id].append(r.value)
+    assert got == {0: ["hunter2!"], 1: ["Tr0ub4dor&3"], 2: ["a8F$k2!x"], 3: ["abc123def}"[:9]], 6: ["ABCDEFGHIJKLMNOPQRST+/12"], 7: ["ABCDEFGHIJKLMNOPQRST"] * 3}
+
+
 # Personal data.
 def test_pii(spark):
     text = "Mail Ann.Lee@firma.example.org or ann.lee@firma.example.org, call +49 (089) 1234-567 or IP 10.20.30.40; card 4111 1111 1111 1111, 4111111111111111. Mrs. Ann Lee met Mr. Bo Lee. Herr Иван Петров."
