@@ -1,17 +1,19 @@
 """Licence scans by Dice coefficient over word bigrams, in DataFrame functions only.
 
-A text is compared with the templates line by line, paragraph by paragraph and as a whole, each lower-cased with all but letters and digits
-turned into spaces. The Dice coefficient of two sets of bigrams of sizes a and b is at most 2 min(a, b) / (a + b), so only templates whose
-size is within t / (2 - t) and (2 - t) / t of a segment's can reach t; segments of other sizes are passed over before their bigrams are
-built, and the same bounds stand in the join. The templates are a fixed list of a few kilobytes and are broadcast.
+A text is compared with the templates line by line, paragraph by paragraph, as a whole and in windows of words, each lower-cased with all but letters and digits
+turned into spaces. The Dice coefficient of two sets of bigrams of sizes a and b is at most 2 min(a, b) / (a + b), so it reaches t only for sizes
+within t / (2 - t) and (2 - t) / t of each other, and only with t / (2 - t) of the template's bigrams in common. Each text is split into words once; all parts of a text hold
+bigrams of that text only, so texts without that many of any template's bigrams are passed over before they are cut into parts. The templates are a fixed list of a few
+kilobytes and are broadcast.
 
 Notices that fill no line or paragraph are found in windows of words, across lines and paragraphs: from each place of a template's bigram up to
-(2 - t) / t times the template's length, ending where the Dice coefficient is highest. Only texts with t / (2 - t) of a template's bigrams are
-searched. Of overlapping windows the one with most bigrams of its template stays. A window inside a segment that matches its template is the
+(2 - t) / t times the template's length, ending where the Dice coefficient is highest. Of overlapping windows the one with most bigrams of its template stays. A window inside a segment that matches its template is the
 same find and isn't counted again, but may raise the coefficient. `OP3_SQL` has the segments only.
 
+Long licences (Apache, GPL, LGPL, MPL) are known by the head of their text and by their notices.
+
 Defined results: null and empty texts match nothing. Equal segments of a text count once, and so do equal windows. Rows that repeat a doc_id are scanned each by its own text;
-rows with the same doc_id and text give one result. Other columns are ignored.
+rows with the same doc_id and text give one result. Texts of any length are scanned whole. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import store, table, text_of
 
 SIMILAR = 0.8
 
@@ -43,6 +45,14 @@ TEMPLATES = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -90,10 +100,10 @@ def _apart(found: Column) -> Column:
     return F.aggregate(found, none, lambda kept, w: F.when(meets(kept, w), kept).otherwise(F.concat(kept, F.array(w))))
 
 
-def windows(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id, row, license_id, dice, covered (by a segment that matches): the windows of each text that are like a template."""
+def _fixed(spark: SparkSession, similar: float) -> tuple[Column, str]:
+    """The templates as an array of structs, and all their bigrams as a list of SQL literals."""
     low, high = similar / (2 - similar), (2 - similar) / similar
-    fixed = docs.sparkSession.createDataFrame([(name, i, text) for i, (name, text) in enumerate(TEMPLATES)], "license_id string, template int, text string")
+    fixed = spark.createDataFrame([(name, i, text) for i, (name, text) in enumerate(TEMPLATES)], "license_id string, template int, text string")
     fixed = fixed.select("license_id", "template", _pairs(_words(F.col("text"))).alias("grams")).collect()
     longs = lambda xs: ", ".join(f"CAST({x} AS BIGINT)" for x in xs)
     each = []
@@ -101,13 +111,24 @@ def windows(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         grams = sorted(set(t["grams"]))
         need, span = ceil(low * len(grams) - 1e-9), int(high * len(t["grams"]) + 1e-9)
         each.append(f"named_struct('license_id', '{t['license_id']}', 'template', {t['template']}, 'b', {len(grams)}, 'need', {need}, 'span', {span}, 'grams', array({longs(grams)}))")
-    known, any_gram = F.expr(f"array({', '.join(each)})"), longs(sorted({g for t in fixed for g in t["grams"]}))
+    return F.expr(f"array({', '.join(each)})"), longs(sorted({g for t in fixed for g in t["grams"]}))
+
 
+def held(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, row, text, all (its bigrams in order), hits (places of template bigrams) of the texts that have enough of some template's bigrams."""
+    known, any_gram = _fixed(docs.sparkSession, similar)
     text = text_of()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"), _pairs(_words(text)).alias("all"))
-    rows = rows.withColumn("hits", F.expr(f"filter(transform(all, (g, i) -> struct(i + 1 AS at, g AS gram)), x -> x.gram IN ({any_gram}))"))
-    held = lambda own: F.filter(known, lambda t: F.size(F.array_intersect(own, t["grams"])) >= t["need"])
-    rows = rows.select("*", F.explode(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), held)[0]).alias("t"))
+    rows = rows.withColumn("hits", F.expr(f"filter(transform(all, (g, i) -> struct(i + 1 AS at, g AS gram)), x -> x.gram IN ({any_gram}))")).filter(F.size("hits") > 0)
+    enough = lambda own: F.exists(known, lambda t: F.size(F.array_intersect(own, t["grams"])) >= t["need"])
+    return store(rows.filter(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), enough)[0]), "licence-texts")
+
+
+def windows(rows: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, row, license_id, dice, covered (by a segment that matches): the windows like a template of each of the texts that `held` gives."""
+    known, _ = _fixed(rows.sparkSession, similar)
+    has = lambda own: F.filter(known, lambda t: F.size(F.array_intersect(own, t["grams"])) >= t["need"])
+    rows = rows.select("*", F.explode(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), has)[0]).alias("t"))
     at = F.transform(F.filter("hits", lambda x: F.array_contains(F.col("t.grams"), x["gram"])), lambda x: x["at"])
     rows = rows.select("doc_id", "row", "text", "all", "t", at.alias("at"))
     ends = F.col("at"), F.col("t.need") - 1
@@ -140,12 +161,12 @@ def windows(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 def licensed(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, license_id, n_segments, dice (of the best segment): one row for each text and licence it holds."""
     spark = docs.sparkSession
-    known = templates(spark).cache()
+    known = templates(spark)
     # Two bigrams at most for each word, so sizes bound the number of words too.
     least, most = known.agg(F.min("size"), F.max("size")).first()
     low, high = similar / (2 - similar), (2 - similar) / similar
-    text = text_of()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), F.explode(segments(text)).alias("segment"))
+    texts = held(docs, similar)
+    rows = texts.select("doc_id", "row", F.explode(segments(F.col("text"))).alias("segment"))
     # A segment of n characters has n / 2 bigrams at most; long ones may repeat words, so only the bigrams themselves bound those from above.
     rows = rows.filter(F.length("segment") >= 2 * least * low)
     rows = rows.withColumn("segment_id", F.xxhash64("segment")).select("doc_id", "row", "segment_id", _bigrams(_words(F.col("segment"))).alias("bigrams"))
@@ -159,7 +180,7 @@ def licensed(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     best = common.filter(F.col("dice") >= similar - 1e-9).groupBy("doc_id", "row", "segment_id").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license_id")).alias("best"))
     best = best.groupBy("doc_id", "row", F.col("best.license_id").alias("license_id"))
     best = best.agg(F.count(F.lit(1)).alias("n_segments"), (-F.min("best.less")).alias("dice"))
-    more = windows(docs, similar).groupBy("doc_id", "row", "license_id").agg(F.count_if(~F.col("covered")).alias("n_segments"), F.max("dice").alias("dice"))
+    more = windows(texts, similar).groupBy("doc_id", "row", "license_id").agg(F.count_if(~F.col("covered")).alias("n_segments"), F.max("dice").alias("dice"))
     both = best.unionByName(more).groupBy("doc_id", "row", "license_id").agg(F.sum("n_segments").alias("n_segments"), F.max("dice").alias("dice"))
     return both.filter("n_segments > 0").drop("row")
 

@@ -99,6 +99,14 @@ def test_licences_inside_other_text(spark):
     assert got == {(1, "MIT"): (1, 1.0), (2, "Apache-2.0"): (1, 1.0), **{(i, "MIT"): (1, 1.0) for i in (3, 4, 5, 7)}, (7, "CC-BY-4.0"): (1, 1.0), (8, "MIT"): (got[8, "MIT"][0], 1.0)}
 
 
+def test_licence_files(spark):
+    gpl, bsd, apache = (next(t for n, t in license_scan.TEMPLATES if n == name and t.startswith(start)) for name, start in (("GPL-3.0", "GNU"), ("BSD-3-Clause", "Redistribution"), ("Apache-2.0", "Apache")))
+    body = "terms of the licence that go on and on for many more words than its head has " * 80
+    rows = [(1, f"{gpl}\n\nPreamble\n\n{body}", "s"), (2, "Copyright (c) 2020, Someone\n\n" + bsd.replace("met: 1", "met:\n\n1").replace(" 2. Re", "\n\n2. Re"), "s"), (3, f"   {apache}\n{body}", "s"), (4, body, "s"), (5, "x " * 150_000 + "Released under the MIT License. " + "y " * 150_000, "s")]
+    got = {(r.doc_id, r.license_id) for r in license_scan.licensed(docs_of(spark, rows)).collect()}
+    assert got == {(1, "GPL-3.0"), (2, "BSD-3-Clause"), (3, "Apache-2.0"), (5, "MIT")}
+
+
 # Secrets.
 def test_secrets(spark):
     rng = random.Random(2)
