@@ -1,5 +1,6 @@
 """Toxicity, licences, secrets, personal data, decontamination, mixing and HTML on small fixtures."""
 
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -338,6 +339,38 @@ def test_mixing(spark):
     assert all(r.taken == 0 and r.target == 0 for r in mixing.mixed(docs_of(spark, [(1, None, "a"), (2, "", None)])).collect())
 
 
+def brute_taken(rows, block):
+    """What the mix takes of each row of (doc_id, size, source), word by word."""
+    sources = sorted({s for *_, s in rows if s is not None}, key=lambda s: s.encode()) + [None] * any(s is None for *_, s in rows)
+    sizes = [sum(n for _, n, s in rows if s == x) for x in sources]
+    goals = filled(sizes, [1 + i % 3 for i in range(len(sources))])
+    ends, queue = np.cumsum(goals) / sum(goals), defaultdict(list)
+    for k in range(-(-sum(sizes) // block)):
+        point = (k % mixing.PERIOD + 1) * mixing.GOLDEN % 2**32 / 2**32
+        queue[sources[int(np.searchsorted(ends, point, side="right"))]].append(k)
+    out = Counter()
+    for s in sources:
+        own = sorted((r for r in rows if r[2] == s), key=lambda r: (hashlib.md5(f"mix{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is not None, r[0] or 0, r[1]))
+        words = [i for i, r in enumerate(own) for _ in range(r[1])] * 3
+        taken = Counter(words[: len(queue[s]) * block])
+        out.update((*r, taken[i]) for i, r in enumerate(own))
+    return out
+
+
+def test_mixing_takes_what_plain_python_takes(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.randrange(0, 300), rng.choice(["a", "a", "a", "b", "ä", None])) for i in range(200)] + [(None, 7, "a"), (3, 40, "b"), (3, 41, "b"), (900, 9, "tiny"), (901, 50_000, "b")]
+    docs = docs_of(spark, [(i, "w " * n, s) for i, n, s in rows])
+    got = Counter((r.doc_id, r["size"], r.source, r.taken) for r in mixing.mixed(docs, block_words=16).collect())
+    assert got == brute_taken(rows, 16)
+    slots = mixing.ordered(docs, block_words=16).collect()
+    assert len({r.slot for r in slots}) <= -(-sum(n for _, n, _ in rows) // 16) and all(r.words <= 16 for r in slots)
+    whole = Counter()
+    for r in slots:
+        whole[r.source] += r.words
+    assert whole == Counter({s: n for s in {x for *_, x in rows} if (n := sum(t * c for (_, _, x, t), c in got.items() if x == s))})
+
+
 # HTML.
 def page(i, main, host="h.example.com", note="Join our list today"):
     return (i, f"https://{host}/{i}", f"<html><head><title>t{i}</title><script>if (a<b) x('</p>')</script></head><body><header>Head</header><nav><ul><li><a href='/'>Home</a></ul></nav><div class='x1'>{note}</div><div class='side-bar sidebar'>Side</div><article>{main}<form><input> go</form></article><section id='comments'><article class='comment'><p>Nice!</article></section><footer>&copy; me</footer></body></html>")
