@@ -269,3 +269,15 @@ def test_near_duplicates_with_clashing_columns_repeated_ids_and_a_long_text(spar
     kept = near_dedup.drop_near_copies(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, text), (2, rows[2][1]), (3, long), (5, "")]
+
+
+def test_exact_dedup_with_clashing_columns_long_texts_and_repeated_rows(spark):
+    long = "Lorem Ipsum " * 100_000
+    rows = [(1, long, "a"), (2, long.upper(), "b"), (3, long + "!", "c"), (4, "x", "second"), (4, "x", "first"), (4, "x", None)]
+    docs = spark.createDataFrame([(*r, "k", "p") for r in rows], "doc_id long, text string, stay_key string, __key string, STAY_PLACE string")
+    kept = exact_dedup.drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    out = sorted((r.doc_id, r.stay_key) for r in kept.collect())
+    assert [i for i, _ in out] == [2, 3, 4]
+    again = sorted((r.doc_id, r.stay_key) for r in exact_dedup.drop_exact_copies(docs.repartition(5)).collect())
+    assert out == again  # of repeated rows the same one stays

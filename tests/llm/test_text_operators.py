@@ -483,3 +483,10 @@ def test_html_long_page(spark):
     many = "".join(f"<p>Paragraph {i} &amp; more</p>" for i in range(40_000))
     got = extract(spark, [(1, "u", f"<article>{many}</article>")])
     assert got[1].text == "\n\n".join(f"Paragraph {i} & more" for i in range(40_000))
+
+
+def test_pii_in_a_long_text(spark):
+    rows = [(1, "filler text " * 100_000 + "mail jo.doe@firm.example.org " + "more " * 100_000 + "jo.doe@firm.example.org", "s")]
+    new = pii.pseudonymised(docs_of(spark, rows)).collect()[0]
+    found = re.findall(r"\S+@\S+", new.text)
+    assert new.n_mentions == 2 and len(found) == 2 and found[0] == found[1] != "jo.doe@firm.example.org"
