@@ -89,10 +89,11 @@ def boost_parts(a: Column, b: Column) -> dict[str, Column]:
 
 def boost_score(a: Column, b: Column, weights: dict[str, float] | None = None) -> Column:
     """The weighted sum of the four features."""
-    return _weighted(boost_parts(a, b), weights)
+    return weighted(boost_parts(a, b), weights)
 
 
-def _weighted(parts: dict[str, Column], weights: dict[str, float] | None) -> Column:
+def weighted(parts: dict[str, Column], weights: dict[str, float] | None) -> Column:
+    """The weighted sum of the features' counts."""
     w = {**WEIGHTS, **(weights or {})}
     return sum((parts[k] * F.lit(w[k]) for k in ("upper", "first", "word")), parts["devowel"] * F.lit(w["devowel"]))
 
@@ -118,7 +119,7 @@ def featured_boost(f: Column, m: Column, weights: dict[str, float] | None = None
         "first": ((f["first"] != "") & (f["first"] == m["first"])).cast("int"),
         "word": F.size(F.array_intersect(m["words"], f["words"])),
     }
-    return _weighted(parts, weights)
+    return weighted(parts, weights)
 
 
 def tokenize(c: Column) -> Column:

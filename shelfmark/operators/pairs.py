@@ -1,7 +1,7 @@
 """Candidate pairs of flyer and master rows, combined scores, and the best candidates of each description.
 
-With the default weights every feature that fires adds 0.2 or more, so a pair reaches a threshold of 0.2 exactly if some feature fires, and every feature is
-an equality of keys. `candidate_pairs` therefore joins key frames of (kind, key, row id) and computes the boost of the pairs found.
+Every feature of a pair's boost is an equality of keys, so a pair without a common key has a boost of 0. `candidate_pairs` therefore joins key frames of
+(kind, key, row id) and counts under which kinds a pair meets, which is its boost: nothing of a text is compared again.
 """
 
 from __future__ import annotations
@@ -17,45 +17,38 @@ BROADCAST_KEYS = 500_000
 SCORES = ("Description_Similarity", "Ncat_Description_Similarity", "Brand_Description_Similarity", "Boost_Score", "Brand_Word_Score", "ncat_word_score")
 
 
-def _key(kind: str, key: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+def _key(kind: str, keys: Column) -> Column:
+    """The distinct keys of a kind; empty ones can't meet."""
+    return F.transform(F.array_distinct(F.filter(keys, lambda k: k != "")), lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
 
 
-def _keys(kind: str, keys: Column) -> Column:
-    return F.transform(keys, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
-
-
-def _abbreviation(c: Column, n: Column) -> Column:
-    return F.concat(n.cast("string"), F.lit(":"), tx.upper_abbrev(c, n))
-
-
-def flyer_keys(flyer: DataFrame, longest: int) -> DataFrame:
-    """kind, key, flyer_row: all keys under which a flyer description can meet a master text whose first word has up to `longest` characters."""
-    d = F.col("Description")
-    abbreviations = F.transform(F.sequence(F.lit(1), F.lit(max(1, longest))), lambda n: _abbreviation(d, n))
-    keys = F.concat(
-        F.array(_key("first", tx.first_char(d)), _key("devowel", F.left(F.lower(tx.devowel(d)), F.lit(3)))),
-        _keys("upper", F.when(F.trim(d) != "", abbreviations).otherwise(F.array().cast("array<string>"))),
-        _keys("word", tx.word_variants(d)),
-    )
-    return flyer.select("flyer_row", F.inline(keys)).filter("key != ''").distinct()
+def flyer_keys(flyer: DataFrame) -> DataFrame:
+    """kind, key, flyer_row: all keys under which a flyer description can meet a master text."""
+    f = tx.flyer_features(F.col("Description"))
+    capitals = F.coalesce(f["capitals"], F.lit(""))
+    # The capitals cut to any length, which meet first words of that length, and all of them, which meet longer first words.
+    cut = F.when(capitals != "", F.transform(F.sequence(F.lit(1), F.length(capitals)), lambda n: F.left(capitals, n))).otherwise(F.array().cast("array<string>"))
+    whole = F.when(f["capitals"].isNotNull(), F.array(F.concat(F.lit("="), capitals))).otherwise(F.array(F.lit("-")))
+    keys = F.concat(_key("devowel", F.array(f["prefix"])), _key("cut", cut), _key("whole", whole), _key("first", F.array(f["first"])), _key("word", f["words"]))
+    return flyer.select("flyer_row", F.inline(keys))
 
 
 def master_keys(master: DataFrame) -> DataFrame:
-    """kind, key, master_row of the descriptions, and of the brands where there are any."""
+    """field, kind, key, master_row of the descriptions (field 0), and of the brands (field 1) where there are any."""
     out = None
-    for c in ("Description", "BRAND"):
+    for field, c in enumerate(("Description", "BRAND")):
         if c not in master.columns:
             continue
-        b = F.col(c)
-        keys = F.concat(
-            F.array(_key("first", tx.first_char(b)), _key("devowel", F.left(F.lower(tx.clean_text_start(b)), F.lit(3)))),
-            F.when(F.trim(b) != "", F.array(_key("upper", _abbreviation(b, tx.first_word_length(b))))).otherwise(F.array().cast("array<struct<kind:string,key:string>>")),
-            _keys("word", tx.lower_words(b)),
-        )
-        one = master.select("master_row", F.inline(keys)).filter("key != ''")
+        m = tx.master_features(F.col(c))
+        letters = F.rtrim(m["abbreviation"], F.lit("_"))
+        none = F.array().cast("array<string>")
+        full = (m["n"] > 0) & (F.length(letters) == m["n"])
+        # A blank text has the capitals of a flyer text without any, and of a blank one.
+        whole = F.when(full, none).when(m["n"] > 0, F.array(F.concat(F.lit("="), letters))).otherwise(F.array(F.lit("="), F.lit("-")))
+        keys = F.concat(_key("devowel", F.array(m["prefix"])), _key("cut", F.when(full, F.array(letters)).otherwise(none)), _key("whole", whole), _key("first", F.array(m["first"])), _key("word", m["words"]))
+        one = master.select("master_row", F.lit(field).alias("field"), F.inline(keys))
         out = one if out is None else out.union(one)
-    return out.distinct()
+    return out
 
 
 def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None = 0.2, weights: dict[str, float] | None = None) -> DataFrame:
@@ -63,23 +56,26 @@ def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None
 
     Needs flyer_row and master_row as unique ids. Without a positive threshold every pair is a candidate.
     """
-    brands = "BRAND" in master.columns
-    f = flyer.select("flyer_row", F.col("Description").alias("PDF_Description"), tx.flyer_features(F.col("Description")).alias("__f"))
-    m = master.select("master_row", F.col("Description").alias("Excel_Description"), *([F.col("BRAND").alias("Excel_BRAND")] if brands else []), tx.master_features(F.col("Description")).alias("__m"), *([tx.master_features(F.col("BRAND")).alias("__b")] if brands else []))
-    # Written, as Spark would else move the features past the join and take them once a pair.
-    f, m = store(f, "flyer-features"), store(m, "master-features")
-    boost = tx.featured_boost(F.col("__f"), F.col("__m"), weights)
-    if brands:
-        boost += tx.featured_boost(F.col("__f"), F.col("__b"), weights)
+    brands = ["BRAND"] if "BRAND" in master.columns else []
+    f = flyer.select("flyer_row", F.col("Description").alias("PDF_Description"))
+    m = master.select("master_row", *[F.col(c).alias(f"Excel_{c}") for c in ("Description", *brands)])
     if threshold is None or threshold <= 0:
-        return f.crossJoin(m).withColumn("Boost_Score", boost).drop("__f", "__m", "__b")
-    brand = tx.first_word_length(F.col("BRAND")) if brands else F.lit(0)
-    longest = master.agg(F.max(F.greatest(tx.first_word_length(F.col("Description")), brand))).first()[0] or 0
-    left, right = flyer_keys(flyer, longest), master_keys(master)
+        f = store(f.withColumn("__f", tx.flyer_features(F.col("PDF_Description"))), "flyer-features")
+        m = store(m.withColumns({f"__{c}": tx.master_features(F.col(f"Excel_{c}")) for c in ("Description", *brands)}), "master-features")
+        boosts = [tx.featured_boost(F.col("__f"), F.col(f"__{c}"), weights) for c in ("Description", *brands)]
+        return f.crossJoin(m).withColumn("Boost_Score", sum(boosts[1:], boosts[0])).select("flyer_row", "master_row", "PDF_Description", *[f"Excel_{c}" for c in ("Description", *brands)], "Boost_Score")
+    left = store(flyer_keys(flyer), "flyer-keys")
+    # By row, so that the pairs of a row meet in one task: with the flyer's keys broadcast, pairs are counted where they arise and never shuffled.
+    right = master_keys(master).repartition(int(master.sparkSession.conf.get("spark.sql.shuffle.partitions")), "master_row")
     if left.count() <= BROADCAST_KEYS:
         left = F.broadcast(left)
-    ids = right.join(left, ["kind", "key"]).select("flyer_row", "master_row").distinct()
-    return ids.join(f, "flyer_row").join(m, "master_row").withColumn("Boost_Score", boost).filter(F.col("Boost_Score") >= threshold - 1e-9).drop("__f", "__m", "__b")
+    met = {"devowel": ("devowel",), "upper": ("cut", "whole"), "first": ("first",), "word": ("word",)}
+    counts = [F.count_if((F.col("field") == i) & F.col("kind").isin(*kinds)).cast("int").alias(f"{k}_{i}") for i in range(1 + len(brands)) for k, kinds in met.items()]
+    found = right.join(left, ["kind", "key"]).groupBy("flyer_row", "master_row").agg(*counts)
+    boosts = [tx.weighted({k: F.col(f"{k}_{i}") for k in met}, weights) for i in range(1 + len(brands))]
+    found = found.select("flyer_row", "master_row", sum(boosts[1:], boosts[0]).alias("Boost_Score")).filter(F.col("Boost_Score") >= threshold - 1e-9)
+    out = found.join(f, "flyer_row").join(m, "master_row")
+    return out.select("flyer_row", "master_row", "PDF_Description", *[f"Excel_{c}" for c in ("Description", *brands)], "Boost_Score")
 
 
 def combined_score(df: DataFrame) -> DataFrame:

@@ -27,6 +27,18 @@ def test_blocked_candidates_equal_the_cross_join(both):
     assert pairs.candidate_pairs(f.limit(0), m).count() == 0
 
 
+def test_blocked_candidates_of_odd_texts(spark):
+    """Blank, null, capital-less, long and repeating texts: the blocked plan finds what the cross join finds."""
+    texts = ["Acme Green Tea", "ACME", "A", "AB CD", "tea tea tea", "no capitals", "", "  ", None, "~ 12", "--", "X" * 300 + " tail", "X" * 300, "Grn TEA", "__ A_B", "42 oz", "ab", "Éclair ÀB"]
+    f = spark.createDataFrame(list(enumerate(texts)), "flyer_row long, Description string")
+    m = spark.createDataFrame([(i, t, texts[(i * 7 + 3) % len(texts)]) for i, t in enumerate(texts)], "master_row long, Description string, BRAND string")
+    rows = lambda df: sorted((r.flyer_row, r.master_row, round(r.Boost_Score, 6)) for r in df.collect())
+    for master in (m, m.drop("BRAND")):
+        want = rows(pairs.candidate_pairs(f, master, None).filter("Boost_Score >= 0.2 - 1e-9"))
+        assert rows(pairs.candidate_pairs(f, master)) == want and len(want) > 50
+    assert pairs.candidate_pairs(f, m.limit(0)).count() == 0
+
+
 def test_result_tables(spark):
     flyer, master = views.view(spark, SF, views.FLYER), views.view(spark, SF, views.MASTER)
     top = match.match_catalogue(flyer, master, match.plain_scores, k=5)
