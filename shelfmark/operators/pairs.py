@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as tx
 from shelfmark.sources.work import store
 
-#: Flyer key rows (at most 100 bytes each, so 50 MB) up to which they are broadcast; beyond, both sides are shuffled by key.
-BROADCAST_KEYS = 500_000
+#: Bytes of flyer keys, with 40 for the rest of each row, up to which they are broadcast; beyond, both sides are shuffled by key.
+BROADCAST_BYTES = 50_000_000
 SCORES = ("Description_Similarity", "Ncat_Description_Similarity", "Brand_Description_Similarity", "Boost_Score", "Brand_Word_Score", "ncat_word_score")
 
 
@@ -67,7 +67,7 @@ def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None
     left = store(flyer_keys(flyer), "flyer-keys")
     # By row, so that the pairs of a row meet in one task: with the flyer's keys broadcast, pairs are counted where they arise and never shuffled.
     right = master_keys(master).repartition(int(master.sparkSession.conf.get("spark.sql.shuffle.partitions")), "master_row")
-    if left.count() <= BROADCAST_KEYS:
+    if (left.agg(F.sum(F.octet_length("key") + 40)).first()[0] or 0) <= BROADCAST_BYTES:
         left = F.broadcast(left)
     met = {"devowel": ("devowel",), "upper": ("cut", "whole"), "first": ("first",), "word": ("word",)}
     counts = [F.count_if((F.col("field") == i) & F.col("kind").isin(*kinds)).cast("int").alias(f"{k}_{i}") for i in range(1 + len(brands)) for k, kinds in met.items()]
