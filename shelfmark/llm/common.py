@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from shelfmark.sources.work import store, work_folder
 
-__all__ = ["SPACES", "free_name", "n_words_of", "small_batches", "store", "table", "text_of", "without", "words_of", "work_folder"]
+__all__ = ["LOWER", "SPACES", "UPPER", "by_part", "duck_crc32", "free_name", "n_words_of", "range_parts", "small_batches", "store", "table", "text_of", "without", "words_of", "work_folder"]
 
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 SPACES = "[\\x20\\x09-\\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,3 +52,24 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias(doc), F.col("row").alias(row))
     same = F.xxhash64(docs["text"].cast("string")) == gone[row]
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[doc]) & same, "left_anti")
+
+
+def range_parts(df: DataFrame, name: str, *order: Column | str) -> tuple[DataFrame, int]:
+    """`df`, written in ranges of `order` with the number of each row's range in `part`, and how many ranges there may be. Rows with equal keys share a range."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store(df.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), name), n
+
+
+def by_part(df: DataFrame, n: int) -> DataFrame:
+    """`df` with each range of `range_parts` in a task of its own, so that windows over `part` need no further shuffle."""
+    return df.repartitionById(n, F.col("part"))
+
+
+def duck_crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8 bytes, where the one row of `crc`, made by CRC_TABLE, is joined."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+
+#: The 256 remainders of a byte by the reflected polynomial, as a list.
+CRC_TABLE = "crc AS (SELECT list(list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM generate_series(0, 255) AS s(i))"
