@@ -6,12 +6,16 @@ Every feature of a pair's boost is an equality of keys, so a pair without a comm
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
 from shelfmark.sources.work import store
 
+#: Which kinds of keys each feature of the boost counts.
+FEATURES = {"devowel": ("devowel",), "upper": ("cut", "whole"), "first": ("first",), "word": ("word",)}
 #: Bytes of flyer keys, with 40 for the rest of each row, up to which they are broadcast; beyond, both sides are shuffled by key.
 BROADCAST_BYTES = 50_000_000
 SCORES = ("Description_Similarity", "Ncat_Description_Similarity", "Brand_Description_Similarity", "Boost_Score", "Brand_Word_Score", "ncat_word_score")
@@ -22,33 +26,37 @@ def _key(kind: str, keys: Column) -> Column:
     return F.transform(F.array_distinct(F.filter(keys, lambda k: k != "")), lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
 
 
-def flyer_keys(flyer: DataFrame) -> DataFrame:
-    """kind, key, flyer_row: all keys under which a flyer description can meet a master text."""
-    f = tx.flyer_features(F.col("Description"))
+def flyer_key_array(text: Column) -> Column:
+    """All (kind, key) under which a flyer description can meet a master text."""
+    f = tx.flyer_features(text)
     capitals = F.coalesce(f["capitals"], F.lit(""))
     # The capitals cut to any length, which meet first words of that length, and all of them, which meet longer first words.
     cut = F.when(capitals != "", F.transform(F.sequence(F.lit(1), F.length(capitals)), lambda n: F.left(capitals, n))).otherwise(F.array().cast("array<string>"))
     whole = F.when(f["capitals"].isNotNull(), F.array(F.concat(F.lit("="), capitals))).otherwise(F.array(F.lit("-")))
-    keys = F.concat(_key("devowel", F.array(f["prefix"])), _key("cut", cut), _key("whole", whole), _key("first", F.array(f["first"])), _key("word", f["words"]))
-    return flyer.select("flyer_row", F.inline(keys))
+    return F.concat(_key("devowel", F.array(f["prefix"])), _key("cut", cut), _key("whole", whole), _key("first", F.array(f["first"])), _key("word", f["words"]))
+
+
+def master_key_array(text: Column) -> Column:
+    """All (kind, key) under which a master text can meet a flyer description."""
+    m = tx.master_features(text)
+    letters = F.rtrim(m["abbreviation"], F.lit("_"))
+    none = F.array().cast("array<string>")
+    full = (m["n"] > 0) & (F.length(letters) == m["n"])
+    # A blank text has the capitals of a flyer text without any, and of a blank one.
+    whole = F.when(full, none).when(m["n"] > 0, F.array(F.concat(F.lit("="), letters))).otherwise(F.array(F.lit("="), F.lit("-")))
+    return F.concat(_key("devowel", F.array(m["prefix"])), _key("cut", F.when(full, F.array(letters)).otherwise(none)), _key("whole", whole), _key("first", F.array(m["first"])), _key("word", m["words"]))
+
+
+def flyer_keys(flyer: DataFrame) -> DataFrame:
+    """kind, key, flyer_row of the descriptions."""
+    return flyer.select("flyer_row", F.inline(flyer_key_array(F.col("Description"))))
 
 
 def master_keys(master: DataFrame) -> DataFrame:
     """field, kind, key, master_row of the descriptions (field 0), and of the brands (field 1) where there are any."""
-    out = None
-    for field, c in enumerate(("Description", "BRAND")):
-        if c not in master.columns:
-            continue
-        m = tx.master_features(F.col(c))
-        letters = F.rtrim(m["abbreviation"], F.lit("_"))
-        none = F.array().cast("array<string>")
-        full = (m["n"] > 0) & (F.length(letters) == m["n"])
-        # A blank text has the capitals of a flyer text without any, and of a blank one.
-        whole = F.when(full, none).when(m["n"] > 0, F.array(F.concat(F.lit("="), letters))).otherwise(F.array(F.lit("="), F.lit("-")))
-        keys = F.concat(_key("devowel", F.array(m["prefix"])), _key("cut", F.when(full, F.array(letters)).otherwise(none)), _key("whole", whole), _key("first", F.array(m["first"])), _key("word", m["words"]))
-        one = master.select("master_row", F.lit(field).alias("field"), F.inline(keys))
-        out = one if out is None else out.union(one)
-    return out
+    fields = [c for c in ("Description", "BRAND") if c in master.columns]
+    each = [master.select("master_row", F.lit(i).alias("field"), F.inline(master_key_array(F.col(c)))) for i, c in enumerate(fields)]
+    return functools.reduce(DataFrame.union, each)
 
 
 def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None = 0.2, weights: dict[str, float] | None = None) -> DataFrame:
@@ -69,10 +77,9 @@ def candidate_pairs(flyer: DataFrame, master: DataFrame, threshold: float | None
     right = master_keys(master).repartition(int(master.sparkSession.conf.get("spark.sql.shuffle.partitions")), "master_row")
     if (left.agg(F.sum(F.octet_length("key") + 40)).first()[0] or 0) <= BROADCAST_BYTES:
         left = F.broadcast(left)
-    met = {"devowel": ("devowel",), "upper": ("cut", "whole"), "first": ("first",), "word": ("word",)}
-    counts = [F.count_if((F.col("field") == i) & F.col("kind").isin(*kinds)).cast("int").alias(f"{k}_{i}") for i in range(1 + len(brands)) for k, kinds in met.items()]
+    counts = [F.count_if((F.col("field") == i) & F.col("kind").isin(*kinds)).cast("int").alias(f"{k}_{i}") for i in range(1 + len(brands)) for k, kinds in FEATURES.items()]
     found = right.join(left, ["kind", "key"]).groupBy("flyer_row", "master_row").agg(*counts)
-    boosts = [tx.weighted({k: F.col(f"{k}_{i}") for k in met}, weights) for i in range(1 + len(brands))]
+    boosts = [tx.weighted({k: F.col(f"{k}_{i}") for k in FEATURES}, weights) for i in range(1 + len(brands))]
     found = found.select("flyer_row", "master_row", sum(boosts[1:], boosts[0]).alias("Boost_Score")).filter(F.col("Boost_Score") >= threshold - 1e-9)
     out = found.join(f, "flyer_row").join(m, "master_row")
     return out.select("flyer_row", "master_row", "PDF_Description", *[f"Excel_{c}" for c in ("Description", *brands)], "Boost_Score")

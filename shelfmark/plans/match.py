@@ -8,9 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import fuzzy
 from shelfmark.functions import text as tx
-from shelfmark.operators import clean, pairs, reconcile, scoring, vectors
+from shelfmark.operators import clean, reconcile, scoring, tiles, vectors
 from shelfmark.sources import tables
 from shelfmark.sources.work import store
 
@@ -49,31 +48,16 @@ def plain_scores(found: DataFrame, master: DataFrame) -> DataFrame:
     return found.drop("__a", "__0", "__1", "__x", "__y").withColumns({c: F.lit(0.0) for c in ("Description_Similarity", "Brand_Description_Similarity", "Ncat_Description_Similarity")})
 
 
-def full_scores(found: DataFrame, master: DataFrame, encode: Callable[[list[str]], np.ndarray] = vectors.char_trigrams) -> DataFrame:
-    """Vector similarities of description, brand and category, and fuzzy scores of brand and category, each computed once per distinct pair of texts."""
-    found = found.join(master.select("master_row", F.col("nCat_Desc").alias("Excel_nCat_Desc")), "master_row")
-    texts = vectors.distinct_texts(found, ["PDF_Description", "Excel_Description", "Excel_BRAND", "Excel_nCat_Desc"])
-    vector = store(vectors.encode_texts(texts, encode), "vectors")
-    for b, to in (("Excel_Description", "Description_Similarity"), ("Excel_BRAND", "Brand_Description_Similarity"), ("Excel_nCat_Desc", "Ncat_Description_Similarity")):
-        found = vectors.lookup_embeddings(found, vector, "PDF_Description", b, to)
-    for b, to, udf, mode in (("Excel_BRAND", "Brand_Word_Score", fuzzy.partial_ratio_udf(), "partial_ratio"), ("Excel_nCat_Desc", "ncat_word_score", fuzzy.wratio_udf(), "wratio")):
-        a = F.col("PDF_Description")
-        each = found.select("PDF_Description", b).distinct()
-        # Contained texts score 1 without the fuzzy ratio.
-        hit, rest = each.filter(tx.contained(a, F.col(b))).withColumn("__fuzzy", F.lit(0.0)), each.filter(~tx.contained(a, F.col(b)))
-        scored = hit.union(rest.withColumn("__fuzzy", udf(F.col(b), a)))
-        scored = scored.select("PDF_Description", b, tx.match_score(a, F.col(b), F.col("__fuzzy"), mode)["score"].alias(to))
-        found = found.join(scored, ["PDF_Description", b])
-    return found
-
-
-def match_catalogue(flyer: DataFrame, master: DataFrame, scores: Callable[[DataFrame, DataFrame], DataFrame] = full_scores, threshold: float = 0.2, k: int = 65) -> DataFrame:
-    """The k best candidates of each flyer description with their scores; ids and texts only are joined before that."""
+def match_catalogue(flyer: DataFrame, master: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = vectors.char_trigrams, threshold: float | None = 0.2, k: int = 65) -> DataFrame:
+    """The k best candidates of each flyer description with their scores. Without an encoder, containment of brand and category stands for similarities and ratios, and word overlap for the model's score."""
     f, _, m = prepared(flyer, master)
-    f, m = store(f, "flyer"), store(m, "master")
-    found = store(scores(pairs.candidate_pairs(f, m, threshold), m), "scored-pairs")
-    found = pairs.min_max_scale(pairs.combined_score(found), "total_Combined_Score")
-    return attach(pairs.top_k_per_key(found, k=k).drop("Excel_nCat_Desc"), f, m)
+    return best_matches(store(f, "flyer"), store(m, "master"), encode, threshold, k)
+
+
+def best_matches(flyer: DataFrame, master: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = vectors.char_trigrams, threshold: float | None = 0.2, k: int = 65) -> DataFrame:
+    """`match_catalogue` of prepared tables."""
+    top = attach(tiles.best_candidates(flyer, master, k, threshold, encode=encode), flyer, master)
+    return top if encode else top.withColumn("LLM_Similarity", tx.word_jaccard(F.col("PDF_Description"), F.col("Excel_Description")))
 
 
 def reconcile_matches(scored: DataFrame, master: DataFrame, n: int = 5, flyer: DataFrame | None = None) -> dict[str, DataFrame]:

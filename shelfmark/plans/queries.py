@@ -166,11 +166,11 @@ def _fuzzy(spark, sf, column, score):
 
 
 def partial_ratio(spark, sf):
-    return _fuzzy(spark, sf, "Excel_BRAND", fuzzy.partial_ratio_udf())
+    return _fuzzy(spark, sf, "Excel_BRAND", fuzzy.partial_ratio_of)
 
 
 def wratio(spark, sf):
-    return _fuzzy(spark, sf, "Excel_nCat_Desc", fuzzy.wratio_udf())
+    return _fuzzy(spark, sf, "Excel_nCat_Desc", fuzzy.wratio_of)
 
 
 def first_number(spark, sf):
@@ -231,19 +231,18 @@ def distinct_texts(spark, sf):
 
 
 def _plain(spark, sf):
-    f, full, m = _prepared(spark, sf)
-    return match.plain_scores(pairs.candidate_pairs(f, m), m), f, full, m
+    f, _, m = _prepared(spark, sf)
+    return match.plain_scores(pairs.candidate_pairs(f, m), m)
 
 
 def combined(spark, sf):
-    found = pairs.min_max_scale(pairs.combined_score(store(_plain(spark, sf)[0], "plain")), "total_Combined_Score")
+    found = pairs.min_max_scale(pairs.combined_score(store(_plain(spark, sf), "plain")), "total_Combined_Score")
     return found.select("flyer_row", "master_row", micro(c("total_Combined_Score")).alias("total"), micro(c("Combined_Score")).alias("scaled"))
 
 
 def _top(spark, sf, k=65):
-    found, f, full, m = _plain(spark, sf)
-    found = pairs.min_max_scale(pairs.combined_score(store(found, "plain")), "total_Combined_Score")
-    return match.attach(pairs.top_k_per_key(found, k=k).drop("Excel_nCat_Desc"), f, m), full
+    f, full, m = _prepared(spark, sf)
+    return match.best_matches(f, m, None, k=k), full
 
 
 def top_k(spark, sf):
@@ -271,10 +270,7 @@ def rank_partial(spark, sf):
 def unmatched_flyer(spark, sf):
     f, full, m = match.prepared(views.view(spark, sf, views.FLYER_ODD), _master(spark, sf))
     f, m = store(f, "flyer"), store(m, "master")
-    found = store(match.plain_scores(pairs.candidate_pairs(f, m), m), "plain")
-    found = pairs.min_max_scale(pairs.combined_score(found), "total_Combined_Score")
-    top = match.attach(pairs.top_k_per_key(found).drop("Excel_nCat_Desc"), f, m)
-    return match.reconcile_matches(top, full, flyer=f)["PDF_Unmatched"]
+    return match.reconcile_matches(match.best_matches(f, m, None), full, flyer=f)["PDF_Unmatched"]
 
 
 def unmatched_master(spark, sf):
@@ -355,7 +351,7 @@ def match_full(spark, sf):
 
 
 def match_plain(spark, sf):
-    scored = match.match_catalogue(_flyer(spark, sf), _master(spark, sf), match.plain_scores)
+    scored = match.match_catalogue(_flyer(spark, sf), _master(spark, sf), None)
     return scored.select("flyer_row", "master_row", "PDF_Description", "Excel_Description", micro(c("Combined_Score")).alias("combined"), micro(c("LLM_Similarity")).alias("model"))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -25,3 +26,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def range_parts(df: DataFrame, name: str, *order: Column | str, n: int | None = None) -> tuple[DataFrame, int]:
+    """`df`, written in ranges of `order` with the number of each row's range in `part`, and how many ranges there may be. Rows with equal keys share a range."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store(df.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), name), n

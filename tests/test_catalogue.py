@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from shelfmark.operators import clean, images, pairs, reconcile, scoring, vectors
+from shelfmark.operators import clean, images, pairs, reconcile, scoring, tiles, vectors
 from shelfmark.plans import match, views
 from shelfmark.sources import tables
 
@@ -39,10 +39,50 @@ def test_blocked_candidates_of_odd_texts(spark):
     assert pairs.candidate_pairs(f, m.limit(0)).count() == 0
 
 
+def _by_list(f, m, k, threshold=0.2):
+    """The k best of the list of all candidate pairs."""
+    found = pairs.combined_score(match.plain_scores(pairs.candidate_pairs(f, m, threshold), m).cache())
+    return pairs.top_k_per_key(pairs.min_max_scale(found, "total_Combined_Score"), k=k)
+
+
+def _scores(df):
+    return sorted((r.flyer_row, r.master_row, r.Boost_Score, r.Brand_Word_Score, r.ncat_word_score, r.total_Combined_Score, r.Combined_Score) for r in df.collect())
+
+
+@pytest.mark.parametrize("block_rows, at_once, k, threshold", [(16_384, 32, 65, 0.2), (40, 3, 65, 0.2), (17, 1, 4, 0.9), (40, 2, 10_000, None)])
+def test_tiles_find_what_the_list_of_pairs_finds(both, monkeypatch, block_rows, at_once, k, threshold):
+    f, m = both
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(tiles, "AT_ONCE", at_once)
+    got = _scores(tiles.best_candidates(f, m, k, threshold))
+    assert got == _scores(_by_list(f, m, k, threshold)) and got
+
+
+def test_tiles_of_odd_texts_and_ties(spark, monkeypatch):
+    """Blank, null, long and repeating texts, flyer rows that share a description, many equal totals, a hot description, no rows."""
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", 30)
+    texts = ["Acme Green Tea", "ACME", "AB CD", "tea tea tea", "no capitals", "", "  ", "~ 12", "X" * 300 + " tail", "__ A_B", "42 oz", "Éclair ÀB", "ab", "Acme Green Tea"]
+    f = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "flyer_row long, Description string")
+    rows = [(i, "Acme Green Tea" if i % 3 == 0 else texts[i * 7 % len(texts)], texts[i * 5 % len(texts)], texts[i * 3 % len(texts)]) for i in range(200)]
+    m = spark.createDataFrame(rows, "master_row long, Description string, BRAND string, nCat_Desc string")
+    for k in (1, 7, 65):
+        got = _scores(tiles.best_candidates(f, m, k))
+        assert got == _scores(_by_list(f, m, k)) and got
+    assert tiles.best_candidates(f.limit(0), m).collect() == [] and tiles.best_candidates(f, m.limit(0)).collect() == []
+    nulls = tiles.best_candidates(spark.createDataFrame([(1, None), (2, "ab")], f.schema), m.withColumn("BRAND", F.lit(None)), encode=vectors.char_trigrams)
+    assert {r.flyer_row for r in nulls.collect()} == {1, 2}
+
+
+def test_full_match_has_few_joins(both):
+    f, m = both
+    plan = tiles.best_candidates(f, m, encode=vectors.char_trigrams)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 2
+
+
 def test_result_tables(spark):
     flyer, master = views.view(spark, SF, views.FLYER), views.view(spark, SF, views.MASTER)
-    top = match.match_catalogue(flyer, master, match.plain_scores, k=5)
-    again = match.match_catalogue(flyer.repartition(5), master.repartition(3), match.plain_scores, k=5)
+    top = match.match_catalogue(flyer, master, None, k=5)
+    again = match.match_catalogue(flyer.repartition(5), master.repartition(3), None, k=5)
     ids = lambda df: sorted((r.flyer_row, r.master_row) for r in df.collect())
     assert ids(top) == ids(again) and top.groupBy("PDF_Description").count().agg(F.max("count")).first()[0] <= 5
     assert top.filter("Combined_Score < 0 OR Combined_Score > 1").count() == 0
@@ -168,7 +208,7 @@ def test_full_match_against_plain_python(spark):
         return x @ y / (np.linalg.norm(x) * np.linalg.norm(y))
 
     def word(flyer_text, field, ratio):
-        a, b = fuzzy._clean(flyer_text), fuzzy._clean(field)
+        a, b = flyer_text.lower(), field.lower()
         return 1.0 if b in a else ratio(b, a) / 100
 
     total = {}
