@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.sources.work import store, work_folder
+from shelfmark.sources.work import range_parts, store, work_folder
 
 __all__ = ["LOWER", "SPACES", "UPPER", "by_part", "duck_crc32", "free_name", "n_words_of", "range_parts", "small_batches", "store", "table", "text_of", "without", "words_of", "work_folder"]
 
@@ -54,12 +54,6 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[doc]) & same, "left_anti")
 
 
-def range_parts(df: DataFrame, name: str, *order: Column | str) -> tuple[DataFrame, int]:
-    """`df`, written in ranges of `order` with the number of each row's range in `part`, and how many ranges there may be. Rows with equal keys share a range."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return store(df.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), name), n
-
-
 def by_part(df: DataFrame, n: int) -> DataFrame:
     """`df` with each range of `range_parts` in a task of its own, so that windows over `part` need no further shuffle."""
     return df.repartitionById(n, F.col("part"))
