@@ -16,7 +16,7 @@ and a document leaks an item if a window has a weighted Jaccard similarity of 0.
 The item side is broadcast only up to `broadcast_rows` rows of at most 40 bytes (40 MB), else it is shuffled. Documents are never paired with each other.
 
 Defined results: null texts are empty. Items under five words are too short to tell and match nothing; a null item_id is an item of its own. Rows that
-repeat a doc_id are searched each by its own text. Of equal windows the first is reported. Texts of any length are searched whole. Other columns are
+repeat a doc_id are searched each by its own text; equal rows count once. Of equal windows the first is reported. Texts of any length are searched whole. Other columns are
 ignored, whatever their names. `OP9_SQL` has no windows in documents shorter than an item.
 """
 
@@ -100,7 +100,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, br
     hits = seen.join(hint(have, n_shingles), "shingle")
     size = F.col("length") - (SHINGLE - 1)
     need = F.ceil(similar / (1 + similar) * (size + F.least("own", size)) - 1e-9).cast("int")
-    at = hits.groupBy("doc_id", "row", "own", "length").agg(F.sort_array(F.collect_list("at")).alias("at")).withColumn("need", need)
+    at = hits.groupBy("doc_id", "row", "own", "length").agg(F.sort_array(F.collect_set("at")).alias("at")).withColumn("need", need)
     # A window that holds hits i to i + need - 1 starts at the earliest so that it reaches the last of them, at the latest at the first.
     span = lambda i: F.sequence(
         F.greatest(F.lit(0), F.element_at("at", i + F.col("need") - 1) - (F.col("length") - SHINGLE)), F.element_at("at", i)
@@ -113,7 +113,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similar: float = SIMILAR, br
     places = store(places.withColumnsRenamed({"doc_id": "d", "row": "r"}), "places")
 
     # 2. The windows there, and their fingerprints.
-    rows = texts.withColumn("row", row).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    # Of rows that repeat a doc_id and text, one is searched; only texts with places are compared for that.
+    rows = texts.withColumn("row", row).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))).dropDuplicates(["doc_id", "row"])
     rows = rows.select("doc_id", "row", shingle_hashes(F.col("text")).alias("all"), "places")
     cut = F.transform("places", lambda p: F.struct(p["length"].alias("length"), p["start"].alias("start"), F.slice("all", p["start"] + 1, p["length"] - (SHINGLE - 1)).alias("window")))
     windows = rows.select("doc_id", "row", F.size("all").alias("own"), F.inline(cut)).filter(F.size("window") == F.least("own", size)).drop("own")

@@ -8,9 +8,9 @@ A class is valid if more than half of its pages agree on its sequence and on the
 parent's gap, are the host's template. Text blocks in them are template text, such as the same notice on each page; what they leave are slots.
 The text of the page is that of the slots under its articles, or of all slots where a page marks none, less elements
 whose tag or role says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments. A class or id that says so must
-say it as a whole name (`sidebar`, `cookie-notice`, not `has-sidebar`), and drops its element only if that has less than half of the page's text and
-not the page's only articles; the id of a heading or paragraph says nothing. Inside an article only names of these kinds count: `related`,
-`search` or `share` drop nothing there, and controls outside a form keep their text.
+say it as a whole name (`sidebar`, `cookie-notice`, not `has-sidebar`), and drops its element, of any length, unless that holds all of the page's articles, or all its first headings where no article
+is marked; the id of a heading or paragraph says nothing. Inside `<article>` only names of these kinds count: `related`, `search` or `share` drop nothing
+there (in `<main>` they do), controls outside a form keep their text, and text that pages share is kept.
 
 Vectors are never gathered: a page adds the hash of (page, count) to a token's running exclusive-or, so a host with a third of all pages costs what
 its pages cost, pre-aggregated before each shuffle. Pages of a host with the same text count once. A token that half of a host's pages have is one of
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, store, table
 
 LEAST_PAGES, BROADCAST_ROWS = 4, 200_000
+MAIN, ARTICLE = 1, 2
 
 # Element names and words in class and id names, by what they are for.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -46,7 +47,7 @@ UNWANTED = set("head nav footer aside form dialog menu script style noscript tem
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended comment comments disqus replies reply respond toolbar pagination pager search copyright".split())
 #: Those that count inside an article too.
-STRICT = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay sidebar aside menu nav navbar navigation footer masthead comment comments disqus replies".split())
+STRICT = set("breadcrumb breadcrumbs pagination pager ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay sidebar aside menu nav navbar navigation footer masthead comment comments disqus replies".split())
 #: What may stand beside them in one name, as in `site-footer`.
 BESIDE = set("site page main top bottom left right box bar block area wrapper wrap container content list section widget links link item items form inner body button buttons icons unit slot thread".split())
 SLUGS = set("h1 h2 h3 h4 h5 h6 p".split())
@@ -65,9 +66,9 @@ _PARTS = re.compile(r"[^a-z]+")
 
 @dataclass
 class Page:
-    """Blocks (path, text, whether in an article) and tokens (hashes of element begins, ends and blocks), both in page order."""
+    """Blocks (path, text, whether in nothing that marks the article, in MAIN or in ARTICLE) and tokens (hashes of element begins, ends and blocks), both in page order."""
 
-    blocks: list[tuple[str, str, bool]] = field(default_factory=list)
+    blocks: list[tuple[str, str, int]] = field(default_factory=list)
     tokens: list[int] = field(default_factory=list)
 
 
@@ -77,9 +78,9 @@ def _names(said: str, names: set[str]) -> bool:
     return any(p & names and p <= names | BESIDE for p in parts)
 
 
-def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is unwanted, and whether it is so if it has little of the page."""
-    if name in UNWANTED or (name == "header" and not in_article):
+def _unwanted(name: str, attrs: str, within: int) -> tuple[bool, bool]:
+    """Whether an element is unwanted, and whether it is so by its name alone, unless it holds the article."""
+    if name in UNWANTED or (name == "header" and not within):
         return True, False
     if not attrs.strip():
         return False, False
@@ -89,18 +90,20 @@ def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     if name == "article":
         return _names(own.get("class", ""), {"comment", "comments"}), False
     said = own.get("class", "") + ("" if name in SLUGS else f" {own.get('id', '')}")
-    return False, name not in ("html", "body", "main") and own.get("role") != "main" and _names(said, STRICT if in_article else NAMES)
+    return False, name not in ("html", "body", "main") and own.get("role") != "main" and _names(said, STRICT if within == ARTICLE else NAMES)
 
 
 def parse(html: str | None) -> Page:
     page, stack, words = Page(), [], []
-    # Open elements as (name, path, unwanted, in an article, named); all but the name hold below an element as well. `named` are the numbers of elements named as unwanted.
-    top = ("", "", False, False, ())
+    # Open elements as (name, path, unwanted, in MAIN or ARTICLE, named); all but the name hold below an element as well. `named` are the numbers of elements named as unwanted.
+    top = ("", "", False, 0, ())
     n_named = 0
     #: Begins and ends of elements as (kind, path), blocks as their number.
     events: list[tuple[str, str] | int] = []
-    found: list[tuple[tuple[str, str, bool], tuple[int, ...]]] = []
+    found: list[tuple[tuple[str, str, int], tuple[int, ...]]] = []
+    # The named elements around each article or main, and around each heading of the page.
     holding: list[tuple[int, ...]] = []
+    headed: list[tuple[int, ...]] = []
 
     def flush() -> None:
         if words:
@@ -154,19 +157,20 @@ def parse(html: str | None) -> Page:
         named = above[4]
         if by_name:
             named, n_named = (*named, n_named), n_named + 1
-        article = above[3]
-        if not article and not unwanted and (name in ("article", "main") or 'role="main"' in (token["attrs"] or "")):
-            article = True
-            holding.append(named)
-        stack.append((name, path, unwanted, article, named))
+        within = above[3]
+        if not unwanted and within != ARTICLE and (name == "article" or not within and (name == "main" or 'role="main"' in (token["attrs"] or ""))):
+            if not within:
+                holding.append(named)
+            within = ARTICLE if name == "article" else MAIN
+        if name == "h1" and not unwanted:
+            headed.append(named)
+        stack.append((name, path, unwanted, within, named))
     flush()
     close(0)
-    sizes = Counter()
-    for (_, text, _), named in found:
-        sizes.update(dict.fromkeys(named, len(text)))
-    total = sum(len(b[1]) for b, _ in found)
-    only = set() if () in holding else {n for named in holding for n in named}
-    gone = {n for n in sizes if 2 * sizes[n] < total and n not in only}
+    # An element that holds the page's only articles, or the only headings of a page without, is the page's frame, whatever its name.
+    frames = holding or headed
+    only = set() if () in frames else {n for named in frames for n in named}
+    gone = set(range(n_named)) - only
     stays = [gone.isdisjoint(named) for _, named in found]
     page.blocks = [b for (b, _), s in zip(found, stays, strict=True) if s]
     page.tokens = [token_hash("text", *found[e][0][:2]) if isinstance(e, int) else token_hash(*e) for e in events if not isinstance(e, int) or stays[e]]
@@ -179,10 +183,10 @@ def token_hash(kind: str, path: str, text: str = "") -> int:
 
 
 def main_text(page: Page, template: set[int]) -> str:
-    """The text of the slots: blocks that are no template text, of the articles if any has text."""
-    slots = [b for b in page.blocks if not template or token_hash("text", b[0], b[1]) not in template]
-    marked = any(article for _, _, article in slots)
-    return "\n\n".join(text for _, text, article in slots if article or not marked)
+    """The text of the slots: blocks that are in an article or no template text, of the articles and mains if any has text."""
+    slots = [b for b in page.blocks if b[2] == ARTICLE or not template or token_hash("text", b[0], b[1]) not in template]
+    marked = any(within for _, _, within in slots)
+    return "\n\n".join(text for _, text, within in slots if within or not marked)
 
 
 def nesting(tokens: list[int], classes: dict[int, int]) -> list[tuple[int, int, int, int]]:

@@ -121,7 +121,8 @@ def held(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"), _pairs(_words(text)).alias("all"))
     rows = rows.withColumn("hits", F.expr(f"filter(transform(all, (g, i) -> struct(i + 1 AS at, g AS gram)), x -> x.gram IN ({any_gram}))")).filter(F.size("hits") > 0)
     enough = lambda own: F.exists(known, lambda t: F.size(F.array_intersect(own, t["grams"])) >= t["need"])
-    return store(rows.filter(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), enough)[0]), "licence-texts")
+    rows = rows.filter(F.transform(F.array(F.array_distinct(F.col("hits.gram"))), enough)[0])
+    return store(rows.dropDuplicates(["doc_id", "row"]), "licence-texts")
 
 
 def windows(rows: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -197,12 +198,12 @@ OP3_SQL = f"""
 WITH t AS (SELECT column0 AS license_id, column1 AS template, {_WORDS.format('column2')} AS w FROM (VALUES {_VALUES}) AS v(column0, column1, column2)),
 tb AS (SELECT license_id, template, {_PAIRS} AS g FROM t),
 tg AS (SELECT license_id, template, len(g) AS b, unnest(g) AS g FROM tb),
-s AS (SELECT doc_id, list_distinct(list_concat(regexp_split_to_array(text, '[\\r\\n]+'), regexp_split_to_array(text, '\\r?\\n(?:[ \\t]*\\r?\\n)+'), [text])) AS s FROM documents WHERE text IS NOT NULL),
-u AS (SELECT doc_id, unnest(s) AS seg FROM s),
-w AS (SELECT doc_id, seg, {_WORDS.format('seg')} AS w FROM u),
-p AS (SELECT doc_id, seg, {_PAIRS} AS g FROM w WHERE len(w) > 1),
-pg AS (SELECT doc_id, seg, len(g) AS a, unnest(g) AS g FROM p),
-c AS (SELECT doc_id, seg, license_id, template, 2.0 * count(*) / (max(a) + max(b)) AS dice FROM pg JOIN tg USING (g) GROUP BY ALL),
-m AS (SELECT doc_id, seg, license_id, dice, row_number() OVER (PARTITION BY doc_id, seg ORDER BY dice DESC, license_id) AS place FROM c WHERE dice >= 0.8 - 1e-9)
-SELECT doc_id, license_id, count(*) AS n_segments, CAST(floor(max(dice) * 1e6 + 0.5) AS BIGINT) AS dice_millionths FROM m WHERE place = 1 GROUP BY doc_id, license_id
+s AS (SELECT DISTINCT doc_id, md5(text) AS row, list_distinct(list_concat(regexp_split_to_array(text, '[\\r\\n]+'), regexp_split_to_array(text, '\\r?\\n(?:[ \\t]*\\r?\\n)+'), [text])) AS s FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, row, unnest(s) AS seg FROM s),
+w AS (SELECT doc_id, row, seg, {_WORDS.format('seg')} AS w FROM u),
+p AS (SELECT doc_id, row, seg, {_PAIRS} AS g FROM w WHERE len(w) > 1),
+pg AS (SELECT doc_id, row, seg, len(g) AS a, unnest(g) AS g FROM p),
+c AS (SELECT doc_id, row, seg, license_id, template, 2.0 * count(*) / (max(a) + max(b)) AS dice FROM pg JOIN tg USING (g) GROUP BY ALL),
+m AS (SELECT doc_id, row, seg, license_id, dice, row_number() OVER (PARTITION BY doc_id, row, seg ORDER BY dice DESC, license_id) AS place FROM c WHERE dice >= 0.8 - 1e-9)
+SELECT doc_id, license_id, count(*) AS n_segments, CAST(floor(max(dice) * 1e6 + 0.5) AS BIGINT) AS dice_millionths FROM m WHERE place = 1 GROUP BY doc_id, row, license_id
 """

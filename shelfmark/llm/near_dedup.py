@@ -80,7 +80,7 @@ def _sign(registers: int, most: int = 200_000):
             found = probminhash(doc, np.concatenate([parts[i][0] for i in filled]), np.concatenate([parts[i][1] for i in filled]).astype(float), len(filled), registers)
             for i, row in zip(filled, found, strict=True):
                 signs[i] = row
-        out = pd.DataFrame(rows, columns=["doc", "row", "key"])
+        out = pd.DataFrame(rows, columns=["doc", "row", "key", "more"])
         out["sign"] = [(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in signs]
         return out
 
@@ -89,7 +89,7 @@ def _sign(registers: int, most: int = 200_000):
             rows, parts, size = [], [], 0
             for doc, row, text in zip(batch["doc"], batch["row"], batch["text"], strict=True):
                 words, elements, counts = shingles(text)
-                rows.append((doc, row, sequence_hash(words)))
+                rows.append((doc, row, sequence_hash(words), sequence_hash(words, _SLOT)))
                 parts.append((elements, counts))
                 size += len(elements)
                 if size >= most:
@@ -264,11 +264,22 @@ def _unsettled_pairs(placed: DataFrame, weighed: DataFrame, similar: float) -> t
     return store(plain.union(linked).distinct(), "unsettled-pairs"), own.select("vertex", "component")
 
 
+def _apart(signed: DataFrame) -> DataFrame:
+    """`signed` with the key of word sequences that differ told apart: of those that share one of 64 bits, all but one get a key of both hashes."""
+    both = signed.groupBy("key").agg(F.min("more").alias("least"), F.max("more").alias("most")).filter("least != most")
+    both = store(both.select(F.col("key").alias("shared"), "least"), "shared-keys")
+    # About n^2 / 2^65 keys of n texts, so mostly none.
+    if both.isEmpty():
+        return signed
+    out = signed.join(both, F.col("key") == F.col("shared"), "left")
+    return out.withColumn("key", F.when(F.col("more") != F.col("least"), F.xxhash64("key", "more")).otherwise(F.col("key"))).drop("shared", "least")
+
+
 def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, similar: float = SIMILAR) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, row (a hash of the text), class_id, class_size, kept."""
     small_batches(docs.sparkSession, 500)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
-    signed = store(texts.mapInPandas(_sign(bands * rows), "doc long, row long, key long, sign array<int>"), "signs")
+    signed = _apart(store(texts.mapInPandas(_sign(bands * rows), "doc long, row long, key long, more long, sign array<int>"), "signs"))
     known = signed.filter("doc IS NOT NULL AND size(sign) > 0")
     # Copies are one vertex, whose text is that of its first document.
     alike = known.groupBy(F.col("key").alias("vertex")).agg(F.min(F.struct("doc", "row")).alias("own"), F.first("sign").alias("sign"))

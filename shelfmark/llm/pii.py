@@ -48,7 +48,7 @@ ENDINGS = {"m": "n r s k d".split(), "f": "a ia ina elle ette".split(), "x": "l
 
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _FIND = re.compile(
-    r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
+    r"(?<![\w.+-])(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)"
     r"|(?<![\w:.])(?P<ipv6>(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6}|::(?:[0-9a-fA-F]{1,4}:){0,5}[0-9a-fA-F]{1,4})(?![\w:])"
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"

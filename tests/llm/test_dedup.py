@@ -281,3 +281,11 @@ def test_exact_dedup_with_clashing_columns_long_texts_and_repeated_rows(spark):
     assert [i for i, _ in out] == [2, 3, 4]
     again = sorted((r.doc_id, r.stay_key) for r in exact_dedup.drop_exact_copies(docs.repartition(5)).collect())
     assert out == again  # of repeated rows the same one stays
+
+
+def test_texts_that_share_a_key_are_told_apart(spark):
+    rows = [(1, 5, 7, 70, [1]), (2, 6, 7, 71, [2]), (3, 7, 7, 70, [1]), (4, 8, 9, 1, [3])]
+    out = near_dedup._apart(spark.createDataFrame(rows, "doc long, row long, key long, more long, sign array<int>"))
+    keys = {r.doc: r.key for r in out.collect()}
+    assert keys[1] == keys[3] == 7 and keys[4] == 9 and keys[2] not in (7, 9)
+    assert near_dedup._apart(out.filter("doc != 2")).filter("key = 7").count() == 2

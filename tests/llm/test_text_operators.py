@@ -403,7 +403,25 @@ def test_html_names_of_wrappers_and_slugs(spark):
     got = extract(spark, rows)
     plain = text[3:-4]
     assert all(got[i].text == plain for i in range(5)) and got[10].text == f"Related\n\n{plain}\n\nMethods"
-    assert got[11].text == plain and got[12].text == f"{plain}\n\na\n\nb"
+    assert got[11].text == "" and got[12].text == f"{plain}\n\na\n\nb"
+
+
+def test_html_drops_by_structure_whatever_the_length(spark):
+    long, short = "A long remark of a reader, " * 30, "<p>Short article.</p>"
+    inside = ["breadcrumbs", "pagination", "newsletter", "related", "copyright"]
+    bodies = [
+        f"<main>{short}<section class='comments'><p>{long}</p></section></main>", f"{short}<div id='comments'>{long}</div>", f"{short}<div class='sidebar'>{long}</div>", f"<div class='cookie-notice'>{long}</div>{short}",
+        f"<main>{''.join(f'<div class={n}>{n}</div>' for n in inside)}{short}</main>", f"<article><div class='breadcrumbs'>a &gt; b</div>{short}<ul class='pagination'><li>2</ul></article>",
+        f"<div class='sidebar'><h1>Short article.</h1></div><div class='ad'>{long}</div>", f"<div class='menu'><main>{short}</main></div><div class='comments'>{long}</div>",
+    ]
+    got = extract(spark, [(i, f"http://h{i}/", f"<body>{b}</body>") for i, b in enumerate(bodies)])
+    assert {r.text for r in got.values()} == {"Short article."}
+    # A paragraph inside the articles of many pages stays; outside, it is template.
+    shared = "<p>Shared closing sentence.</p>"
+    pages = [(i, "http://s/1", f"<body>{shared}<article><p>Text {i} of {i * i}.</p>{shared}</article></body>") for i in range(6)]
+    assert {r.text for r in extract(spark, pages).values()} == {f"Text {i} of {i * i}.\n\nShared closing sentence." for i in range(6)}
+    main = [(i, "http://m/1", f"<body><main><div>{shared}</div><div><p>Text {i} of {i * i}.</p></div></main></body>") for i in range(6)]
+    assert {r.text for r in extract(spark, main).values()} == {f"Text {i} of {i * i}." for i in range(6)}
 
 
 def test_html_copies_are_no_template(spark):
@@ -490,3 +508,29 @@ def test_pii_in_a_long_text(spark):
     new = pii.pseudonymised(docs_of(spark, rows)).collect()[0]
     found = re.findall(r"\S+@\S+", new.text)
     assert new.n_mentions == 2 and len(found) == 2 and found[0] == found[1] != "jo.doe@firm.example.org"
+
+
+def test_licences_of_repeated_rows(spark):
+    texts = ["Released under the MIT License.", "Released under the MIT Licence of 1999", None, ""]
+    once = spark.createDataFrame([(i, t) for i in (1, None) for t in texts], "doc_id long, text string")
+    many = once.union(once).union(once).repartition(3)
+    rows = lambda df: Counter(map(tuple, license_scan.licensed(df).collect()))
+    assert rows(many) == rows(once) and rows(once) and all(0 < d <= 1 for _, _, _, d in rows(once))
+
+
+def test_decontamination_of_many_equal_rows(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, f"before {item} after"), (5, f"x {item}")], "doc_id long, text string")
+    one = sorted(map(str, decontamination.contaminated(docs, items).drop("row").collect()))
+    many = docs.union(docs.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n"))
+    assert sorted(map(str, decontamination.contaminated(many, items).drop("row").collect())) == one and len(one) == 2
+
+
+def test_pii_in_runs_of_letters():
+    import time
+
+    for text in ("a" * 1_000_000, "a" * 1_000_000 + "@example.com", "a@" + "b" * 1_000_000, "x.y-" * 250_000):
+        began = time.process_time()
+        found = list(pii.mentions(text))
+        assert time.process_time() - began < 1 and len(found) == text.endswith(".com")
