@@ -162,7 +162,7 @@ def match_score(spark, sf):
 
 def _fuzzy(spark, sf, column, score):
     each = _both(spark, sf).select("PDF_Description", column).distinct()
-    return each.withColumn("score", F.round(score(c(column), c("PDF_Description")), 6))
+    return each.withColumn("score_millionths", micro(score(c(column), c("PDF_Description"))))
 
 
 def partial_ratio(spark, sf):
@@ -347,7 +347,9 @@ def extraction_counts(spark, sf):
 
 
 def match_full(spark, sf):
-    return match.match_catalogue(_flyer(spark, sf), _master(spark, sf))
+    found = match.match_catalogue(_flyer(spark, sf), _master(spark, sf))
+    scores = {"Description_Similarity": "description", "Brand_Description_Similarity": "brand", "Ncat_Description_Similarity": "category", "Boost_Score": "boost", "Brand_Word_Score": "brand_words", "ncat_word_score": "category_words", "Combined_Score": "combined"}
+    return found.select("flyer_row", "master_row", "PDF_Description", "Excel_Description", *[micro(c(k)).alias(v) for k, v in scores.items()])
 
 
 def match_plain(spark, sf):
@@ -379,8 +381,8 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "r20_r24_boost_parts": (boost_parts, q.BOOST_PARTS),
     "r25_tokenize": (tokenize, q.TOKENIZE),
     "r26_match_score": (match_score, q.MATCH_SCORE),
-    "r27_partial_ratio": (partial_ratio, None),
-    "r28_wratio": (wratio, None),
+    "r27_partial_ratio": (partial_ratio, q.PARTIAL_RATIO),
+    "r28_wratio": (wratio, q.WRATIO),
     "r29_first_number": (first_number, q.FIRST_NUMBER),
     "r30_parse_numbers": (parse_numbers, q.PARSE_NUMBERS),
     "r31_r32_numeric_similarities": (numeric_similarities, q.NUMERIC_SIMILARITIES),
@@ -410,7 +412,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "r54_score_pairs": (score_pairs, q.SCORE_PAIRS),
     "r55_extract_items": (extract_items, q.EXTRACT_ITEMS),
     "match_plain": (match_plain, q.MATCH_PLAIN),
-    "match_catalogue": (match_full, None),
+    "match_catalogue": (match_full, q.MATCH_CATALOGUE),
 }
 
 

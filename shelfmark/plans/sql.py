@@ -77,6 +77,42 @@ def _contained(a: str, b: str) -> str:
     return f"CASE WHEN {_plain(a)} <> '' AND {_plain(b)} <> '' AND contains({_plain(a)}, {_plain(b)}) THEN 1e0 ELSE 0e0 END"
 
 
+# Ratios over longest common subsequences, one row a pair of texts and part of the ratio, so that the engine splits the work.
+def _lcs(p: str, q: str) -> str:
+    """Bit i of the carried row says that letter i of `p` isn't used yet."""
+    places = f"list_transform(string_split({q}, ''), lambda x: list_sum(list_transform(generate_series(1, length({p})), lambda i: CASE WHEN {p}[i] = x THEN 1::HUGEINT << CAST(i - 1 AS INT) ELSE 0::HUGEINT END))::HUGEINT)"
+    every = f"((1::HUGEINT << CAST(length({p}) AS INT)) - 1)"
+    return f"length({p}) - bit_count(list_reduce({places}, lambda r, m: ((r + (r & m)) | (r - (r & m))) & {every}, {every}))"
+
+
+def _ratios(name: str, parts: str) -> str:
+    """CTEs: `name`(id, score) is the best weighted ratio of each id, from rows (id, weight, part, a, b) of `parts`, where `part` asks for the best window."""
+    return f"""{name}_p AS (SELECT id, weight, part, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS p, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS q FROM ({parts})),
+{name}_w AS (SELECT id, weight, p, unnest(CASE WHEN p = '' THEN [q] WHEN part THEN list_transform(generate_series(1 - length(p), length(q) - 1), lambda i: q[greatest(0, i) + 1:i + length(p)]) ELSE [q] END) AS w, p = '' AND part AS none FROM {name}_p),
+{name}_l AS (SELECT p, w, CASE WHEN p = '' THEN 0 ELSE {_lcs('p', 'w')} END AS lcs FROM (SELECT DISTINCT p, w FROM {name}_w)),
+{name} AS (SELECT id, max(weight * CASE WHEN p = '' AND w = '' THEN 100e0 WHEN none THEN 0e0 ELSE 200e0 * lcs / (length(p) + length(w)) END) AS score FROM {name}_w JOIN {name}_l USING (p, w) GROUP BY id)"""
+
+
+def _partial(name: str, pairs: str) -> str:
+    """CTEs: `name`(id, score) of the pairs (id, a, b)."""
+    return _ratios(name, f"SELECT id, 1e0 AS weight, true AS part, a, b FROM {pairs}")
+
+
+def _weighted(name: str, pairs: str) -> str:
+    """CTEs: `name`(id, score), the weighted best of plain, token and partial ratios of the pairs (id, a, b), texts that aren't empty."""
+    ordered = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    word = lambda x: f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')"
+    token = "SELECT id, {w} AS weight, part, {a} AS a, {b} AS b FROM {name}_t"
+    rows = [("1e0", "a", "b"), ("9.5e-1 * scale", ordered("x"), ordered("y")), ("9.5e-1 * scale", "trim(same || ' ' || rest_x)", "trim(same || ' ' || rest_y)")]
+    rows += [("9.5e-1 * scale", "same", f"trim(same || ' ' || {r})") for r in ("rest_x", "rest_y")]
+    plain = f"SELECT id, 1e0 AS weight, false AS part, a, b FROM {name}_t UNION ALL SELECT id, scale, part, a, b FROM {name}_t WHERE part"
+    more = " UNION ALL ".join(token.format(w=w, a=a, b=b, name=name) + (" WHERE same <> ''" if a == "same" else " WHERE len(x) > 0 AND len(y) > 0" if "same" in a else "") for w, a, b in rows[1:])
+    return f"""{name}_n AS (SELECT *, {word('a')} AS x, {word('b')} AS y, greatest(length(a), length(b)) * 1e0 / least(length(a), length(b)) AS longer FROM {pairs} WHERE a <> '' AND b <> ''),
+{name}_t AS (SELECT *, longer >= 1.5 AS part, CASE WHEN longer < 1.5 THEN 1e0 WHEN longer <= 8 THEN 9e-1 ELSE 6e-1 END AS scale, {ordered('list_distinct(list_intersect(x, y))')} AS same,
+  {ordered('list_filter(list_distinct(x), lambda w: NOT list_contains(y, w))')} AS rest_x, {ordered('list_filter(list_distinct(y), lambda w: NOT list_contains(x, w))')} AS rest_y FROM {name}_n),
+{_ratios(name, plain + ' UNION ALL ' + more)}"""
+
+
 # Numbers.
 def _numbers(x: str) -> str:
     return f"list_transform(regexp_extract_all({x}, '[0-9]+\\.?[0-9]*'), lambda n: CAST(n AS DOUBLE))"
@@ -217,3 +253,22 @@ EXTRACT_ITEMS = _STAGES + " SELECT image_name, label AS Cluster, CAST(label AS V
 EXTRACTION_COUNTS = _STAGES + " SELECT count(*) FILTER (WHERE stage <> 'classification') AS classified, count(*) FILTER (WHERE stage = 'classification') AS classification_failed, count(*) FILTER (WHERE stage = 'done') AS extracted, count(*) FILTER (WHERE stage = 'extraction') AS extraction_failed FROM st"
 SCORE_PAIRS = _ONE + f" SELECT flyer_row AS PDF_flyer_row, {_micro(_jaccard('Description', 'm_text'))} AS score FROM sides"
 MATCH_PLAIN = f"{SCORED} SELECT flyer_row, master_row, f_text AS PDF_Description, m_text AS Excel_Description, {_micro('scaled')} AS combined, {_micro('llm')} AS model FROM top"
+_TEXT_PAIRS = lambda c: _ONE + f", texts AS (SELECT DISTINCT Description, {c} AS field FROM sides), jobs AS (SELECT row_number() OVER () AS id, Description, field, {_plain('field')} AS a, {_plain('Description')} AS b FROM texts)"
+_FUZZY = " SELECT Description AS PDF_Description, field AS {name}, " + _micro("coalesce(score, 0)") + " AS score_millionths FROM jobs LEFT JOIN found USING (id)"
+PARTIAL_RATIO = f"{_TEXT_PAIRS('m_brand')}, {_partial('found', 'jobs')}{_FUZZY.format(name='Excel_BRAND')}"
+WRATIO = f"{_TEXT_PAIRS('m_cat')}, {_weighted('found', 'jobs')}{_FUZZY.format(name='Excel_nCat_Desc')}"
+# The full match from the list of all candidates: vectors, ratios and boosts of each pair of texts, joined to the pairs.
+_VECTOR = """vt AS (SELECT DISTINCT unnest([f_text, m_text, b_text, c_text]) AS text FROM pairs),
+vg AS (SELECT text, unnest(list_transform(generate_series(1, length(s) - 2), lambda k: s[k:k + 2])) AS g FROM (SELECT text, '  ' || lower(text) || ' ' AS s FROM vt)),
+vh AS (SELECT text, ((ord(g[1]) * 1000003 + ord(g[2])) % 4294967291 * 1000003 + ord(g[3])) % 4294967291 % 256 AS place FROM vg),
+vn AS (SELECT text, place, count(*) AS n FROM vh GROUP BY ALL), v AS (SELECT text, place, CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY text)) AS FLOAT) AS DOUBLE) AS v FROM vn)"""
+_ALIKE = "{0} AS (SELECT f_text, {1}, floor(coalesce(sum(x.v * y.v), 0) * 1e9 + 0.5) / 1e9 AS sim FROM (SELECT DISTINCT f_text, {1} FROM pairs) LEFT JOIN v x ON x.text = f_text LEFT JOIN v y ON y.text = {1} AND y.place = x.place GROUP BY ALL)"
+_WORDS_OF = "{0}_j AS (SELECT row_number() OVER () AS id, f_text, {1}, " + f"{_plain('{1}')} AS a, {_plain('f_text')} AS b" + " FROM (SELECT DISTINCT f_text, {1} FROM pairs))"
+_WORD = "{0}_s AS (SELECT f_text, {1}, CASE WHEN a = '' OR b = '' THEN 0e0 WHEN contains(b, a) THEN 1e0 ELSE score / 100 END AS word FROM {0}_j LEFT JOIN {0} USING (id))"
+MATCH_CATALOGUE = f"""{PREPARED}, {_VECTOR}, {_ALIKE.format('sd', 'm_text')}, {_ALIKE.format('sb', 'b_text')}, {_ALIKE.format('sc', 'c_text')},
+{_WORDS_OF.format('bw', 'b_text')}, {_partial('bw', 'bw_j')}, {_WORD.format('bw', 'b_text')}, {_WORDS_OF.format('nw', 'c_text')}, {_weighted('nw', 'nw_j')}, {_WORD.format('nw', 'c_text')},
+scored AS (SELECT p.*, sd.sim AS d, sc.sim AS n, sb.sim AS b, bw_s.word AS bw, nw_s.word AS nw, sd.sim + sc.sim + sb.sim + boost + bw_s.word + nw_s.word AS total FROM pairs p
+  JOIN sd USING (f_text, m_text) JOIN sb USING (f_text, b_text) JOIN sc USING (f_text, c_text) JOIN bw_s USING (f_text, b_text) JOIN nw_s USING (f_text, c_text)),
+ends AS (SELECT min(total) AS low, max(total) AS high FROM scored),
+top AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY f_text ORDER BY total DESC, flyer_row, master_row) <= 65)
+SELECT flyer_row, master_row, f_text AS PDF_Description, m_text AS Excel_Description, {', '.join(f'{_micro(x)} AS {n}' for x, n in (('d', 'description'), ('b', 'brand'), ('n', 'category'), ('boost', 'boost'), ('bw', 'brand_words'), ('nw', 'category_words'), ('CASE WHEN high > low THEN (total - low) / (high - low) ELSE 0 END', 'combined')))} FROM top, ends"""
