@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.sources import tables
+
 ENTROPY = 1.7
 
 
@@ -41,32 +46,51 @@ def entropy(df: DataFrame, key: str, value: str) -> DataFrame:
     return sums.select(key, (F.ln("total") - F.col("n_ln_n") / F.col("total")).alias("entropy"))
 
 
+def _entropy(counts: np.ndarray) -> float:
+    n = counts[counts > 0].astype(float)
+    return float(np.log(n.sum()) - (n * np.log(n)).sum() / n.sum())
+
+
+def char_counts(text: str, piece: int = 1 << 20) -> np.ndarray:
+    """How often each code point is in a text, read once, piece by piece."""
+    counts = np.zeros(128, np.int64)
+    for at in range(0, len(text), piece):
+        own = np.bincount(np.frombuffer(text[at : at + piece].encode("utf-32-le", "surrogatepass"), np.uint32))
+        if len(own) > len(counts):
+            counts = np.pad(counts, (0, len(own) - len(counts)))
+        counts[: len(own)] += own
+    return counts
+
+
 def char_entropy(text: Column) -> Column:
-    """Shannon entropy (nats) of a text's characters within the row; null for an empty text.
+    """Shannon entropy (nats) of a text's characters within the row; null for an empty text. Each text is read once."""
 
-    A character's count is what the text loses in length without it: one pass of the text for each distinct character.
-    """
-    each = F.array_sort(F.filter(F.array_distinct(F.split(text, "")), lambda c: c != ""))
-    total = F.length(text)
-    counts = F.transform(each, lambda c: (total - F.length(F.replace(text, c, F.lit("")))).cast("double"))
-    return F.when(total > 0, F.ln(total) - F.aggregate(counts, F.lit(0.0), lambda s, n: s + n * F.ln(n)) / total)
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([_entropy(char_counts(t)) if t else None for t in texts], dtype="float64")
+
+    return run(text)
 
 
-def byte_entropy_udf():
-    """Entropy of grey values in a binary column."""
+def byte_entropy(content: Column) -> Column:
+    """Shannon entropy (nats) of the grey values in a binary column: a histogram of 256 places; null for an empty one."""
 
     @F.pandas_udf("double")
     def run(values: pd.Series) -> pd.Series:
-        def one(raw: bytes | None) -> float | None:
-            if not raw:
-                return None
-            n = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-            p = n[n > 0] / n.sum()
-            return float(-(p * np.log(p)).sum())
+        return pd.Series([_entropy(np.bincount(np.frombuffer(raw, np.uint8), minlength=256)) if raw else None for raw in values], dtype="float64")
+
+    return run(content)
+
+
+def file_entropy(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
+    """path, length and entropy of the contents of the files with one of the extensions, each read once."""
 
-        return values.map(one)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_entropy(np.bincount(np.frombuffer(raw.as_buffer(), np.uint8), minlength=256)) if raw.is_valid and len(raw.as_buffer()) else None for raw in batch.column("content")]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(found, pa.float64())], names=["path", "length", "entropy"])
 
-    return run
+    return tables.files_like(spark, path, extensions).select("path", "length", "content").mapInArrow(run, "path string, length long, entropy double")
 
 
 def entropy_filter(scored: DataFrame, threshold: float = ENTROPY) -> DataFrame:

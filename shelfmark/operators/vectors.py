@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +32,30 @@ def char_trigrams(texts: list[str], width: int = 256) -> np.ndarray:
     return out
 
 
-def encode_texts(texts: DataFrame, encode: Callable[[list[str]], np.ndarray] = char_trigrams, batch: int = BATCH) -> DataFrame:
-    """text -> text, vector (L2-normalised); `encode` is called on batches inside tasks."""
+#: What loaders gave in this worker, by the loader's content.
+_loaded: dict[str, Callable[[list[str]], np.ndarray]] = {}
+
+
+def loaded(key: str, load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Callable[[list[str]], np.ndarray]:
+    """What `load` gives, once in the life of a worker."""
+    if key not in _loaded:
+        _loaded[key] = load()
+    return _loaded[key]
+
+
+def encode_texts(texts: DataFrame, encode: Callable[[list[str]], np.ndarray] = char_trigrams, batch: int = BATCH, load: Callable[[], Callable[[list[str]], np.ndarray]] | None = None) -> DataFrame:
+    """text -> text, vector (L2-normalised); `encode` is called on batches inside tasks.
+
+    A model that is large or can't be pickled comes from `load` instead, which is called in the worker, once for all batches and tasks that it runs.
+    """
+    key = hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = encode if load is None else loaded(key, load)
         for frame in batches:
             for at in range(0, len(frame), batch):
                 part = list(frame["text"].iloc[at : at + batch])
-                v = np.asarray(encode(part), float)
+                v = np.asarray(model(part), float)
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 yield pd.DataFrame({"text": part, "vector": list((v / np.where(norm > 0, norm, 1)).astype(np.float32))})
 

@@ -81,9 +81,9 @@ def reconcile_matches(scored: DataFrame, master: DataFrame, n: int = 5, flyer: D
     }
 
 
-def page_items(images: DataFrame, classify: Callable[[str], str | None], extract: Callable[[str, int], str | None]) -> tuple[DataFrame, DataFrame]:
+def page_items(images: DataFrame, classify: Callable[[str], str | None], extract: Callable[[str, int], str | None], tries: scoring.Tries = scoring.Tries(), limits: scoring.Limits = scoring.Limits()) -> tuple[DataFrame, DataFrame]:
     """Clean item rows of the images (image_name), and the images that failed with the stage they failed in."""
-    answers = store(scoring.extract_items(images, classify, extract), "answers")
+    answers = store(scoring.extract_items(images, classify, extract, tries=tries, limits=limits), "answers")
     good = answers.filter("stage = 'done'")
     rows = tables.parse_items_json(good.select("image_name", F.col("label").alias("Cluster"), "items_json"), "items_json")
     return clean.drop_blank_products(clean.clean_items(rows)), answers.filter("stage != 'done'").select("image_name", "stage")

@@ -239,6 +239,8 @@ UNION ALL SELECT 'PDF_Unmatched', count(*) FROM (SELECT DISTINCT fk, f_size, f_p
 UNION ALL SELECT 'Excel_Unmatched', count(*) FROM fulls WHERE Description NOT IN (SELECT mk FROM exact UNION SELECT mk FROM partial) UNION ALL SELECT 'Match_Flag', count(*) FROM fulls"""
 ENTROPY = f"""WITH ch AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM ch WHERE ch <> '' GROUP BY ALL),
 e AS (SELECT doc_id, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy FROM n GROUP BY doc_id) SELECT doc_id, {_micro('entropy')} AS entropy_millionths, entropy < 2.8 AS noisy FROM e"""
+BYTE_ENTROPY = f"""WITH o AS (SELECT page_id, unnest(regexp_extract_all(hex(encode(html)), '..')) AS o FROM pages), n AS (SELECT page_id, o, count(*) AS n FROM o GROUP BY ALL),
+e AS (SELECT page_id, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy FROM n GROUP BY page_id) SELECT page_id, {_micro('entropy')} AS entropy_millionths, entropy < 3.1 AS noisy FROM e"""
 NOISE_COUNTS = f"WITH x AS ({ENTROPY}) SELECT count(*) FILTER (WHERE noisy) AS noisy, count(*) FILTER (WHERE NOT noisy) AS clean FROM x"
 VALUE_ENTROPY = f"""WITH n AS (SELECT l_partkey, l_quantity, count(*) AS n FROM lineitem GROUP BY ALL), e AS (SELECT l_partkey, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy FROM n GROUP BY l_partkey)
 SELECT l_partkey, {_micro('entropy')} AS entropy_millionths, entropy < 1.7 AS noisy FROM e"""
@@ -251,6 +253,8 @@ SELECT text, CAST(place AS BIGINT) AS place, CAST(floor(CAST(CAST(v AS FLOAT) AS
 _STAGES = _with("responses") + ", l AS (SELECT image_name, list_sum(list_transform(string_split(image_name, ''), lambda x: ord(x))) % 5 AS label FROM responses), st AS (SELECT image_name, CAST(label AS INT) AS label, CASE WHEN label NOT IN (1, 2, 3) THEN 'classification' WHEN label = 3 OR (label = 2 AND length(image_name) % 2 = 0) THEN 'extraction' ELSE 'done' END AS stage FROM l)"
 EXTRACT_ITEMS = _STAGES + " SELECT image_name, label AS Cluster, CAST(label AS VARCHAR) || ' oz' AS Size, CAST(NULL AS VARCHAR) AS Pack, CAST(NULL AS VARCHAR) AS RetailAmount, CAST(NULL AS VARCHAR) AS RetailFactor, image_name AS Description, CAST(NULL AS VARCHAR) AS Ad, TRY_CAST(regexp_extract(image_name, '_page_(\\d+)', 1) AS INT) AS Page_Number FROM st WHERE stage = 'done'"
 EXTRACTION_COUNTS = _STAGES + " SELECT count(*) FILTER (WHERE stage <> 'classification') AS classified, count(*) FILTER (WHERE stage = 'classification') AS classification_failed, count(*) FILTER (WHERE stage = 'done') AS extracted, count(*) FILTER (WHERE stage = 'extraction') AS extraction_failed FROM st"
+_MOOD = "list_sum(list_transform(string_split(m_text, ''), lambda x: ord(x))) % 7"
+SCORING_COUNTS = _ONE + f", mood AS (SELECT {_MOOD} AS m FROM sides), r AS (SELECT 1 AS round, m FROM mood UNION ALL SELECT 2, m FROM mood WHERE m < 2) SELECT round, count(*) AS pairs, count(*) FILTER (WHERE m < 2) AS failed, CAST(0 AS BIGINT) AS late, true AS timed FROM r GROUP BY round"
 SCORE_PAIRS = _ONE + f" SELECT flyer_row AS PDF_flyer_row, {_micro(_jaccard('Description', 'm_text'))} AS score FROM sides"
 MATCH_PLAIN = f"{SCORED} SELECT flyer_row, master_row, f_text AS PDF_Description, m_text AS Excel_Description, {_micro('scaled')} AS combined, {_micro('llm')} AS model FROM top"
 _TEXT_PAIRS = lambda c: _ONE + f", texts AS (SELECT DISTINCT Description, {c} AS field FROM sides), jobs AS (SELECT row_number() OVER () AS id, Description, field, {_plain('field')} AS a, {_plain('Description')} AS b FROM texts)"

@@ -26,11 +26,16 @@ def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = N
     return df.select(*[f"`{c}`" for c in columns])
 
 
-def list_files(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
-    """path, length, modificationTime of the files with one of the extensions, any case; contents aren't read."""
+def files_like(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
+    """path, modificationTime, length, content of the files with one of the extensions, any case; contents are only read where they are used. Spark passes over empty files."""
     ends = "|".join(e.lstrip(".") for e in extensions)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "modificationTime").filter(F.lower("path").rlike(rf"\.({ends})$"))
+    return files.filter(F.lower("path").rlike(rf"\.({ends})$"))
+
+
+def list_files(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
+    """path, length, modificationTime of the files with one of the extensions, any case; contents aren't read."""
+    return files_like(spark, path, extensions).select("path", "length", "modificationTime")
 
 
 def parse_label_json(c: Column) -> Column:

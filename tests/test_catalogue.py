@@ -129,7 +129,7 @@ def test_boxes(spark):
 
 def test_entropies_agree(spark):
     df = spark.createDataFrame([(1, bytearray(b"aabb")), (2, bytearray(range(256))), (3, bytearray(b"zzz"))], "id long, raw binary")
-    whole = {r.id: r.e for r in df.select("id", images.byte_entropy_udf()("raw").alias("e")).collect()}
+    whole = {r.id: r.e for r in df.select("id", images.byte_entropy(F.col("raw")).alias("e")).collect()}
     values = spark.createDataFrame([(i, v) for i, raw in ((1, b"aabb"), (2, range(256)), (3, b"zzz")) for v in raw], "id long, v int")
     rows = {r.id: (r.entropy, r.noisy) for r in images.entropy_filter(images.entropy(values, "id", "v")).collect()}
     for i, e in whole.items():
@@ -160,7 +160,118 @@ def test_scores_with_retry(spark, tmp_path):
     rows = spark.createDataFrame([(1, "fine", "xx"), (2, "flaky", "xxx"), (3, "never", "x")], "id long, PDF_Description string, Excel_Description string")
     scored = scoring.score_pairs(rows, ["id"], answer)
     assert {r.id: r.LLM_Similarity for r in scored.collect()} == {1: 0.2, 2: 0.3, 3: None}
-    assert scoring.scoring_summary(scored).first().failed == 1
+
+
+def test_scoring_counts_and_latency_of_each_round(spark, tmp_path):
+    def slow(a, b):
+        import time
+
+        if a == "bad":
+            raise ValueError
+        time.sleep(0.2 if a == "slow" else 0)
+        return "no number" if a == "mute" else "0.5"
+
+    rows = spark.createDataFrame([(i, a, "x") for i, a in enumerate(["bad", "slow", "mute", "fine", "fine"])], "id long, PDF_Description string, Excel_Description string")
+    report = []
+    scoring.score_pairs(rows, ["id"], slow, retry_rounds=2, report=report)
+    found = scoring.scoring_summary(spark, report).collect()
+    # A call that fails returns in time, so it has a latency.
+    assert [(r.round, r.pairs, r.failed, r.late) for r in found] == [(1, 5, 2, 0), (2, 2, 2, 0), (3, 2, 2, 0)]
+    assert 0.2 <= found[0].longest_seconds < 2 and 0.04 <= found[0].average_seconds <= found[0].longest_seconds
+
+
+def test_a_call_that_hangs_is_given_up(spark):
+    def call(a, b):
+        import time
+
+        time.sleep(3600 if a == "hang" else 0.1)
+        return "0.5"
+
+    import time
+
+    rows = spark.createDataFrame([(i, "hang" if i in (3, 7) else "fine", "x") for i in range(40)], "id long, PDF_Description string, Excel_Description string").repartition(2)
+    began, report = time.time(), []
+    limits = scoring.Limits(call=1.5, at_once=10, pause=0.001)
+    scored = scoring.score_pairs(rows, ["id"], call, limits=limits, retry_limits=limits, report=report)
+    assert {r.id: r.LLM_Similarity for r in scored.collect()} == {i: None if i in (3, 7) else 0.5 for i in range(40)}
+    assert time.time() - began < 60 and [r.late for r in scoring.scoring_summary(spark, report).collect()] == [2, 2]
+
+
+def test_answers_are_in_order_and_batches_end():
+    import time
+
+    def call(x):
+        time.sleep(0.05 * (5 - x % 5))
+        return x
+
+    limits = scoring.Limits(at_once=4, pause=0)
+    found = scoring.answers(call, [(i,) for i in range(12)], limits)
+    assert [a for a, _ in found] == list(range(12)) and all(s >= 0.05 for _, s in found)
+    began = time.monotonic()
+    late = scoring.answers(lambda x: time.sleep(3600 if x else 0) or x, [(i,) for i in range(5)], scoring.Limits(batch=0.5, pause=0))
+    assert late[0][0] == 0 and [a for a, _ in late[1:]] == [None] * 4 and time.monotonic() - began < 2
+    assert scoring.answers(call, [], limits) == []
+
+
+def test_model_is_loaded_once_a_worker(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{marks}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return vectors.char_trigrams
+
+    texts = spark.createDataFrame([(f"text {i}",) for i in range(400)], "text string").repartition(16)
+    once = vectors.encode_texts(texts, batch=5, load=load)
+    assert once.count() == 400 and once.filter("size(vector) = 256").count() == 400
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) <= 8
+    plain = {r.text: r.vector for r in vectors.encode_texts(texts).collect()}
+    assert {r.text: r.vector for r in once.collect()} == plain
+
+
+def test_third_tries_waits_and_rounds(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def times(name):
+        with open(f"{marks}/{name}", "a") as f:
+            f.write("x")
+        with open(f"{marks}/{name}") as f:
+            return len(f.read())
+
+    def classify(name):
+        n = times(f"c-{name}")
+        # Empty answers are tried again in a round, wrong labels in the next one; 0 is no label.
+        return {"third": None if n < 3 else "1", "sixth": "0" if n < 6 else "2", "seventh": None if n < 7 else "1", "wrong": "9"}[name]
+
+    def extract(name, label):
+        n = times(f"e-{name}")
+        return '{"extracted_data":[]}' if n < 6 else '{"extracted_data":[{"Size":"1"}]}'
+
+    names = spark.createDataFrame([(n,) for n in ("third", "sixth", "seventh", "wrong")], "image_name string").coalesce(1)
+    tries = scoring.Tries(delay=0.01, jitter=0.01)
+    assert {r.image_name: (r.label, r.round) for r in scoring.classify_images(names, classify, tries=tries).collect()} == {"third": (1, 1), "sixth": (2, 2), "seventh": (None, None), "wrong": (None, None)}
+    assert {n: len((tmp_path / f"c-{n}").read_text()) for n in ("third", "sixth", "seventh", "wrong")} == {"third": 3, "sixth": 6, "seventh": 6, "wrong": 2}
+    found = scoring.extract_items(names.filter("image_name = 'third'"), classify, extract, tries=tries)
+    assert [(r.stage, r.label) for r in found.collect()] == [("done", 1)] and len((tmp_path / "e-third").read_text()) == 6
+    assert scoring.Tries(delay=2, growth=1.5, jitter=1).longest(45) == 3 * 45 + (2 + 1) + (3 + 1)
+
+
+def test_entropy_of_files_and_long_texts(spark, tmp_path):
+    import math
+    import os
+
+    files = {"flat.png": b"\x07" * 5000, "empty.jpg": b"", "two.PNG": b"\x00\xff" * 100, "noise.jpeg": os.urandom(20_000), "not.txt": b"abc"}
+    for name, raw in files.items():
+        (tmp_path / name).write_bytes(raw)
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.entropy, r.noisy) for r in images.entropy_filter(images.file_entropy(spark, str(tmp_path), tables.IMAGES)).collect()}
+    # Spark lists no empty files.
+    assert set(got) == set(files) - {"not.txt", "empty.jpg"}
+    assert got["flat.png"] == (5000, 0.0, True) and got["two.PNG"][1:] == (pytest.approx(math.log(2)), True) and got["noise.jpeg"][1] > 5.5 and got["noise.jpeg"][2] is False
+    long = "ab" * 1_200_000 + "\U0010ffff"
+    assert images.char_counts(long, 1000)[[97, 98, 0x10FFFF]].tolist() == [1_200_000, 1_200_000, 1] and images.char_counts(long).sum() == len(long)
 
 
 def test_ranking_without_price_data(spark):
@@ -248,7 +359,7 @@ def test_extraction_rounds_and_failures(spark, tmp_path):
 
     names = ["fine_page_3.jpg", "late.jpg", "odd.jpg", "flaky.jpg", "blank.jpg", "second.jpg", "bad.jpg"]
     images_of = spark.createDataFrame([(n,) for n in names], "image_name string")
-    items, failed = match.page_items(images_of, classify, extract)
+    items, failed = match.page_items(images_of, classify, extract, scoring.Tries(delay=0.01, jitter=0))
     assert sorted((r.image_name, r.Cluster, r.Page_Number) for r in items.collect()) == [("fine_page_3.jpg", 1, 3), ("flaky.jpg", 1, None), ("late.jpg", 2, None), ("second.jpg", 1, None)]
     assert {r.image_name: r.stage for r in failed.collect()} == {"odd.jpg": "classification", "blank.jpg": "extraction", "bad.jpg": "extraction"}
     assert (tmp_path / "e-fine_page_3.jpg").read_text() == "x" and (tmp_path / "e-blank.jpg").read_text() == "xx"
