@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from shelfmark.functions import text as tx
 from shelfmark.operators import clean, images, pairs, reconcile, scoring, vectors
 from shelfmark.plans import match, views
 from shelfmark.plans import sql as q
-from shelfmark.sources import tables
+from shelfmark.sources import sheets, tables
 from shelfmark.sources.work import store, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +69,20 @@ def parse_items(spark, sf):
 
 
 def write_results(spark, sf):
-    out = f"{work_folder(spark)}/results-{spark.sparkContext.applicationId}"
+    out = f"{work_folder(spark)}/results-{uuid.uuid4().hex}"
     results = {"master": _master(spark, sf), "flyer": _printed(spark, sf), "empty": _printed(spark, sf).filter("false")}
-    tables.write_results(results, out)
-    return reconcile.row_counts({name: spark.read.parquet(f"{out}/{name}") for name in results})
+    tables.publish_results(results, out)
+    return reconcile.row_counts(tables.published_results(spark, out))
+
+
+def sheets_round_trip(spark, sf):
+    """A table written to spreadsheets and read from them: numbers, nulls, blanks, the text `Null`, markup, dates."""
+    sheets.register(spark)
+    text = F.when(c("p_partkey") % 5 == 0, None).when(c("p_partkey") % 5 == 1, "").when(c("p_partkey") % 5 == 2, "Null").when(c("p_partkey") % 5 == 3, F.concat(F.lit(" <&> "), c("p_name"))).otherwise(c("p_name"))
+    rows = _table(spark, sf, "part", ["p_partkey", "p_name", "p_size", "p_retailprice"]).select("p_partkey", text.alias("note"), "p_size", "p_retailprice", (c("p_size") > 10).alias("large"), F.date_add(F.lit("2020-02-27").cast("date"), (c("p_partkey") % 400).cast("int")).alias("since"))
+    out = f"{work_folder(spark)}/sheets-{uuid.uuid4().hex}"
+    rows.write.format("sheets").mode("append").save(out)
+    return spark.read.format("sheets").schema(rows.schema).load(out)
 
 
 def normalize_columns(spark, sf):
@@ -396,6 +407,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "r03_parse_label_json": (parse_label, q.PARSE_LABEL),
     "r04_parse_items_json": (parse_items, q.PARSE_ITEMS),
     "r05_write_results": (write_results, q.WRITE_RESULTS),
+    "r05_sheets": (sheets_round_trip, q.SHEETS),
     "r06_normalize_columns": (normalize_columns, q.NORMALIZE_COLUMNS),
     "r07_prefix_columns": (prefix_columns, q.PREFIX_COLUMNS),
     "r08_select_existing": (select_existing, q.SELECT_EXISTING),

@@ -188,6 +188,8 @@ _EACH = "SELECT image_row, image_name, unnest(json_extract(items_json, '$.extrac
 PARSE_ITEMS = _with("responses") + f" SELECT image_row, {_ITEM} FROM ({_EACH})"
 LIST_FILES = "SELECT 'region' AS \"table\", count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part"
 WRITE_RESULTS = _with("master0", "printed") + " SELECT 'master' AS result, count(*) AS rows FROM master0 UNION ALL SELECT 'flyer', count(*) FROM printed UNION ALL SELECT 'empty', 0"
+SHEETS = """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Null' WHEN 3 THEN ' <&> ' || p_name ELSE p_name END AS note, p_size, p_retailprice, p_size > 10 AS large,
+CAST(DATE '2020-02-27' + CAST(p_partkey % 400 AS INT) AS DATE) AS since FROM part"""
 NORMALIZE_COLUMNS = "SELECT p_partkey AS part_key, p_name AS Name_short, p_size AS size_oz FROM part"
 PREFIX_COLUMNS = _with("printed") + " SELECT flyer_row, Description AS PDF_Description, Size AS PDF_Size, Pack AS PDF_Pack, Retail_Factor AS PDF_Retail_Factor, Retail_Amt AS PDF_Retail_Amt, Page_Number AS PDF_Page_Number FROM printed"
 SELECT_EXISTING = _with("master0") + " SELECT Description, BRAND, master_row FROM master0"

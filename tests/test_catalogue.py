@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from shelfmark.operators import clean, images, pairs, reconcile, scoring, tiles, vectors
 from shelfmark.plans import match, views
-from shelfmark.sources import tables
+from shelfmark.sources import sheets, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -389,3 +389,75 @@ def test_unmatched_flyer_rows_and_unions(spark):
 def test_char_entropy_of_odd_texts(spark):
     rows = spark.createDataFrame([("",), (None,), ("a",), ("ab\n\U0001f600",), ("a.b.",)], "t string").select("t", images.char_entropy(F.col("t")).alias("e")).collect()
     assert [r.e if r.e is None else round(r.e, 6) for r in rows] == [None, None, 0.0, 1.386294, 1.039721]
+
+
+def test_results_appear_at_once(spark, tmp_path):
+    """A run that fails in its third table leaves the five tables of before whole."""
+    names = ["Exact_Matches", "Partial_Matches", "PDF_Unmatched", "Excel_Unmatched", "Match_Flag"]
+    tables_of = lambda n: {name: spark.createDataFrame([(n, name)], "n long, name string") for name in names}
+    out = f"{tmp_path}/results"
+    with pytest.raises(ValueError, match="no published"):
+        tables.published_results(spark, out)
+    assert tables.publish_results(tables_of(1), out) == 1
+    broken = tables_of(2)
+    broken["PDF_Unmatched"] = broken["PDF_Unmatched"].select(F.raise_error(F.lit("no")).alias("n"))
+    with pytest.raises(Exception, match="no"):
+        tables.publish_results(broken, out)
+    read = lambda number=None: {name: df.first()["n"] for name, df in tables.published_results(spark, out, number).items()}
+    assert read() == dict.fromkeys(names, 1)
+    old = tables.published_results(spark, out)
+    assert tables.publish_results(tables_of(3), out) == 2 and read() == dict.fromkeys(names, 3)
+    assert read(1) == dict.fromkeys(names, 1) and old["Match_Flag"].first()["n"] == 1
+    assert tables.publish_results(tables_of(4), out) == 3 and read() == dict.fromkeys(names, 4) and read(2) == dict.fromkeys(names, 3)
+    with pytest.raises(Exception, match="editions/1|PATH_NOT_FOUND"):
+        read(1)
+
+
+def test_sheets_round_trip(spark, tmp_path):
+    import datetime as dt
+    from decimal import Decimal
+
+    sheets.register(spark)
+    schema = "id long, `a text` string, n int, x double, b boolean, d date, t timestamp, m decimal(20,4)"
+    odd = ["Null", "", " ", " a\tb\n", "a\r\nb\x0b\x01", "_x0041_", "<b> & 'c' \"d\" ]]>", "Ünïcödé \U0001f600", "007", "=1+1", "x" * 40_000, None]
+    rows = [(2**53 + i, t, -i, i / 7, i % 2 == 0, dt.date(1999, 12, 31) + dt.timedelta(i), dt.datetime(2024, 2, 29, 12, 30, i, tzinfo=dt.UTC), Decimal(i) / 8) for i, t in enumerate(odd)]
+    rows += [(None,) * 8, (-5, "nan", None, float("nan"), None, None, None, Decimal("1234567890123456.0001")), (6, "inf", 1, float("-inf"), None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    out = f"{tmp_path}/sheets"
+    df.repartition(3).write.format("sheets").mode("overwrite").save(out)
+    key = lambda rs: sorted(map(repr, rs))
+    got = spark.read.format("sheets").schema(schema).load(out)
+    assert key(got.collect()) == key(df.collect()) and got.rdd.getNumPartitions() == 3
+    # Written again in place; read as text, by the header; columns by name.
+    df.limit(2).coalesce(1).write.format("sheets").mode("overwrite").save(out)
+    text = tables.read_table(spark, out, ["a text", "n"], "sheets")
+    assert sorted(map(tuple, text.collect())) == [("", "-1"), ("Null", "0")]
+    df.limit(1).coalesce(1).write.format("sheets").mode("append").save(f"file://{out}")
+    assert spark.read.format("sheets").schema("n int, gone string").load(out).filter("n = 0 AND gone IS NULL").count() == 2
+    df.limit(0).write.format("sheets").mode("overwrite").save(out)
+    assert spark.read.format("sheets").load(out).count() == 0
+
+
+def test_sheets_of_other_programs_and_failed_writes(spark, tmp_path):
+    import zipfile
+
+    sheets.register(spark)
+    main, rel = sheets._MAIN.strip("{}"), sheets._REL.strip("{}")
+    with zipfile.ZipFile(tmp_path / "book.XLSX", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="One" sheetId="1" r:id="a"/><sheet name="Two" sheetId="2" r:id="b"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="p"><Relationship Id="a" Target="worksheets/s1.xml"/><Relationship Id="b" Target="/xl/worksheets/s2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>Name</t></si><si><r><t>Gre</t></r><r><t xml:space="preserve">en </t></r><rPh><t>no</t></rPh></si></sst>')
+        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><numFmts><numFmt numFmtId="200" formatCode="yyyy"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="200"/></cellXfs></styleSheet>')
+        sheet = '<worksheet xmlns="%s"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="str"><f>1</f><v>Day</v></c></row><row><c t="s"><v>1</v></c><c r="C2" s="1"><v>45000</v></c></row><row r="3"><c r="A3" t="b"><v>1</v></c><c r="B3"/><c r="C3"><f>1+1</f><v>2.5</v></c></row></sheetData></worksheet>'
+        for name in ("s1", "s2"):
+            z.writestr(f"xl/worksheets/{name}.xml", sheet % main)
+    one = spark.read.format("sheets").load(str(tmp_path))
+    assert one.columns == ["Name", "column_2", "Day"]
+    assert [tuple(r) for r in one.collect()] == [("Green ", None, "2023-03-15"), ("true", None, "2.5")]
+    every = spark.read.format("sheets").schema("Day date").option("sheet", "*").load(str(tmp_path))
+    assert sorted(str(r[0]) for r in every.collect()) == ["2023-03-15", "2023-03-15", "None", "None"] and every.rdd.getNumPartitions() == 2
+    assert spark.read.format("sheets").schema("Name string").option("sheet", "Two").load(str(tmp_path)).count() == 2
+    bad = spark.range(10).repartition(2).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("Name"))
+    with pytest.raises(Exception, match="no"):
+        bad.write.format("sheets").mode("overwrite").save(str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["book.XLSX"]
