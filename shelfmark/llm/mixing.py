@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import n_words_of, store, table, text_of
+from .common import by_part, n_words_of, range_parts, store, table, text_of
 
 BLOCK_WORDS, MOST_REPEATS = 32, 3
 #: The golden ratio's fraction in 32 bits, and the period kept so that products fit a long.
@@ -27,28 +27,42 @@ def golden_point(k: Column) -> Column:
     return F.pmod((k % PERIOD + 1) * F.lit(GOLDEN), F.lit(2**32)) / F.lit(float(2**32))
 
 
+def _running(rows: DataFrame, name: str, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """`rows` with each sum's total over the rows before, in order: within ranges, after the sums of the ranges before. Only one row a range is ordered as a whole."""
+    ranges, n = range_parts(rows, name, *order)
+    each = ranges.groupBy("part").agg(*[F.sum(v).alias(f"{k}_of") for k, v in sums.items()])
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.select("part", *[F.coalesce(F.sum(f"{k}_of").over(before), F.lit(0)).alias(f"{k}_base") for k in sums])
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = by_part(ranges, n).withColumns({k: F.coalesce(F.sum(v).over(within), F.lit(0)) for k, v in sums.items()})
+    out = out.join(F.broadcast(each), "part").withColumns({k: F.col(k) + F.col(f"{k}_base") for k in sums})
+    return out.drop("part", *[f"{k}_base" for k in sums])
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_REPEATS) -> DataFrame:
     """source, source_size -> with target and the interval [low, high) of its share.
 
     All sizes are shared out by weight; a source stops at `most` times its size and what is over goes to the others by weight. Sorted by
-    how soon they fill, the full sources are a prefix, so one pass of running sums finds the level of the rest.
+    how soon they fill, the full sources are a prefix, so one pass of running sums finds the level of the rest. Sources are ranked and summed in ranges, so they may be as many as hosts or paths are.
     """
-    n = len(weights)
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    cases = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.row_number().over(order) - 1) % n + 1)
-    rows = sizes.withColumn("weight", cases).withColumn("full", F.col("source_size") * float(most))
-    fill = Window.orderBy(F.col("full") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, every = fill.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(1))
-    rows = rows.withColumn("total", F.sum("source_size").over(every).cast("double"))
-    left = F.col("total") - F.coalesce(F.sum("full").over(before), F.lit(0.0))
-    weight_left = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    rows = rows.withColumn("level", left / weight_left)
+    n, one = len(weights), F.lit(1)
+    by_source = [F.col("source").asc_nulls_last()]
+    ranked = _running(sizes, "sources", by_source, {"place": one})
+    rows = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % n + 1).cast("int"))).drop("place")
+    rows = rows.withColumn("full", F.col("source_size") * float(most))
+    total, all_weights = rows.agg(F.coalesce(F.sum("source_size"), F.lit(0)).cast("double"), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    rows = _running(rows, "filling", [F.col("full") / F.col("weight"), *by_source], {"filled": F.col("full"), "weighed": F.col("weight")})
     # Sources that the level at their own place would overfill are full; the first that it doesn't sets the level for all the rest.
-    rows = rows.withColumn("is_full", F.col("full") <= F.col("level") * F.col("weight"))
-    level = F.min(F.when(~F.col("is_full"), F.struct(F.col("full") / F.col("weight"), "level"))).over(every)["level"]
+    rows = rows.withColumn("level", (F.lit(total) - F.col("filled")) / (F.lit(all_weights) - F.col("weighed")))
+    rows = store(rows.withColumn("is_full", F.col("full") <= F.col("level") * F.col("weight")), "levels")
+    # Of sources that fill equally soon, the first has the highest level.
+    first = rows.filter("NOT is_full").agg(F.min(F.struct((F.col("full") / F.col("weight")).alias("soon"), (-F.col("level")).alias("less"))).alias("first")).first()["first"]
+    level = F.lit(-first["less"] if first else 0.0)
     rows = rows.withColumn("target", F.when(F.col("is_full"), F.col("full")).otherwise(F.least("full", F.col("weight") * level)))
-    rows = rows.withColumn("high", F.try_divide(F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.sum("target").over(every)))
-    return rows.withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0.0))).select("source", "source_size", "target", "low", "high", "total")
+    rows = _running(rows.select("source", "source_size", "target"), "shares", by_source, {"before": F.col("target")})
+    whole = F.lit(rows.agg(F.sum("target")).first()[0] or 0.0)
+    rows = rows.withColumn("low", F.coalesce(F.try_divide("before", whole), F.lit(0.0))).withColumn("high", F.try_divide(F.col("before") + F.col("target"), whole))
+    return rows.select("source", "source_size", "target", "low", "high", F.lit(total).alias("total"))
 
 
 def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS, chunk: int = 1 << 16) -> DataFrame:

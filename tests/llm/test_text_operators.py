@@ -534,3 +534,27 @@ def test_pii_in_runs_of_letters():
         began = time.process_time()
         found = list(pii.mentions(text))
         assert time.process_time() - began < 1 and len(found) == text.endswith(".com")
+
+
+def test_targets_of_many_sources(spark):
+    """Ranks, levels and shares over ranges of sources against plain Python."""
+    rng = random.Random(8)
+    sizes = {**{f"s{rng.randrange(10**6):06d}é": rng.choice([0, 1, 7, rng.randrange(10**5), 10**7]) for _ in range(500)}, None: 12345, "": 3}
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    total, want, open_ = sum(sizes.values()), {}, set(sizes)
+    while open_:
+        level = (total - sum(want.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if 3 * sizes[s] <= level * weight[s]}
+        if not full:
+            want |= {s: level * weight[s] for s in open_}
+            break
+        want |= {s: 3.0 * sizes[s] for s in full}
+        open_ -= full
+    rows = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(5)).collect()
+    assert len(rows) == len(sizes) and {r.source: r.target for r in rows} == pytest.approx(want)
+    at = 0.0
+    for r in sorted(rows, key=lambda r: order.index(r.source)):
+        assert r.low == pytest.approx(at, abs=1e-9)
+        at = r.high
+    assert at == pytest.approx(1) and mixing.targets(spark.createDataFrame([], "source string, source_size long")).collect() == []
