@@ -186,7 +186,7 @@ PARSE_LABEL = _with("responses") + " SELECT image_row, CASE WHEN json_valid(labe
 _ITEM = ", ".join(f"json_extract_string(x, '$.{f}') AS {f}" for f in ("Size", "Pack", "RetailAmount", "RetailFactor", "Description", "Ad"))
 _EACH = "SELECT image_row, image_name, unnest(json_extract(items_json, '$.extracted_data[*]')) AS x FROM responses"
 PARSE_ITEMS = _with("responses") + f" SELECT image_row, {_ITEM} FROM ({_EACH})"
-LIST_FILES = "SELECT 'region' AS \"table\", count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part"
+LIST_FILES = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split())
 WRITE_RESULTS = _with("master0", "printed") + " SELECT 'master' AS result, count(*) AS rows FROM master0 UNION ALL SELECT 'flyer', count(*) FROM printed UNION ALL SELECT 'empty', 0"
 SHEETS = """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Null' WHEN 3 THEN ' <&> ' || p_name ELSE p_name END AS note, p_size, p_retailprice, p_size > 10 AS large,
 CAST(DATE '2020-02-27' + CAST(p_partkey % 400 AS INT) AS DATE) AS since FROM part"""
