@@ -40,6 +40,12 @@ def coded(texts: list[str]) -> Coded:
     return out if len(texts) else out[np.arange(0)]
 
 
+def _cut(codes: np.ndarray, sizes: np.ndarray) -> Coded:
+    """Rows cut to a size each."""
+    sizes = np.maximum(sizes, 0)
+    return Coded(np.where(np.arange(codes.shape[1])[None, :] < sizes[:, None], codes, 0), sizes)
+
+
 def _by_length(a: Coded, b: Coded) -> tuple[Coded, Coded]:
     """The shorter and the longer text of each pair."""
     width = max(a.codes.shape[1], b.codes.shape[1])
@@ -210,9 +216,7 @@ def _common_first(x: Words, y: Words) -> tuple[Coded, Coded]:
     order = np.argsort(np.where(common, 0, np.where(letter, 1, 2)), axis=1, kind="stable")
     codes, size = np.take_along_axis(x.distinct.codes, order, 1), np.maximum(common.sum(1) - 1, 0)
     # The space after the last word goes.
-    place = np.arange(codes.shape[1])[None, :]
-    whole = Coded(np.where(place < x.distinct.sizes[:, None] - 1, codes, 0), np.maximum(x.distinct.sizes - 1, 0))
-    return whole, Coded(np.where(place < size[:, None], codes, 0), size)
+    return _cut(codes, x.distinct.sizes - 1), _cut(codes, size)
 
 
 def _token_ratios(x: Words, y: Words) -> np.ndarray:
@@ -234,7 +238,7 @@ def _partial_token_ratios(x: Words, y: Words, above: np.ndarray) -> np.ndarray:
     found = partial_ratios(a.ordered, b.ordered, above[rest])
     # Without repeated words, the distinct words are the sorted words.
     again = np.flatnonzero((a.ordered.sizes != np.maximum(a.distinct.sizes - 1, 0)) | (b.ordered.sizes != np.maximum(b.distinct.sizes - 1, 0)))
-    whole = lambda w: Coded(w.distinct.codes, np.maximum(w.distinct.sizes - 1, 0))
+    whole = lambda w: _cut(w.distinct.codes, w.distinct.sizes - 1)
     worded_ = np.flatnonzero((a.distinct.sizes > 0) & (b.distinct.sizes > 0))
     again = np.intersect1d(again, worded_)
     found[again] = np.maximum(found[again], partial_ratios(whole(a[again]), whole(b[again]), above[rest][again]))

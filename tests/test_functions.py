@@ -135,3 +135,33 @@ def test_ratios_against_slow_versions():
     for _ in range(300):
         a, b = rng.choice(some), rng.choice(some)
         assert fuzzy.partial_ratio(a, b) == partial(a, b) and abs(fuzzy.wratio(a, b) - wratio(a, b)) < 1e-9, (a, b)
+
+
+def test_ratios_of_batches_are_those_of_single_pairs(monkeypatch):
+    """Many pairs at once, of all lengths about a word of 64 letters and with repeated words, in lanes of few and of many."""
+    import numpy as np
+
+    rng = random.Random(5)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    xs = [text(n, "ab  c") for n in (0, 1, 2, 9, 31, 63, 64, 65, 127, 128, 129, 200)] + ["tea tea tea", "tea bag", " ", "bag  tea", "a b c d"]
+    ys = [text(n, "abcd ") for n in (0, 1, 3, 8, 40, 64, 65, 130)] + ["tea", "bag of tea", "x y z", "bag tea"]
+    i, j = (a.ravel() for a in np.meshgrid(range(len(xs)), range(len(ys)), indexing="ij"))
+    for lanes in (7, 1 << 16):
+        monkeypatch.setattr(fuzzy, "LANES", lanes)
+        plain = fuzzy.ratios(fuzzy.coded(xs)[i], fuzzy.coded(ys)[j])
+        partial, weighted = fuzzy.pair_partial_ratios(xs, i, ys, j), fuzzy.pair_wratios(xs, i, ys, j)
+        for k in rng.sample(range(len(i)), 60):
+            a, b = xs[i[k]], ys[j[k]]
+            assert plain[k] == (200 * slow_lcs(a, b) / (len(a) + len(b)) if a or b else 100)
+            assert partial[k] == fuzzy.partial_ratio(a, b) and weighted[k] == fuzzy.wratio(a, b), (a, b)
+    none = np.zeros(0, int)
+    assert len(fuzzy.pair_wratios([], none, [], none)) == len(fuzzy.pair_partial_ratios(["a"], none, ["b"], none)) == 0
+
+
+def test_searches_above_a_bound_find_what_is_above():
+    rng = random.Random(6)
+    a, b = (fuzzy.coded(["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 50))) for _ in range(300)]) for _ in range(2))
+    every = fuzzy.partial_ratios(a, b)
+    for above in (0.0, 50.0, 70.0, 100.0):
+        found = fuzzy.partial_ratios(a, b, above)
+        assert (found[every > above] == every[every > above]).all() and (found[every <= above] <= above).all()
