@@ -27,6 +27,34 @@ def test_ordinal_fit_shares_weights_and_orders_thresholds():
     assert w == pytest.approx([2, -1, 0], abs=0.25) and t == pytest.approx([0.5, 2.0], abs=0.25) and list(levels) == [0, 1, 2]
 
 
+def test_ordinal_fit_against_a_pattern_search():
+    """The likelihood written out row by row, and its maximum found without derivatives."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 3, (300, 3)).astype(float)
+    y = np.digitize(x @ np.array([1.0, -0.7, 0.2]) + rng.logistic(size=300), [0.0, 1.5])
+    penalty = 0.8
+
+    def loss(p):
+        w, cuts = p[:3], [-np.inf, p[3], p[4], np.inf]
+        if p[3] >= p[4]:
+            return np.inf
+        below = lambda cut, s: 1 / (1 + np.exp(s - cut))
+        return -sum(np.log(below(cuts[g + 1], row @ w) - below(cuts[g], row @ w)) for row, g in zip(x, y, strict=True)) + penalty / 2 * (w @ w)
+
+    at, step = np.array([0.0, 0.0, 0.0, -0.5, 0.5]), 0.5
+    best = loss(at)
+    with np.errstate(over="ignore"):
+        while step > 1e-4:
+            tried = [(loss(at + d), i, sign) for i in range(5) for sign in (1, -1) for d in [sign * step * np.eye(5)[i]]]
+            low, i, sign = min(tried)
+            if low < best:
+                best, at = low, at + sign * step * np.eye(5)[i]
+            else:
+                step /= 2
+    w, t, levels = toxicity.fit(x, y, penalty)
+    assert [*w, *t] == pytest.approx(at, abs=5e-3) and loss(np.array([*w, *t])) <= best + 1e-6 and list(levels) == [0, 1, 2]
+
+
 def test_toxicity_on_labelled_and_odd_rows(spark):
     rng = random.Random(1)
     plain = [f"{a}{b}" for a in "kal mun tor ves pin".split() for b in "ra so ti lu men do".split()]
@@ -558,3 +586,40 @@ def test_targets_of_many_sources(spark):
         assert r.low == pytest.approx(at, abs=1e-9)
         at = r.high
     assert at == pytest.approx(1) and mixing.targets(spark.createDataFrame([], "source string, source_size long")).collect() == []
+
+
+def _said(rng):
+    """(html, text) of a block's words, with markup, references and white space of all kinds."""
+    words = []
+    for _ in range(rng.randrange(2, 12)):
+        w = "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(2, 9)))
+        words.append(rng.choice([(w, w)] * 6 + [(f"<b>{w}</b>", w), (f"<a href='/{w}'>{w}</a>", w), (f"<em class='ad-free'>{w}</em>", w), (f"{w}&amp;co", f"{w}&co"), (f"caf&eacute;{w}", f"café{w}"), (f"{w}&#39;s", f"{w}'s"), (f"{w}<!-- note -->", w), (f"{w} &lt; 3", f"{w} < 3")]))
+    spaces = [" ", "  ", "\n", "\t", " \n  ", "<br>", "&nbsp;"]
+    return "".join(h + (rng.choice(spaces) if i + 1 < len(words) else "") for i, (h, _) in enumerate(words)), " ".join(t for _, t in words)
+
+
+def _odd_page(rng):
+    """(html, expected text) by construction: what is wanted is known as it is written."""
+    junk_of = ["<nav><ul><li>{}<li>{}</ul></nav>", "<aside>{}</aside>", "<footer>{}</footer>", "<form><label>{}</label><button>go</button></form>", "<div class='ad'>{}</div>", "<div class=\"box sidebar\">{}<p>{}</p></div>", "<div id='cookie-notice'>{}</div>",
+               "<section class='comments'><p>{}</p><article class='comment'><p>{}</p></article></section>", "<script>var x = '<p>{}</p>';</script>", "<style>p {{ x: '{}' }}</style>", "<div role='navigation'>{}</div>", "<div style='display: none'>{}</div>", "<ul class='breadcrumbs'><li>{}</ul>", "<p hidden>{}</p>"]
+    junk = lambda: rng.choice(junk_of).format(_said(rng)[0], _said(rng)[0])
+    body, want = [], []
+    for kind in ["h1", *(rng.choice(["p", "p", "p", "h2", "ul", "quote", "table", "junk", "open", "pre"]) for _ in range(rng.randrange(1, 9)))]:
+        (h1, t1), (h2, t2) = _said(rng), _said(rng)
+        if kind == "junk":
+            body.append(junk())
+            continue
+        body.append({"h1": f"<h1>{h1}</h1>", "h2": f"<h2 id='share'>{h1}</h2>", "p": f"<p class='lead sharebox'>{h1}</p>", "open": f"<p>{h1}", "ul": f"<ul><li>{h1}<li>{h2}</ul>", "quote": f"<blockquote><p>{h1}</p>{h2}</blockquote>", "table": f"<table><tr><td>{h1}</td><td>{h2}</td></tr></table>", "pre": f"<pre>{h1}</pre>"}[kind])
+        want += [t1, t2] if kind in ("ul", "quote") else [f"{t1} {t2}"] if kind == "table" else [t1]
+    frame = rng.choice(["<article>{}</article>", "<main>{}</main>", "<main><div class='content'><article>{}</article></div></main>", "<div class='wrap'>{}</div>", "<div role=\"main\">{}</div>"])
+    around = [junk() for _ in range(rng.randrange(4))], [junk() for _ in range(rng.randrange(4))]
+    head = f"<!DOCTYPE html><html><head><title>{_said(rng)[0]}</title></head><body><header>{_said(rng)[0]}</header>"
+    return head + "\n".join(around[0]) + frame.format("\n ".join(body)) + "\n".join(around[1]) + "</body></html>", "\n\n".join(want)
+
+
+def test_html_pages_known_by_construction(spark):
+    rng = random.Random(10)
+    pages = [(i, f"http://h{i % 7}.example/{i}", *_odd_page(rng)) for i in range(220)]
+    got = extract(spark, [p[:3] for p in pages])
+    for i, _, html, want in pages:
+        assert got[i].text == want, html
