@@ -8,7 +8,8 @@ are false positives.
 Labelled findings are a table (the feature columns, value, before, after and `label`). The given tables have none, so `planted` writes texts in which it is
 known by construction what is a secret: drawn keys, tokens and passwords where secrets stand, and numbers, words and names of the corpus, digests under their names, paths and
 placeholders, both there and elsewhere. They pass the same scan as documents; no label is derived from a feature. The forest sees at most `SAMPLE`
-findings of each label, those with the least hashes. The vocabulary counts all words of all documents; the planted texts use `WORDS` of them.
+findings of each label, those with the least hashes. The vocabulary counts all words of all documents and keeps those with a share of them, so that it means
+the same at every size; the planted texts use `WORDS` of them. Runs of letters are cut greedily into the longest words of the vocabulary, so that `rivers_andmountains` is covered as a whole.
 
 Defined results: null and empty texts have no candidates, a null source is an empty path. Rows that repeat a doc_id are scanned each by its own
 text, and texts of any length whole. Of equal values in one word the first counts. Without findings of both labels nothing can be learned: every probability is the share of
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import SPACES, store, table, text_of
 
 CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
-SHORTEST, SAMPLE, LEAST_USES, SECRET, PLANTED, WORDS = 6, 2000, 20, 0.5, 8000, 500
+SHORTEST, SAMPLE, SECRET, PLANTED, WORDS = 6, 2000, 0.5, 8000, 500
+#: A word of the vocabulary has this share of all words (so there are at most 500,000) and this many uses; within a longer run of letters it has at least `PIECE` letters.
+LEAST_SHARE, LEAST_USES, LONGEST, PIECE = 2e-6, 20, 24, 4
 #: Words near secrets, words near placeholders, and parts of paths.
 SECRET_NAMES = "(?i)(token|secret|passw|pwd|api_?key|access_?key|private_?key|auth|credential|bearer)"
 PLACEHOLDERS = "(?i)(example|dummy|sample|placeholder|changeme|your[_-]|xxxx|todo|redacted)"
@@ -75,20 +78,45 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.withColumn("whole", whole).select("*", F.posexplode(F.array_distinct(apart)).alias("nth", "value")).drop("whole")
 
 
-def vocabulary(docs: DataFrame, least: int = LEAST_USES) -> DataFrame:
-    """Words of three letters or more that the documents use often enough."""
+def vocabulary(docs: DataFrame, share: float = LEAST_SHARE, least: int = LEAST_USES) -> DataFrame:
+    """Words of 3 to `LONGEST` letters that are at least `share` of all words of three letters or more, and used at least `least` times."""
     words = docs.select(F.explode(F.split(F.lower(text_of()), "[^\\p{L}]+")).alias("part")).filter(F.length("part") >= 3)
-    return words.groupBy("part").agg(F.count(F.lit(1)).alias("uses")).filter(F.col("uses") >= least).select("part")
+    # Of a longer word only the front is kept, to count it.
+    words = words.select(F.substring("part", 1, LONGEST + 1).alias("part"))
+    uses = store(words.groupBy("part").agg(F.count(F.lit(1)).alias("uses")), "word-uses")
+    total = uses.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    return uses.filter((F.col("uses") >= max(least, share * total)) & (F.length("part") <= LONGEST)).select("part")
+
+
+def covered_letters(runs: DataFrame, known: DataFrame) -> DataFrame:
+    """run, part (distinct runs of the letters a-z, with a name) -> run, covered: how many of its letters words of the vocabulary cover, from left to right, the longest word at each place first."""
+    # The letters from each place of a run on, so that long runs are read once; a run shorter than any piece is its own front.
+    fronts = F.when(F.length("part") < PIECE, F.array("part")).otherwise(F.regexp_extract_all("part", F.lit(f"(?=([a-z]{{{PIECE},{LONGEST}}}))"), F.lit(1)))
+    places = runs.select("run", F.posexplode(fronts).alias("at", "front"))
+    size = F.length("front")
+    pieces = places.select("run", "at", "front", F.explode(F.sequence(F.least(size, F.lit(PIECE)), size)).alias("n")).select("run", "at", F.expr("substring(front, 1, n)").alias("piece"))
+    hits = pieces.join(known.select(F.col("part").alias("piece")), "piece").groupBy("run", "at").agg(F.max(F.length("piece")).alias("long"))
+    # One place at most for each letter of a run.
+    hits = hits.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("at", "long"))).alias("places"))
+    start = F.struct(F.lit(0).alias("next"), F.lit(0).alias("covered"))
+    step = lambda s, p: F.when(p["at"] < s["next"], s).otherwise(F.struct((p["at"] + p["long"]).alias("next"), (s["covered"] + p["long"]).alias("covered")))
+    return hits.select("run", F.aggregate("places", start, step)["covered"].alias("covered"))
 
 
 def featured(docs: DataFrame, known: DataFrame, salts: int = 16) -> DataFrame:
     """The candidates of `docs` (doc_id, text, source) with their features; `known` is the vocabulary (part)."""
-    found = store(candidates(docs).withColumn("salt", F.pmod(F.xxhash64("doc_id", "place"), F.lit(salts)).cast("int")), "candidates")
+    found = candidates(docs).withColumn("salt", F.pmod(F.xxhash64("doc_id", "place"), F.lit(salts)).cast("int"))
+    # Values and runs go by a digest, as they may be long.
+    found = store(found.withColumn("name", F.md5("value")), "candidates")
     # Each distinct value is measured against the vocabulary once, and goes back to its candidates under several salts, as one value may be a third of them.
-    parts = found.select("value").distinct().select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]{3,})"), F.lit(1))).alias("part"))
-    covered = store(parts.join(known, "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered")), "covered")
+    parts = found.groupBy("name").agg(F.first("value").alias("value")).select("name", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]{3,})"), F.lit(1))).alias("part"))
+    parts = store(parts.withColumn("run", F.md5("part")), "letter-runs")
+    # One run of letters may be a third of them: it is cut once.
+    words = store(covered_letters(parts.dropDuplicates(["run"]).select("run", "part"), known), "covered-letters")
+    times = parts.groupBy("name", "run").agg(F.count(F.lit(1)).alias("times"))
+    covered = store(times.join(words, "run").groupBy("name").agg(F.sum(F.col("covered") * F.col("times")).alias("covered")), "covered")
     covered = covered.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = found.join(covered, ["value", "salt"], "left").drop("salt")
+    out = found.join(covered, ["name", "salt"], "left").drop("salt", "name")
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "\u0001"), "[A-Z]", "\u0002"), "[0-9]", "\u0003")
     classes = F.regexp_replace(classes, "[^\u0001-\u0003]", "\u0004")
     vowels = F.regexp_replace(F.regexp_replace(F.lower("value"), "[aeiouy]", "+"), "[a-z]", "-")
