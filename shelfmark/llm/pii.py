@@ -2,7 +2,8 @@
 
 E-mail addresses, telephone numbers, IP addresses (v4 and v6), account (IBAN) and card numbers, and names after a form of address, with all further mentions of
 these names in the same text, are replaced by keyed
-surrogates of the same type: letters by letters of the same script and case, digits by digits in the same format, addresses that stay valid, card
+surrogates of the same type: letters by letters of the same script and case, digits by digits in the same format, addresses that stay valid but are nobody's (e-mail
+under reserved domains, IP in reserved blocks, private blocks in themselves), card
 numbers that stay or don't become valid alike, names with the gender that the form of address gives.
 
 An entity is what a mention means: an e-mail address in lower case, a number by its digits, a name by its part and lower-cased spelling. One entity has
@@ -38,7 +39,7 @@ from .common import small_batches, store, table
 
 #: For tests and comparison; a deployment passes a key of its own.
 KEY = b"shelfmark"
-SPARE, MOST = 64, 128
+SPARE, MOST, SMALL_BLOCK = 64, 128, 8
 
 # Forms of address by gender, reserved domains, and the syllables and endings of surrogate names.
 MALE, FEMALE, OPEN = ("Mr", "Herr", "Herrn", "Monsieur", "Sr", "Señor"), ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Sra", "Señora"), ("Dr", "Prof")
@@ -170,17 +171,30 @@ def _spelled(draws: Draws, text: str) -> str:
     return "".join(str(draws.below(10)) if c.isdigit() else _letter(draws, c) if c.isalpha() else c for c in text)
 
 
+def _ip(draws: Draws, entity: str, attempt: int) -> str:
+    """An address of the same private block, or of the block that is reserved for the future. A small block may be full: later attempts of its addresses are from the largest private one."""
+    parts = [int(p) for p in entity.split(".")]
+    some = [1 + draws.below(254) for _ in range(3)]
+    if parts[:2] == [192, 168] and attempt < SMALL_BLOCK:
+        return f"192.168.{some[0]}.{some[1]}"
+    if parts[0] == 172 and 16 <= parts[1] < 32 and attempt < SMALL_BLOCK:
+        return f"172.{16 + draws.below(16)}.{some[0]}.{some[1]}"
+    private = parts[0] == 10 or parts[:2] == [192, 168] or parts[0] == 172 and 16 <= parts[1] < 32
+    first = 10 if private else 127 if parts[0] == 127 else 240 + draws.below(15)
+    return ".".join(map(str, (first, *some)))
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The surrogate entity of an attempt, in the spelling of entities."""
     draws = Draws(key, kind, entity, attempt)
     if kind == "email":
         local, _, domain = entity.partition("@")
-        kept = next((r for r in RESERVED if domain == r or domain.endswith(f".{r}")), domain.rpartition(".")[2])
-        rest = domain[: len(domain) - len(kept)]
+        kept = next((r for r in RESERVED if domain == r or domain.endswith(f".{r}")), "")
+        rest, end = (domain[: len(domain) - len(kept)], kept) if kept else (domain[: domain.rindex(".") + 1], "example")
         # A short address has few of its kind: later attempts are longer.
-        return _spelled(draws, local + "x" * min(attempt, 40)) + "@" + _spelled(draws, rest) + kept
+        return _spelled(draws, local + "x" * min(attempt, 40)) + "@" + _spelled(draws, rest) + end
     if kind == "ip":
-        return ".".join(str(1 + draws.below(254)) for _ in range(4))
+        return _ip(draws, entity, attempt)
     if kind == "ipv6":
         # An address of the range for documentation.
         return str(ipaddress.IPv6Address((0x20010DB8 << 96) + sum(draws.below(1 << 16) << 16 * i for i in range(6))))
@@ -231,19 +245,26 @@ def surrogates(entities: DataFrame, key: bytes = KEY, spare: int = SPARE, most:
         return pd.Series([surrogate(key, *x) for x in zip(kind, entity, attempt, strict=True)])
 
     real = entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
-    rows = store(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", F.lit(0))), "surrogates")
+    rows, settled, tries = entities, None, 0
     while True:
-        turn = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity"))
-        taken = F.col("real").isNotNull() & (F.col("attempt") < spare)
-        checked = rows.join(real, ["kind", "surrogate"], "left").withColumn("clash", taken | (turn > 1))
-        checked = store(checked.select("kind", "entity", "attempt", "surrogate", "clash"), "surrogates")
-        if checked.filter("clash").isEmpty():
-            return checked.select("kind", "entity", "surrogate")
-        if (tries := checked.agg(F.max("attempt")).first()[0]) >= most:
-            full = [r[0] for r in checked.filter("clash").select("kind").distinct().orderBy("kind").limit(9).collect()]
+        # What is settled stays; only entities that clash are drawn and written again.
+        drawn = store(rows.withColumn("surrogate", draw("kind", "entity", F.lit(tries))), "drawn")
+        turn = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("entity"))
+        checked = drawn.withColumn("clash", turn > 1)
+        if tries < spare:
+            checked = checked.join(real, ["kind", "surrogate"], "left").withColumn("clash", F.col("clash") | F.col("real").isNotNull()).drop("real")
+        if settled is not None:
+            held = settled.select("kind", "surrogate", F.lit(True).alias("held"))
+            checked = checked.join(held, ["kind", "surrogate"], "left").withColumn("clash", F.col("clash") | F.col("held").isNotNull()).drop("held")
+        checked = store(checked.select("kind", "entity", "surrogate", "clash"), "surrogates")
+        good, rows = checked.filter("NOT clash").drop("clash"), checked.filter("clash").select("kind", "entity")
+        settled = good if settled is None else settled.unionByName(good)
+        if rows.isEmpty():
+            return settled.select("kind", "entity", "surrogate")
+        if tries >= most:
+            full = [r[0] for r in rows.select("kind").distinct().orderBy("kind").limit(9).collect()]
             raise ValueError(f"no distinct surrogates after {tries} attempts for {', '.join(full)}: the format has too few values")
-        again = checked.filter("clash").withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", draw("kind", "entity", "attempt"))
-        rows = checked.filter("NOT clash").unionByName(again).drop("clash")
+        tries += 1
 
 
 def _replace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -184,6 +184,42 @@ def test_secret_candidates(spark):
     assert got == {0: ["hunter2!"], 1: ["Tr0ub4dor&3"], 2: ["a8F$k2!x"], 3: ["abc123def}"[:9]], 6: ["ABCDEFGHIJKLMNOPQRST+/12"], 7: ["ABCDEFGHIJKLMNOPQRST"] * 3}
 
 
+def test_letter_runs_are_cut_into_words_of_the_vocabulary(spark):
+    rng = random.Random(4)
+    known = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(3, 8))) for _ in range(60)})
+    runs = sorted({"".join(rng.choice("abcd") for _ in range(rng.choice((3, 4, 5, 9, 30, 90)))) for _ in range(80)} | {"abc", "x" * 60_000, "".join(known) * 50})
+
+    def covered(run):
+        at = total = 0
+        while at < len(run):
+            sizes = [n for n in range(min(4, len(run)), min(24, len(run) - at) + 1) if run[at : at + n] in known]
+            at, total = (at + max(sizes), total + max(sizes)) if sizes else (at + 1, total)
+        return total
+
+    frame = lambda rows, name: spark.createDataFrame([(r,) for r in rows], f"{name} string")
+    got = secret_scan.covered_letters(frame(runs, "part").withColumn("run", F.md5("part")), frame(known, "part")).collect()
+    name = {hashlib.md5(r.encode()).hexdigest(): r for r in runs}
+    found = {name[r.run]: r.covered for r in got}
+    assert all(found.get(r, 0) == covered(r) for r in runs) and max(found.values()) > 1000
+
+
+def test_vocabulary_is_a_share_of_all_words(spark):
+    rows = [(i, "often " * 50 + "seldom " * 30 + "rare " + "v" * 30 + " if " * 90, None) for i in range(20)]
+    words = lambda share: {r.part for r in secret_scan.vocabulary(docs_of(spark, rows), share).collect()}
+    assert words(0.0) == {"often", "seldom", "rare"} and words(0.2) == {"often", "seldom"} and words(0.5) == {"often"}
+    assert secret_scan.vocabulary(docs_of(spark, rows[:1]).limit(0)).count() == 0
+
+
+def test_secrets_of_the_given_documents(spark):
+    """Every finding of the given documents, labelled apart from the scan: keys assigned to a token are secrets; numbers, words and table rows aren't."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    real = {(r.doc_id, v) for r in docs.select("doc_id", "text").collect() for v in re.findall(r'token = "([0-9a-f]{40})"', r.text or "")}
+    found = {(r.doc_id, r.value): r.is_secret for r in secret_scan.secrets(docs).collect()}
+    said = {k for k, v in found.items() if v}
+    assert len(real) >= 10 and len(found) > 5 * len(real)
+    assert len(said & real) >= 0.9 * len(real) and len(said & real) >= 0.9 * len(said), (real - said, said - real)
+
+
 # Personal data.
 def test_pii(spark):
     text = "Mail Ann.Lee@firma.example.org or ann.lee@firma.example.org, call +49 (089) 1234-567 or IP 10.20.30.40; card 4111 1111 1111 1111, 4111111111111111. Mrs. Ann Lee met Mr. Bo Lee. Herr Иван Петров."
@@ -623,3 +659,43 @@ def test_html_pages_known_by_construction(spark):
     got = extract(spark, [p[:3] for p in pages])
     for i, _, html, want in pages:
         assert got[i].text == want, html
+
+
+def test_pii_precision_and_recall_on_texts_known_by_construction(spark):
+    """Entities of each kind in prose with numbers that are none; what is replaced against what was put there."""
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    makers = [
+        lambda: f"{rng.choice('abc')}{digits(3)}.smith@mail{digits(2)}.com", lambda: f"8.{digits(2)}.{digits(2)}.{digits(2)}", lambda: f"192.168.{digits(1)}.{digits(2)}",
+        lambda: f"+44 20 7{digits(3)} {digits(4)}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", lambda: f"Frau {rng.choice(('Anna', 'Eva'))} Q{rng.choice('aeiou')}rtmann",
+    ]
+    others = ["in 1984", "version 3.14.15", "page 12 of 340", "at 10:45", "for 1,200,000 euros", "Order A-17", "the ratio 3:2"]
+    rows, put, places = [], 0, []
+    for i in range(210):
+        value = makers[i % 7]()
+        rows.append((i, f"we wrote {rng.choice(others)} to {value} and {rng.choice(others)} again", None))
+        places.append(value.removeprefix("Frau "))
+        put += 1 + (i % 7 == 6)
+    got = {r.doc_id: r for r in pii.pseudonymised(docs_of(spark, rows)).collect()}
+    hidden = sum(places[i] not in got[i].text for i in got)
+    assert hidden >= 0.95 * len(rows) and sum(r.n_mentions for r in got.values()) <= 1.05 * put
+    # What stands around an entity stays, wherever the entity alone was replaced.
+    whole = sum(bool(re.fullmatch(".*".join(map(re.escape, rows[i][1].split(places[i]))), got[i].text)) for i in got)
+    assert whole >= 0.95 * len(rows)
+
+
+def test_surrogate_addresses_are_nobodys():
+    ip = lambda a, t=0: pii.surrogate(pii.KEY, "ip", a, t)
+    for n in range(50):
+        assert ip(f"192.168.1.{n}").startswith("192.168.") and ip(f"10.0.0.{n}").startswith("10.") and ip(f"127.0.0.{n}").startswith("127.")
+        assert 240 <= int(ip(f"8.8.8.{n}").split(".")[0]) <= 254 and ip(f"192.168.1.{n}", pii.SMALL_BLOCK).startswith("10.")
+        assert re.fullmatch(r"172\.(1[6-9]|2\d|3[01])\.\d+\.\d+", ip(f"172.20.3.{n}"))
+    mail = pii.surrogate(pii.KEY, "email", "jane@gmail.com", 0)
+    assert re.fullmatch(r"[a-z]{4}@[a-z]{5}\.example", mail) and pii.surrogate(pii.KEY, "email", "a@x.example.org", 3).endswith(".example.org")
+
+
+def test_a_full_private_block_gets_distinct_surrogates(spark):
+    entities = spark.range(254 * 40).select(F.lit("ip").alias("kind"), F.concat(F.lit("192.168."), F.expr("id div 254"), F.lit("."), F.expr("id % 254")).alias("entity"))
+    new = pii.surrogates(entities).collect()
+    assert len({r.surrogate for r in new}) == len(new) == 254 * 40 and not {r.surrogate for r in new} & {r.entity for r in new}
+    assert all(r.surrogate.startswith(("192.168.", "10.")) for r in new)
