@@ -7,7 +7,6 @@ neither the batch nor the end of the task. Answers come back in the order of the
 from __future__ import annotations
 
 import json
-import queue
 import random
 import threading
 import time
@@ -54,38 +53,65 @@ class Tries:
 def answers(call: Callable, arguments: list[tuple], limits: Limits, longest: float | None = None) -> list[tuple[object, float | None]]:
     """(answer, seconds) of each call, in order; None for a call that fails, is late or is left when the batch's time is up, seconds None unless it returned in time."""
     out: list[tuple[object, float | None]] = [(None, None)] * len(arguments)
-    done: queue.SimpleQueue = queue.SimpleQueue()
-
-    def run(i: int) -> None:
-        began = time.monotonic()
-        try:
-            answer = call(*arguments[i])
-        except Exception:  # noqa: BLE001  a model's failure is a null answer
-            answer = None
-        done.put((i, answer, time.monotonic() - began))
-
-    running: dict[int, float] = {}
-    end, sent = time.monotonic() + limits.batch, 0
-    while (sent < len(arguments) or running) and time.monotonic() < end:
-        while sent < len(arguments) and len(running) < limits.at_once:
-            running[sent] = time.monotonic() + (longest or limits.call)
-            threading.Thread(target=run, args=(sent,), daemon=True).start()
-            sent += 1
-            if limits.pause and sent % limits.every == 0:
+    lock, sending, finished = threading.Lock(), threading.Lock(), threading.Event()
+    left, running, patience = iter(range(len(arguments))), {}, longest or limits.call
+    live, taken = min(limits.at_once, len(arguments)), True
+
+    def send() -> int | None:
+        """The next call, which is late from its time in `running` on."""
+        with sending:
+            with lock:
+                i = next(left, None) if taken else None
+            if i and limits.pause and i % limits.every == 0:
                 time.sleep(limits.pause)
-                break
-        # With room for more calls, only what is done already is taken.
-        wait = 0.0 if sent < len(arguments) and len(running) < limits.at_once else max(0.0, min(end, *running.values()) - time.monotonic())
-        try:
-            i, answer, seconds = done.get(timeout=wait) if wait else done.get_nowait()
-            if running.pop(i, None) is not None:
-                out[i] = answer, seconds
-        except queue.Empty:
-            pass
-        now = time.monotonic()
-        for i in [i for i, until in running.items() if until <= now]:
-            del running[i]
-    return out
+            with lock:
+                if i is None or not taken:
+                    return None
+                running[i] = time.monotonic() + patience
+                return i
+
+    def work() -> None:
+        """One call after the other, without a word to the batch's own thread but by the last; a thread whose call was given up ends, as another took its place."""
+        nonlocal live
+        while (i := send()) is not None:
+            began = time.monotonic()
+            try:
+                answer = call(*arguments[i])
+            except Exception:  # noqa: BLE001  a model's failure is a null answer
+                answer = None
+            now = time.monotonic()
+            with lock:
+                if (until := running.pop(i, None)) is None:
+                    return
+                if now <= until:
+                    out[i] = answer, now - began
+        with lock:
+            live -= 1
+            if not live:
+                finished.set()
+
+    end = time.monotonic() + limits.batch
+    for _ in range(live):
+        threading.Thread(target=work, daemon=True).start()
+    while live and (now := time.monotonic()) < end:
+        with lock:
+            late = [i for i, until in running.items() if until <= now]
+            for i in late:
+                del running[i]
+            # What starts later is late later.
+            wait = min(end, now + patience, *running.values()) - now
+        for _ in late:
+            threading.Thread(target=work, daemon=True).start()
+        finished.wait(wait)
+    with lock:
+        taken = False
+        return list(out)
+
+
+def spread(rows: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """`rows` dealt evenly to `parallelism` tasks, by default as many as shuffles have: a call takes long however few bytes its row has, so a small file's rows mustn't share a task."""
+    spark = rows.sparkSession
+    return rows.repartition(parallelism or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
 def _in_batches(call: Callable, arguments: list[tuple], limits: Limits, longest: float | None = None) -> list[tuple[object, float | None]]:
@@ -119,9 +145,8 @@ def score_pairs(
         return ask
 
     def answered(rows: DataFrame, limits: Limits) -> DataFrame:
-        rows = rows.repartition(parallelism) if parallelism else rows
         kinds = dict(rows.dtypes)
-        out = rows.mapInPandas(round_of(limits), ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string, seconds double")
+        out = (rows.repartition(parallelism) if parallelism else rows).mapInPandas(round_of(limits), ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string, seconds double")
         out = out.select(*keys, F.when(F.col("answer").isNotNull(), first_number(F.col("answer"))).alias(column), "seconds")
         if report is not None:
             report.append(Observation())
@@ -151,7 +176,7 @@ def _retried(call: Callable, tries: Tries, has_result: Callable[[object], bool])
     def run(*args):
         answer = None
         for i in range(tries.most):
-            if i:
+            if i and (tries.delay or tries.jitter):
                 time.sleep(tries.delay * tries.growth ** (i - 1) + random.uniform(0, tries.jitter))
             try:
                 answer = call(*args)
@@ -190,7 +215,7 @@ def classify_images(images: DataFrame, classify: Callable[[str], str | None], ro
 
     asked, out = images.select("image_name"), None
     for i in range(rounds):
-        found = store(asked.mapInPandas(ask, "image_name string, label int").withColumn("round", F.lit(i + 1)), "labels")
+        found = store(spread(asked).mapInPandas(ask, "image_name string, label int").withColumn("round", F.lit(i + 1)), "labels")
         out = found.filter("label IS NOT NULL") if out is None else out.union(found.filter("label IS NOT NULL"))
         left = found.filter("label IS NULL")
         asked = left.select("image_name")
@@ -215,7 +240,7 @@ def extract_items(images: DataFrame, classify: Callable[[str], str | None], extr
     labelled = classify_images(images, classify, rounds, tries, limits).drop("round")
     asked, out = labelled.filter("label IS NOT NULL"), None
     for _ in range(rounds):
-        found = asked.mapInPandas(ask, "image_name string, label int, items_json string")
+        found = spread(asked).mapInPandas(ask, "image_name string, label int, items_json string")
         found = found.withColumn("items", F.from_json("items_json", ITEMS)["extracted_data"]).withColumn("valid", F.coalesce(valid_items(), F.lit(False)))
         found = store(found.drop("items"), "answers")
         done = found.filter("valid")

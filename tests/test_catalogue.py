@@ -213,6 +213,32 @@ def test_answers_are_in_order_and_batches_end():
     assert scoring.answers(call, [], limits) == []
 
 
+def test_calls_share_threads():
+    import threading
+    import time
+
+    own = scoring.Limits(at_once=4, pause=0)
+    names = [a for a, _ in scoring.answers(lambda i: threading.current_thread().name, [(i,) for i in range(200)], own)]
+    assert None not in names and len(set(names)) <= 4
+    # A thread whose call is given up is replaced, and what it says later counts for nothing.
+    found = scoring.answers(lambda i: time.sleep(0.6 if i < 2 else 0) or i, [(i,) for i in range(50)], scoring.Limits(at_once=2, pause=0, call=0.2))
+    assert [a for a, _ in found] == [None, None, *range(2, 50)]
+
+
+def test_extraction_of_one_partition_is_spread(spark):
+    def task(name):
+        from pyspark import TaskContext
+
+        return str(TaskContext.get().partitionId())
+
+    names = spark.range(400).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("image_name")).coalesce(1)
+    item = lambda name, label: '{"extracted_data":[{"Size":"%s"}]}' % task(name)
+    now = scoring.Tries(delay=0, jitter=0)
+    found = scoring.extract_items(names, lambda name: "1", item, tries=now).collect()
+    assert len(found) == 400 and {r.stage for r in found} == {"done"} and len({r.items_json for r in found}) >= 4
+    assert scoring.extraction_summary(scoring.extract_items(names, lambda name: task(name) if task(name) in "123" else None, item, tries=now)).first().classified >= 100
+
+
 def test_model_is_loaded_once_a_worker(spark, tmp_path):
     marks = str(tmp_path)
 
