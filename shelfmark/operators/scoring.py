@@ -146,7 +146,7 @@ def score_pairs(
 
     def answered(rows: DataFrame, limits: Limits) -> DataFrame:
         kinds = dict(rows.dtypes)
-        out = (rows.repartition(parallelism) if parallelism else rows).mapInPandas(round_of(limits), ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string, seconds double")
+        out = spread(rows, parallelism).mapInPandas(round_of(limits), ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string, seconds double")
         out = out.select(*keys, F.when(F.col("answer").isNotNull(), first_number(F.col("answer"))).alias(column), "seconds")
         if report is not None:
             report.append(Observation())

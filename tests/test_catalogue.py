@@ -239,6 +239,17 @@ def test_extraction_of_one_partition_is_spread(spark):
     assert scoring.extraction_summary(scoring.extract_items(names, lambda name: task(name) if task(name) in "123" else None, item, tries=now)).first().classified >= 100
 
 
+def test_scoring_of_one_partition_is_spread(spark):
+    def task(a, b):
+        from pyspark import TaskContext
+
+        return str(TaskContext.get().partitionId())
+
+    rows = spark.range(400).selectExpr("id", "'x' AS PDF_Description", "'y' AS Excel_Description").coalesce(1)
+    scored = scoring.score_pairs(rows, ["id"], task, limits=scoring.Limits(pause=0)).collect()
+    assert len(scored) == 400 and len({r.LLM_Similarity for r in scored}) >= 4
+
+
 def test_model_is_loaded_once_a_worker(spark, tmp_path):
     marks = str(tmp_path)
 
