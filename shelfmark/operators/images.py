@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from shelfmark.sources import tables
 
 ENTROPY = 1.7
+#: Bytes up to which a file is read whole.
+SMALL_FILE = 4 << 20
 
 
 def clean_boxes(df: DataFrame) -> DataFrame:
@@ -82,15 +84,61 @@ def byte_entropy(content: Column) -> Column:
     return run(content)
 
 
-def file_entropy(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
-    """path, length and entropy of the contents of the files with one of the extensions, each read once."""
+def _octets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's lines (file, content) as one row a file: how often each octet is in them, how many octets and how many lines they are."""
+    sums: dict[str, np.ndarray] = {}
+    for batch in batches:
+        files, content = batch.column("file").dictionary_encode(), batch.column("content")
+        ends, raw = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1], np.frombuffer(content.buffers()[2] or b"", np.uint8)
+        owner = files.indices.to_numpy()
+        # Lines of a file follow each other.
+        cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            if first < last:
+                own = sums.setdefault(files.dictionary[int(owner[first])].as_py(), np.zeros(258, np.int64))
+                for at in range(ends[first], ends[last], 1 << 20):
+                    own[:256] += np.bincount(raw[at : min(at + (1 << 20), ends[last])], minlength=256)
+                own[256:] += ends[last] - ends[first], last - first
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64()))], names=["file", "sums"])
+
+
+def _whole_entropy(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+    """The entropy of a file from what its tasks have counted. Lines are without their ends, and a mark of UTF-8 that begins a file isn't read: both follow from its length."""
+    path, length = key
+    sums = np.sum(np.stack(parts["sums"].to_list()), axis=0)
+    counts, (octets, lines) = sums[:256], sums[256:]
+    # The last line may have no end.
+    missing = length - octets - lines
+    if missing in (2, 3):
+        counts[[0xEF, 0xBB, 0xBF]] += 1
+        missing -= 3
+    if missing not in (0, -1):
+        raise ValueError(f"{path}: {octets} octets in {lines} lines were read of {length}; it changed while it was read, or its name is one of a compressed text")
+    counts[0x0A] += lines + missing
+    return pd.DataFrame({"path": [path], "length": [length], "entropy": [_entropy(counts)]})
+
+
+def file_entropy(spark: SparkSession, path: str, extensions: Iterable[str], small: int = SMALL_FILE) -> DataFrame:
+    """path, length and entropy of the contents of the files with one of the extensions, each read once.
+
+    Files up to `small` bytes are read whole. Larger ones are read as Spark reads text, in splits and line by line with contents as they are, and their splits' histograms are summed; what has to fit a task's
+    memory is then the longest run without the octet 0x0A.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_entropy(np.bincount(np.frombuffer(raw.as_buffer(), np.uint8), minlength=256)) if raw.is_valid and len(raw.as_buffer()) else None for raw in batch.column("content")]
             yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(found, pa.float64())], names=["path", "length", "entropy"])
 
-    return tables.files_like(spark, path, extensions).select("path", "length", "content").mapInArrow(run, "path string, length long, entropy double")
+    # A mark alone, of three bytes, is no line.
+    small = max(small, 3)
+    files = tables.files_like(spark, path, extensions)
+    whole = files.filter(F.col("length") <= small).select("path", "length", "content").mapInArrow(run, "path string, length long, entropy double")
+    large = files.filter(F.col("length") > small).select("path", "length", F.col("_metadata.file_path").alias("file"))
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    lines = lines.filter((F.col("_metadata.file_size") > small) & tables.named_like(F.col("_metadata.file_path"), extensions))
+    parts = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("content")).mapInArrow(_octets, "file string, sums array<long>")
+    return whole.union(large.join(parts, "file").groupBy("path", "length").applyInPandas(_whole_entropy, "path string, length long, entropy double"))
 
 
 def entropy_filter(scored: DataFrame, threshold: float = ENTROPY) -> DataFrame:

@@ -32,11 +32,16 @@ def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = N
     return df.select(*[f"`{c}`" for c in columns])
 
 
+def named_like(path: Column, extensions: Iterable[str]) -> Column:
+    """Whether a path has one of the extensions, any case."""
+    ends = "|".join(e.lstrip(".") for e in extensions)
+    return F.lower(path).rlike(rf"\.({ends})$")
+
+
 def files_like(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:
     """path, modificationTime, length, content of the files with one of the extensions, any case; contents are only read where they are used. Spark passes over empty files."""
-    ends = "|".join(e.lstrip(".") for e in extensions)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(F.lower("path").rlike(rf"\.({ends})$"))
+    return files.filter(named_like(F.col("path"), extensions))
 
 
 def list_files(spark: SparkSession, path: str, extensions: Iterable[str]) -> DataFrame:

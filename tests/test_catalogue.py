@@ -311,6 +311,27 @@ def test_entropy_of_files_and_long_texts(spark, tmp_path):
     assert images.char_counts(long, 1000)[[97, 98, 0x10FFFF]].tolist() == [1_200_000, 1_200_000, 1] and images.char_counts(long).sum() == len(long)
 
 
+def test_entropy_of_large_files_by_splits(spark, tmp_path):
+    import math
+    import os
+
+    mark = b"\xef\xbb\xbf"
+    files = {"noise.png": os.urandom(60_000), "end.png": os.urandom(9000) + b"\n", "mark.png": mark + os.urandom(9000), "both.png": mark + os.urandom(9000) + b"\n", "lines.png": b"\n" * 8000, "dos.png": b"a\r\n\r\r\n" * 2000, "flat.png": b"\x07" * 50_000, "a b+c/x%20 \u00e9.PNG": os.urandom(7000), "only.png": mark, "small.png": b"abc", "not.txt": os.urandom(9000)}
+    for name, raw in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(raw)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        for small in (1000, 0):
+            found = images.file_entropy(spark, str(tmp_path), tables.IMAGES, small)
+            got = {r.path.removeprefix(f"file:{tmp_path}/"): (r.length, r.entropy) for r in found.collect()}
+            share = lambda raw: [raw.count(v) / len(raw) for v in set(raw)]
+            assert got == {name: (len(raw), pytest.approx(-sum(p * math.log(p) for p in share(raw)), abs=1e-9)) for name, raw in files.items() if name != "not.txt"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
 def test_ranking_without_price_data(spark):
     cols = "flyer_row long, master_row long, PDF_Description string, Excel_Description string, PDF_Retail_Amt string, PDF_Retail_Factor string, Excel_Retail_Amt string, Excel_Retail_Factor string, LLM_Similarity double, Combined_Score double, Retail_Amt_Similarity double"
     rows = spark.createDataFrame([(1, 1, "f", "m", "Null", "1", "1", "1", 0.99, 0.5, 0.0), (2, 1, "g", "m", "1", "1", "1", "1", 0.8, 0.5, 99.0), (3, 1, "h", "m", "1", "1", "1", "1", 0.9, 0.5, 50.0)], cols)
