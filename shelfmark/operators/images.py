@@ -64,22 +64,33 @@ def char_counts(text: str, piece: int = 1 << 20) -> np.ndarray:
     return counts
 
 
+def char_entropies(texts: pa.Array) -> pa.Array:
+    """Entropy of each text's characters; null for a null or empty one. Only one text at a time is a Python string."""
+    return pa.array((_entropy(char_counts(t.as_py())) if t.is_valid and len(t.as_buffer()) else None for t in texts), pa.float64())
+
+
 def char_entropy(text: Column) -> Column:
     """Shannon entropy (nats) of a text's characters within the row; null for an empty text. Each text is read once."""
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([_entropy(char_counts(t)) if t else None for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return char_entropies(texts)
 
     return run(text)
 
 
+def _octet_entropy(value: pa.Scalar, piece: int = 1 << 20) -> float | None:
+    """Entropy of a binary value's octets, counted piece by piece where they lie; None for a null or empty one."""
+    raw = np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else ()
+    return _entropy(sum(np.bincount(raw[at : at + piece], minlength=256) for at in range(0, len(raw), piece))) if len(raw) else None
+
+
 def byte_entropy(content: Column) -> Column:
     """Shannon entropy (nats) of the grey values in a binary column: a histogram of 256 places; null for an empty one."""
 
-    @F.pandas_udf("double")
-    def run(values: pd.Series) -> pd.Series:
-        return pd.Series([_entropy(np.bincount(np.frombuffer(raw, np.uint8), minlength=256)) if raw else None for raw in values], dtype="float64")
+    @F.arrow_udf("double")
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array((_octet_entropy(v) for v in values), pa.float64())
 
     return run(content)
 
@@ -127,8 +138,8 @@ def file_entropy(spark: SparkSession, path: str, extensions: Iterable[str], smal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_entropy(np.bincount(np.frombuffer(raw.as_buffer(), np.uint8), minlength=256)) if raw.is_valid and len(raw.as_buffer()) else None for raw in batch.column("content")]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(found, pa.float64())], names=["path", "length", "entropy"])
+            found = pa.array((_octet_entropy(v) for v in batch.column("content")), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), found], names=["path", "length", "entropy"])
 
     # A mark alone, of three bytes, is no line.
     small = max(small, 3)

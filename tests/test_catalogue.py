@@ -332,6 +332,20 @@ def test_entropy_of_large_files_by_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
+def test_entropy_of_a_batch_holds_one_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["ab" * 50_000 + "\U0001f600", None, ""] * 20, pa.string())
+    tracemalloc.start()
+    found = images.char_entropies(texts).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # As strings all texts are 8 MB.
+    assert found[0] > 0.69 and found == [found[0], None, None] * 20 and peak < 5_000_000
+
+
 def test_ranking_without_price_data(spark):
     cols = "flyer_row long, master_row long, PDF_Description string, Excel_Description string, PDF_Retail_Amt string, PDF_Retail_Factor string, Excel_Retail_Amt string, Excel_Retail_Factor string, LLM_Similarity double, Combined_Score double, Retail_Amt_Similarity double"
     rows = spark.createDataFrame([(1, 1, "f", "m", "Null", "1", "1", "1", 0.99, 0.5, 0.0), (2, 1, "g", "m", "1", "1", "1", "1", 0.8, 0.5, 99.0), (3, 1, "h", "m", "1", "1", "1", "1", 0.9, 0.5, 50.0)], cols)
