@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import first_number
 from shelfmark.operators.clean import valid_items
 from shelfmark.sources.tables import ITEMS
-from shelfmark.sources.work import store
+from shelfmark.sources.work import spread, store
 
 LABELS = (1, 2, 3)
 
@@ -108,12 +108,6 @@ def answers(call: Callable, arguments: list[tuple], limits: Limits, longest: flo
         return list(out)
 
 
-def spread(rows: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """`rows` dealt evenly to `parallelism` tasks, by default as many as shuffles have: a call takes long however few bytes its row has, so a small file's rows mustn't share a task."""
-    spark = rows.sparkSession
-    return rows.repartition(parallelism or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
-
-
 def _in_batches(call: Callable, arguments: list[tuple], limits: Limits, longest: float | None = None) -> list[tuple[object, float | None]]:
     return [x for i in range(0, len(arguments), limits.rows) for x in answers(call, arguments[i : i + limits.rows], limits, longest)]
 

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
-from shelfmark.operators import clean, reconcile, scoring, tiles, vectors
+from shelfmark.operators import clean, pairs, reconcile, scoring, tiles, vectors
 from shelfmark.sources import tables
-from shelfmark.sources.work import store
+from shelfmark.sources.work import spread, store
 
 FLYER_REQUIRED = ["Description", "Size", "Pack", "Retail_Factor", "Retail_Amt", "Page_Number"]
 MASTER_REQUIRED = ["Description", "Size", "Pack", "Retail_Factor", "Retail_Amt", "nCat_Desc", "BRAND"]
@@ -20,7 +20,8 @@ MASTER_REQUIRED = ["Description", "Size", "Pack", "Retail_Factor", "Retail_Amt",
 def prepared(flyer: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean flyer rows, clean master rows, and the master rows that are paired: the first of each description, category and brand."""
     flyer = clean.filter_valid_description(clean.clean_table(flyer, FLYER_REQUIRED, "flyer_row"))
-    full = clean.filter_valid_description(clean.clean_table(master, MASTER_REQUIRED, "master_row"))
+    # Written before, as filters that are pushed down would make a view's texts many times a row; and after, as it is both paired and reconciled.
+    full = store(clean.filter_valid_description(clean.clean_table(store(master, "master-rows"), MASTER_REQUIRED, "master_row")), "full")
     return flyer, full, clean.dedup_first(full, ["Description", "nCat_Desc", "BRAND"], ["master_row"])
 
 
@@ -48,6 +49,17 @@ def plain_scores(found: DataFrame, master: DataFrame) -> DataFrame:
     return found.drop("__a", "__0", "__1", "__x", "__y").withColumns({c: F.lit(0.0) for c in ("Description_Similarity", "Brand_Description_Similarity", "Ncat_Description_Similarity")})
 
 
+def plain_totals(flyer: DataFrame, master: DataFrame, threshold: float | None = 0.2) -> DataFrame:
+    """flyer_row, master_row, total_Combined_Score and Combined_Score of all candidate pairs of prepared tables, by scores that need no model.
+
+    A pair's scores hang on its texts alone, so each flyer description is scored once, and its flyer rows are joined to what it scored: the work of a flyer's further rows is that of writing their pairs.
+    """
+    own = store(flyer.groupBy("Description").agg(F.min("flyer_row").alias("flyer_row")), "flyer-texts")
+    scored = pairs.combined_score(plain_scores(pairs.candidate_pairs(own, master, threshold), master)).select("PDF_Description", "master_row", "total_Combined_Score")
+    scaled = pairs.min_max_scale(store(scored, "plain"), "total_Combined_Score")
+    return spread(scaled).join(flyer.select("flyer_row", F.col("Description").alias("PDF_Description")), "PDF_Description").select("flyer_row", "master_row", "total_Combined_Score", "Combined_Score")
+
+
 def match_catalogue(flyer: DataFrame, master: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = vectors.char_trigrams, threshold: float | None = 0.2, k: int = 65) -> DataFrame:
     """The k best candidates of each flyer description with their scores. Without an encoder, containment of brand and category stands for similarities and ratios, and word overlap for the model's score."""
     f, _, m = prepared(flyer, master)

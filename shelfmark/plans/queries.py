@@ -208,7 +208,7 @@ def score_to_unit(spark, sf):
 
 
 def _prepared(spark, sf):
-    f, full, m = match.prepared(_flyer(spark, sf), _master(spark, sf))
+    f, full, m = match.prepared(_flyer(spark, sf), views.view(spark, sf, views.MASTER, dealt=True))
     return store(f, "flyer"), full, store(m, "master")
 
 
@@ -241,13 +241,9 @@ def distinct_texts(spark, sf):
     return vectors.distinct_texts(_both(spark, sf), ["PDF_Description", "Excel_Description", "Excel_BRAND"])
 
 
-def _plain(spark, sf):
-    f, _, m = _prepared(spark, sf)
-    return match.plain_scores(pairs.candidate_pairs(f, m), m)
-
-
 def combined(spark, sf):
-    found = pairs.min_max_scale(pairs.combined_score(store(_plain(spark, sf), "plain")), "total_Combined_Score")
+    f, _, m = _prepared(spark, sf)
+    found = match.plain_totals(f, m)
     return found.select("flyer_row", "master_row", micro(c("total_Combined_Score")).alias("total"), micro(c("Combined_Score")).alias("scaled"))
 
 
@@ -279,7 +275,7 @@ def rank_partial(spark, sf):
 
 
 def unmatched_flyer(spark, sf):
-    f, full, m = match.prepared(views.view(spark, sf, views.FLYER_ODD), _master(spark, sf))
+    f, full, m = match.prepared(views.view(spark, sf, views.FLYER_ODD), views.view(spark, sf, views.MASTER, dealt=True))
     f, m = store(f, "flyer"), store(m, "master")
     return match.reconcile_matches(match.best_matches(f, m, None), full, flyer=f)["PDF_Unmatched"]
 
@@ -390,13 +386,13 @@ def extraction_counts(spark, sf):
 
 
 def match_full(spark, sf):
-    found = match.match_catalogue(_flyer(spark, sf), _master(spark, sf))
+    found = match.match_catalogue(_flyer(spark, sf), views.view(spark, sf, views.MASTER, dealt=True))
     scores = {"Description_Similarity": "description", "Brand_Description_Similarity": "brand", "Ncat_Description_Similarity": "category", "Boost_Score": "boost", "Brand_Word_Score": "brand_words", "ncat_word_score": "category_words", "Combined_Score": "combined"}
     return found.select("flyer_row", "master_row", "PDF_Description", "Excel_Description", *[micro(c(k)).alias(v) for k, v in scores.items()])
 
 
 def match_plain(spark, sf):
-    scored = match.match_catalogue(_flyer(spark, sf), _master(spark, sf), None)
+    scored = match.match_catalogue(_flyer(spark, sf), views.view(spark, sf, views.MASTER, dealt=True), None)
     return scored.select("flyer_row", "master_row", "PDF_Description", "Excel_Description", micro(c("Combined_Score")).alias("combined"), micro(c("LLM_Similarity")).alias("model"))
 
 
