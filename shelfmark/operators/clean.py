@@ -41,7 +41,16 @@ def select_existing(df: DataFrame, order: Iterable[str]) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: Iterable[str], order: Iterable[str | Column]) -> DataFrame:
-    """The first row of each key set; `order` has to end in a row id for a defined result."""
+    """The first row of each key set; `order` has to end in a row id for a defined result.
+
+    Where a row is its keys and the one column of the order, it is the least of each key set: summed up where rows are read, so that they are neither sorted nor all shuffled.
+    """
+    keys, order = list(keys), list(order)
+    kinds = dict(df.dtypes)
+    if len(order) == 1 and isinstance(order[0], str) and order[0] not in keys and set(df.columns) == {*keys, order[0]} and not any(k in kinds[c] for c in keys for k in ("float", "double")):
+        # Nulls come first in the order.
+        first = F.when(F.count(order[0]) == F.count(F.lit(1)), F.min(order[0]))
+        return df.groupBy(*keys).agg(first.alias(order[0])).select(*df.columns)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__place", place).filter("__place = 1").drop("__place")
 

@@ -346,6 +346,23 @@ def test_entropy_of_a_batch_holds_one_text():
     assert found[0] > 0.69 and found == [found[0], None, None] * 20 and peak < 5_000_000
 
 
+def test_equal_flyer_texts_are_scored_once(spark, monkeypatch):
+    flyer = spark.createDataFrame([(i, "Red bolt" if i % 2 else "Blue ring") for i in range(40)], "flyer_row long, Description string")
+    master = spark.createDataFrame([(1, "RED BOLT", "bolt", "B"), (2, "BLUE RING", "ring", "R"), (3, "RD BLT", "x", "y")], "master_row long, Description string, nCat_Desc string, BRAND string")
+    asked, own = [], pairs.candidate_pairs
+    monkeypatch.setattr(match.pairs, "candidate_pairs", lambda f, *a: asked.append(f.count()) or own(f, *a))
+    got = {(r.flyer_row, r.master_row): (round(r.total_Combined_Score, 9), round(r.Combined_Score, 9)) for r in match.plain_totals(flyer, master).collect()}
+    each = pairs.min_max_scale(pairs.combined_score(match.plain_scores(own(flyer, master), master)), "total_Combined_Score")
+    assert asked == [2] and len(got) >= 40 and got == {(r.flyer_row, r.master_row): (round(r.total_Combined_Score, 9), round(r.Combined_Score, 9)) for r in each.collect()}
+
+
+def test_first_of_equal_rows_needs_no_sort(spark):
+    rows = spark.createDataFrame([(2, "a", None), (1, "a", None), (3, "b", "x"), (None, "b", "x")], "id long, k string, l string")
+    first = clean.dedup_first(rows, ["k", "l"], ["id"])
+    assert {tuple(r) for r in first.collect()} == {(1, "a", None), (None, "b", "x")} and first.columns == rows.columns
+    assert "Window" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_ranking_without_price_data(spark):
     cols = "flyer_row long, master_row long, PDF_Description string, Excel_Description string, PDF_Retail_Amt string, PDF_Retail_Factor string, Excel_Retail_Amt string, Excel_Retail_Factor string, LLM_Similarity double, Combined_Score double, Retail_Amt_Similarity double"
     rows = spark.createDataFrame([(1, 1, "f", "m", "Null", "1", "1", "1", 0.99, 0.5, 0.0), (2, 1, "g", "m", "1", "1", "1", "1", 0.8, 0.5, 99.0), (3, 1, "h", "m", "1", "1", "1", "1", 0.9, 0.5, 50.0)], cols)
